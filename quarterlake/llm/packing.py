@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,40 +18,74 @@ from quarterlake.llm.common import materialize, slices, table
 LIMIT = 2048
 #: Pieces packed together by one task: a fixed size, so that tasks grow in number and not in length.
 BLOCK = 16_384
-#: A worker's memo of word -> ids is emptied at so many words.
-MEMO_WORDS = 300_000
+#: A worker's memos of words and of parts are emptied at so many entries.
+MEMO_WORDS = 700_000
 
 
 class WordTokenizer:
-    """Ids of whole texts as little-endian uint32 bytes. The tokenizer drops white space and never joins across it,
-    so a text's ids are its ASCII-space-separated words' ids in order; words are encoded once and remembered."""
+    """Ids of whole texts as little-endian uint32 bytes. The tokenizer drops white space and never joins across it, so a
+    text's ids are those of its words in order; a word's are those of its parts by the tokenizer's own splitting pattern.
+    Words and parts are encoded once and remembered, a bounded number of them."""
+
+    #: Fixed value: the splitting pattern of the vocabulary file, as its ``pre_tokenizer`` states it.
+    PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+    SPECIAL = b"<|"
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.memo: dict[bytes, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def _encode(self, parts: list[str]) -> Iterator[bytes]:
+        for at in range(0, len(parts), 8_192):
+            for e in self.tok.encode_batch_fast(parts[at : at + 8_192], add_special_tokens=False):
+                yield np.array(e.ids, "<u4").tobytes()
+
+    def _learn(self, words: set[bytes]) -> None:
+        plain = [(w, self.PARTS.findall(w.decode().lower())) for w in words if w.isascii() and self.SPECIAL not in w]
+        whole = [w for w in words if not w.isascii() or self.SPECIAL in w]
+        # other letters are normalised as one word first, unless that changes nothing
+        for w in whole[:]:
+            t = w.decode()
+            if self.SPECIAL not in w and t.isprintable() and "Σ" not in t and unicodedata.is_normalized("NFC", low := t.lower()) and unicodedata.is_normalized("NFC", t):
+                plain.append((w, self.PARTS.findall(low)))
+            else:
+                self.words[w] = next(self._encode([t]))
+        new = list({p for _, ps in plain for p in ps}.difference(self.parts))
+        self.parts.update(zip(new, self._encode(new), strict=True))
+        get = self.parts.__getitem__
+        self.words.update((w, b"".join(map(get, ps))) for w, ps in plain)
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         split = [x.split() for x in texts]
-        if len(self.memo) > MEMO_WORDS:
-            self.memo = {}
-        new = list({w for ws in split for w in ws}.difference(self.memo))
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            got = self.tok.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            self.memo.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, got, strict=True))
-        get = self.memo.__getitem__
+        if len(self.words) > MEMO_WORDS:
+            self.words = {}
+        if len(self.parts) > MEMO_WORDS:
+            self.parts = {}
+        if new := {w for ws in split for w in ws}.difference(self.words):
+            self._learn(new)
+        get = self.words.__getitem__
         return [b"".join(map(get, ws)) for ws in split]
 
 
+#: One a worker process, so that tasks share what was encoded.
+_tokenizers: dict[str, WordTokenizer] = {}
+
+
+def word_tokenizer(path: str) -> WordTokenizer:
+    if path not in _tokenizers:
+        _tokenizers[path] = WordTokenizer(path)
+    return _tokenizers[path]
+
+
 def tokenized_pieces(docs: DataFrame, tokenizer_path: str, limit: int = LIMIT, key: str = "doc_id") -> DataFrame:
     """Pieces of each document: its ids, then id 0; only longer documents are cut, into ``limit``-token pieces."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = None
+        tok = word_tokenizer(tokenizer_path)
         for batch, texts in slices(batches):
-            tok = tok or WordTokenizer(tokenizer_path)
             rows: list[list] = [[], [], [], [], []]
             for doc, ids in zip(batch.column("doc_id").to_pylist(), tok(texts), strict=True):
                 ids += b"\0\0\0\0"

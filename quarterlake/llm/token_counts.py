@@ -14,7 +14,7 @@ from quarterlake.llm.common import slices, table
 #: A pre-token is a word with the mark that stands for the space before it.
 MARK = "▁"
 #: A worker forgets its counts beyond so many distinct pre-tokens.
-MEMO = 400_000
+MEMO = 900_000
 #: Score of one byte of a character that no piece covers, below every piece.
 BYTE_PENALTY = 12.0
 
@@ -78,6 +78,16 @@ def count_by_trie(words: list[str], model: PieceModel) -> dict[str, int]:
     return out
 
 
+#: One a worker process, so that tasks share what was counted.
+_workers: dict[str, tuple[PieceModel, dict[bytes, int]]] = {}
+
+
+def _worker(path: str) -> tuple[PieceModel, dict[bytes, int]]:
+    if path not in _workers:
+        _workers[path] = (PieceModel.from_sentencepiece(path), {})
+    return _workers[path]
+
+
 def token_counts(docs: DataFrame, model_path: str, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(doc_id, n_bytes, n_words, n_tokens, max_word_tokens) of every whole text.
 
@@ -86,12 +96,11 @@ def token_counts(docs: DataFrame, model_path: str, text: str = "text", key: str
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, memo = None, {}
+        model, memo = _worker(model_path)
         for batch, texts in slices(batches):
-            model = model or PieceModel.from_sentencepiece(model_path)
             split = [x.split() for x in texts]
             if len(memo) > MEMO:
-                memo = {}
+                memo.clear()
             new = {w for ws in split for w in ws}.difference(memo)
             back = {MARK + w.decode(): w for w in new}
             memo.update((back[w], n) for w, n in count_by_trie(list(back), model).items())
