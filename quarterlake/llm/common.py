@@ -42,6 +42,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """``df`` with columns that are computed once: a later filter on them stays above, where pushing it down would put their
+    whole expressions into it, and into each lambda within, once more."""
+    made = F.struct(*(c.alias(name) for name, c in columns.items()))
+    return df.select(*[c for c in df.columns if c not in columns], F.inline_outer(F.array(made)))
+
+
 def crc_of_id(col: str = "doc_id") -> Column:
     """crc32 of the id as text; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")))

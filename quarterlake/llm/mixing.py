@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterlake.llm.common import table
+from quarterlake.llm.common import computed, table
 
 #: A Poisson draw is a sum of draws of at most this mean, so that exp(-mean) keeps its precision.
 PART_MEAN = 16.0
@@ -78,7 +78,8 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, alpha:
     one = lambda j: F.size(F.filter(F.col("mix_cdf"), lambda c: c < _uniform(seed, F.col(key), j)))
     drawn = F.aggregate(F.sequence(F.lit(1), F.col("mix_parts")), F.lit(0), lambda acc, j: acc + one(j))
     single = F.size(F.filter(F.col("mix_cdf"), lambda c: c < F.col("mix_u")))
-    counted = joined.withColumn("mix_u", _uniform(seed, F.col(key), F.lit(1))).withColumn("n_copies", F.when(F.col("mix_parts") == 1, single).otherwise(drawn)).where("n_copies > 0")
+    hashed = computed(joined, {"mix_u": _uniform(seed, F.col(key), F.lit(1))})
+    counted = computed(hashed, {"n_copies": F.when(F.col("mix_parts") == 1, single).otherwise(drawn)}).where("n_copies > 0")
     copies = counted.withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("n_copies")))).withColumnRenamed("mix_rate", "repetition_rate")
     keyed = copies.withColumn("shuffle_key", F.md5(F.concat_ws(":", F.lit(f"order{seed}"), F.coalesce(F.col(key).cast("string"), F.lit("")), F.col("copy_no").cast("string"))))
     return keyed.drop("mix_source", "mix_parts", "mix_cdf", "mix_u").repartition("shuffle_key").sortWithinPartitions("shuffle_key")
