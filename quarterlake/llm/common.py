@@ -73,16 +73,23 @@ class WordHasher:
 
     BASE = 0x9E3779B97F4A7C15 | 1
 
-    def __init__(self) -> None:
+    def __init__(self, gap: bytes = SPACE) -> None:
         rng = np.random.default_rng(20240601)
         self.byte = rng.integers(1, 1 << 63, 256, dtype=np.uint64)
         for upper in range(ord("A"), ord("Z") + 1):
             self.byte[upper] = self.byte[upper + 32]
         self.gap = np.zeros(256, bool)
-        self.gap[list(SPACE)] = True
+        self.gap[list(gap)] = True
+        self.gap[10] = True  # texts are joined by it
         self.power = np.ones(1, np.uint64)
         self.inverse = np.ones(1, np.uint64)
 
+    def __getstate__(self) -> bytes:
+        return bytes(np.flatnonzero(self.gap).astype(np.uint8))
+
+    def __setstate__(self, gap: bytes) -> None:
+        self.__init__(gap)
+
     def _powers(self, n: int) -> None:
         if len(self.power) < n:
             n = max(n, 1 << 16)
@@ -92,6 +99,11 @@ class WordHasher:
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Word hashes of all texts one after the other (A-Z lower-cased), and the offsets where each text's words begin."""
+        (h,), offsets = self.prefixes(texts, (None,))
+        return h, offsets
+
+    def prefixes(self, texts: list[bytes], lengths: tuple[int | None, ...]) -> tuple[list[np.ndarray], np.ndarray]:
+        """The same for the first bytes of each word, for several lengths; None: the whole word."""
         buf = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
         gap = self.gap[buf]
         edge = np.flatnonzero(np.diff(gap, prepend=True))
@@ -99,10 +111,12 @@ class WordHasher:
         self._powers(len(buf) + 1)
         sums = np.zeros(len(buf) + 1, np.uint64)
         np.cumsum(self.byte[buf] * self.power[: len(buf)], out=sums[1:])
-        h = (sums[end] - sums[begin]) * self.inverse[begin]
-        h = mix64(h + (end - begin).astype(np.uint64))
+        found = []
+        for n in lengths:
+            stop = end if n is None else np.minimum(end, begin + n)
+            found.append(mix64((sums[stop] - sums[begin]) * self.inverse[begin] + (stop - begin).astype(np.uint64)))
         ends = np.cumsum(np.fromiter((len(x) + 1 for x in texts), np.int64, len(texts)))
-        return h, np.concatenate([[0], np.searchsorted(begin, ends)])
+        return found, np.concatenate([[0], np.searchsorted(begin, ends)])
 
 
 def mix64(h: np.ndarray) -> np.ndarray:

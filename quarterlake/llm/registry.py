@@ -10,7 +10,9 @@ from quarterlake.llm.media import op4_media_columns
 from quarterlake.llm.mixing import OP2_SQL, op2_mix_sources
 from quarterlake.llm.packing import op10_pack_documents
 from quarterlake.llm.quality import op7_quality_rules
+from quarterlake.llm.secrets import op6_secret_scan
 from quarterlake.llm.token_counts import op3_token_counts
+from quarterlake.llm.toxicity import op5_toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,6 +20,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_mix_sources": op2_mix_sources,
         "op3_token_counts": op3_token_counts,
         "op4_media_columns": op4_media_columns,
+        "op5_toxicity": op5_toxicity,
+        "op6_secret_scan": op6_secret_scan,
         "op7_quality_rules": op7_quality_rules,
         "op10_pack_documents": op10_pack_documents,
     }
