@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quarterlake.llm.lm_scoring import op8_lm_scoring
 from quarterlake.llm.media import op4_media_columns
 from quarterlake.llm.mixing import OP2_SQL, op2_mix_sources
 from quarterlake.llm.packing import op10_pack_documents
@@ -23,6 +24,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_toxicity": op5_toxicity,
         "op6_secret_scan": op6_secret_scan,
         "op7_quality_rules": op7_quality_rules,
+        "op8_lm_scoring": op8_lm_scoring,
         "op10_pack_documents": op10_pack_documents,
     }
 
