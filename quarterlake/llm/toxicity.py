@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from quarterlake.llm.common import WordHasher, crc_of_id, mix64, slices, table
 
 #: Labelled rows that the machine is fitted to, at most (those of least hash of their id).
-TRAIN_DOCS = 20_000
+TRAIN_DOCS = 8_000
 #: Terms are hashed to so many buckets; the fit keeps those that go with the label most clearly (chi-square).
 BUCKET_BITS = 22
 FEATURES, CHI_SQUARE, LEAST_DOCS = 768, 15.0, 8
@@ -55,12 +55,13 @@ class FactorizationMachine:
     @staticmethod
     def choose_terms(doc: np.ndarray, term: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Terms whose presence and label depend on each other by chi-square, the clearest first."""
-        ids, inverse = np.unique(term, return_inverse=True)
-        n, pos = np.bincount(inverse, minlength=len(ids)), np.bincount(inverse, y[doc], len(ids))
-        total, all_pos = len(y), y.sum()
+        size = 1 << BUCKET_BITS
+        n, pos = np.bincount(term, minlength=size), np.bincount(term[y[doc] > 0], minlength=size)
+        ids = np.flatnonzero(n >= LEAST_DOCS)
+        n, pos, total, all_pos = n[ids].astype(np.float64), pos[ids].astype(np.float64), len(y), y.sum()
         a, b, c, d = pos, n - pos, all_pos - pos, total - all_pos - (n - pos)
         chi = total * (a * d - b * c) ** 2 / np.maximum((a + b) * (c + d) * (a + c) * (b + d), 1e-9)
-        good = np.flatnonzero((chi >= CHI_SQUARE) & (n >= LEAST_DOCS))
+        good = np.flatnonzero(chi >= CHI_SQUARE)
         return ids[good[np.lexsort((ids[good], -chi[good]))[:FEATURES]]]
 
     def _columns(self, doc: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -116,12 +117,17 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", key: st
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("toxic").cast(pa.int64()), pa.array([x.astype("<u4").tobytes() for x in np.split(term, cuts)], pa.binary())], ["doc_id", "toxic", "terms"])
 
     rows = sorted(picked.mapInArrow(run, "doc_id long, toxic long, terms binary").collect(), key=lambda x: (x["doc_id"], x["terms"]))
-    terms = [np.frombuffer(x["terms"], "<u4").astype(np.int64) for x in rows]
-    y = np.array([float(x["toxic"] > 0) for x in rows])
     if not rows:
         return FactorizationMachine(np.zeros(0, np.int64))
-    doc, term = np.repeat(np.arange(len(rows)), list(map(len, terms))), np.concatenate(terms)
-    return FactorizationMachine(FactorizationMachine.choose_terms(doc, term, y)).fit(doc, term, y)
+    y = np.array([float(x["toxic"] > 0) for x in rows])
+    doc = np.repeat(np.arange(len(rows), dtype=np.int32), [len(x["terms"]) // 4 for x in rows])
+    term = np.frombuffer(b"".join(x["terms"] for x in rows), "<u4")
+    del rows
+    chosen = FactorizationMachine.choose_terms(doc, term, y)
+    used = np.zeros(1 << BUCKET_BITS, bool)
+    used[chosen] = True
+    used = used[term]
+    return FactorizationMachine(chosen).fit(doc[used], term[used].astype(np.int64), y)
 
 
 def toxicity_scores(docs: DataFrame, machine: FactorizationMachine, text: str = "text", key: str = "doc_id") -> DataFrame:
