@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from quarterlake.llm.lm_scoring import op8_lm_scoring
 from quarterlake.llm.media import op4_media_columns
 from quarterlake.llm.mixing import OP2_SQL, op2_mix_sources
+from quarterlake.llm.ngram_join import op1_ngram_join
 from quarterlake.llm.packing import op10_pack_documents
 from quarterlake.llm.quality import op7_quality_rules
 from quarterlake.llm.secrets import op6_secret_scan
@@ -18,6 +19,7 @@ from quarterlake.llm.toxicity import op5_toxicity
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_ngram_join": op1_ngram_join,
         "op2_mix_sources": op2_mix_sources,
         "op3_token_counts": op3_token_counts,
         "op4_media_columns": op4_media_columns,
