@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quarterlake.llm.licenses import OP9_SQL, op9_license_scan
 from quarterlake.llm.lm_scoring import op8_lm_scoring
 from quarterlake.llm.media import op4_media_columns
 from quarterlake.llm.mixing import OP2_SQL, op2_mix_sources
@@ -27,9 +28,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_secret_scan": op6_secret_scan,
         "op7_quality_rules": op7_quality_rules,
         "op8_lm_scoring": op8_lm_scoring,
+        "op9_license_scan": op9_license_scan,
         "op10_pack_documents": op10_pack_documents,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mix_sources": OP2_SQL}
+    return {"op2_mix_sources": OP2_SQL, "op9_license_scan": OP9_SQL}
