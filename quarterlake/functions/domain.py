@@ -1,0 +1,150 @@
+"""Blocks of the day, official bus names, months and periods."""
+
+from __future__ import annotations
+
+import re
+from datetime import date, timedelta
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+#: Names that changed. Old name -> official name.
+RENAMED = {
+    "CAÑETE________023": "CANETE________023",
+    "CAÑETE________066": "CANETE________066",
+    "CHAPIQUIÑA____013": "CHAPIQUINA____013",
+    "CHAPIQUIÑA____066": "CHAPIQUINA____066",
+    "CHAÑARAL______023": "CHANARAL______023",
+    "DEGAÑ_________013": "DEGAN_________013",
+    "DEGAÑ_________110": "DEGAN_________110",
+    "HUALAÑE_______013": "HUALANE_______013",
+    "HUALAÑE_______066": "HUALANE_______066",
+    "LASARAÑAS_____013": "LASARANAS_____013",
+    "LASARAÑAS_____066": "LASARANAS_____066",
+    "LASARAÑAS_____110": "LASARANAS_____110",
+    "PEÑABLANCA____013": "PENABLANCA____013",
+    "PEÑABLANCA____110": "PENABLANCA____110",
+    "PIÑATAS_______013": "PINATAS_______013",
+    "PIÑATAS_______066": "PINATAS_______066",
+    "REÑACA________013": "RENACA________013",
+    "REÑACA________110": "RENACA________110",
+    "TAP.REÑACA____110": "TAP.RENACA____110",
+    "TAP_CHAÑARES__110": "TAP_CHANARES__110",
+}
+#: Hours of blocks B and C; 0-7, 23 and the repeated hour 24 are A.
+BLOCK_B, BLOCK_C = (8, 17), (18, 22)
+
+Month = tuple[int, int]
+
+
+def block_of_hour(hour: Column) -> Column:
+    """A, B or C; null outside 0..24."""
+    return F.when(hour.between(*BLOCK_B), "B").when(hour.between(*BLOCK_C), "C").when(hour.between(0, 24), "A")
+
+
+def official_name(name: Column) -> Column:
+    """The official name; names that never changed stay."""
+    renames = F.create_map(*(F.lit(x) for pair in RENAMED.items() for x in pair))
+    return F.coalesce(F.try_element_at(renames, name), name)
+
+
+def extra_hour(hour: Column) -> Column:
+    return hour == 24
+
+
+def local_time(day: Column, hour: Column, minute: Column) -> Column:
+    """Zoneless timestamp of a quarter; the repeated hour has none."""
+    return F.when(hour < 24, F.timestamp_add("MINUTE", (hour * 60 + minute).cast("int"), day.cast("timestamp_ntz")))
+
+
+def no_solar_shortcut(a: float, c: float) -> float:
+    """(9 A + 5 C) / 14: right for 24-hour days only, so results never use it."""
+    return (9 * a + 5 * c) / 14
+
+
+def month_index(year: int | Column, month: int | Column) -> int | Column:
+    return year * 12 + month - 1
+
+
+def from_index(index: int) -> Month:
+    return index // 12, index % 12 + 1
+
+
+def months_between(first: Month, last: Month) -> list[Month]:
+    a, b = month_index(*first), month_index(*last)
+    if a > b:
+        raise ValueError(f"the range is inverted: {format_month(first)} is after {format_month(last)}")
+    return [from_index(i) for i in range(a, b + 1)]
+
+
+def format_month(month: Month) -> str:
+    return f"{month[0]:04d}-{month[1]:02d}"
+
+
+def _checked(year: int, month: int) -> Month:
+    if not 1 <= month <= 12 or not 2000 <= year <= 2100:
+        raise ValueError(f"not a month: {year}-{month}")
+    return year, month
+
+
+def parse_month(text: str) -> Month:
+    if not (m := re.fullmatch(r"(\d{4})-(\d{1,2})", text.strip())):
+        raise ValueError(f"not a month (YYYY-MM): {text!r}")
+    return _checked(int(m[1]), int(m[2]))
+
+
+def parse_period(text: str, first: Month, last: Month) -> tuple[Month, Month]:
+    """'' = all; '2025' = that year; '2025-03' = from there to the end; '2025-03 a 2025-08'; 'ultimos N'. Clipped to what there is."""
+    said = " ".join(text.lower().replace("ú", "u").split())
+    if not said:
+        return first, last
+    if m := re.fullmatch(r"ultimos (\d+)", said):
+        if int(m[1]) < 1:
+            raise ValueError("the number of months must be positive")
+        a, b = from_index(month_index(*last) - int(m[1]) + 1), last
+    elif m := re.fullmatch(r"(\d{4})", said):
+        a, b = _checked(int(m[1]), 1), (int(m[1]), 12)
+    elif " a " in f" {said} ":
+        left, _, right = said.partition(" a ")
+        a, b = parse_month(left), parse_month(right)
+        if a > b:
+            raise ValueError(f"the range is inverted: {text!r}")
+    else:
+        a, b = parse_month(said), last
+    if a > last or b < first:
+        raise ValueError(f"{text!r} is outside {format_month(first)} .. {format_month(last)}")
+    return max(a, first), min(b, last)
+
+
+def month_bounds(month: Month) -> tuple[date, date]:
+    """[first day, first day of the next month)."""
+    return date(*month, 1), date(*from_index(month_index(*month) + 1), 1)
+
+
+def month_tranches(first: date, last: date) -> list[tuple[date, date]]:
+    """The range cut by month, clipped at both ends."""
+    out = []
+    while first <= last:
+        end = min(last, month_bounds((first.year, first.month))[1] - timedelta(days=1))
+        out.append((first, end))
+        first = end + timedelta(days=1)
+    return out
+
+
+def period_filter(first: Month, last: Month) -> Column:
+    """On the partition columns, so that files are pruned."""
+    if first == last:
+        return (F.col("anio") == first[0]) & (F.col("mes") == first[1])
+    return (F.col("anio") * 100 + F.col("mes")).between(first[0] * 100 + first[1], last[0] * 100 + last[1])
+
+
+def check_range(first: date, last: date, have: tuple[date, date] | None = None) -> None:
+    if first > last:
+        raise ValueError(f"the range is inverted: {first} is after {last}")
+    if have and (first < have[0] or last > have[1]):
+        raise ValueError(f"{first} .. {last} is outside {have[0]} .. {have[1]}")
+
+
+def parse_date(text: Column) -> Column:
+    """Dates as yyyy-MM-dd, dd-MM-yyyy or dd/MM/yyyy; null otherwise."""
+    return F.coalesce(*(F.try_to_date(F.trim(text), f) for f in ("yyyy-MM-dd", "dd-MM-yyyy", "dd/MM/yyyy")))
