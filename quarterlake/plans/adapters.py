@@ -21,7 +21,7 @@ def events_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean event value a quarter of an hour; a type is a bus. One month."""
     e = table(spark, sf_dir, "events")
     keys = [F.col("event_type").alias("barra"), F.to_date("ts").alias("fecha"), F.hour("ts").alias("hora"), (F.floor(F.minute("ts") / 15) * 15).cast("int").alias("minuto")]
-    return _canonical(e.groupBy(*keys).agg(F.round(F.avg("value"), 6).alias("cmg_usd_mwh")))
+    return _canonical(e.groupBy(*keys).agg(F.avg("value").alias("cmg_usd_mwh")))
 
 
 def items_series(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,7 +42,7 @@ BLOCK_SQL = "CASE WHEN hora BETWEEN 8 AND 17 THEN 'B' WHEN hora BETWEEN 18 AND 2
 _TAIL_SQL = f"""SELECT barra, fecha, hora, minuto, {BLOCK_SQL} AS bloque, cmg_usd_mwh, hora = 24 AS es_hora_extra,
     CASE WHEN hora < 24 THEN fecha::TIMESTAMP + to_hours(hora) + to_minutes(minuto) END AS fecha_hora, year(fecha)::INT AS anio, month(fecha)::INT AS mes"""
 EVENTS_SQL = f"""ev AS ({_TAIL_SQL} FROM (
-  SELECT event_type AS barra, ts::DATE AS fecha, hour(ts)::INT AS hora, (minute(ts) // 15 * 15)::INT AS minuto, round(avg(value), 6) AS cmg_usd_mwh FROM events GROUP BY ALL))"""
+  SELECT event_type AS barra, ts::DATE AS fecha, hour(ts)::INT AS hora, (minute(ts) // 15 * 15)::INT AS minuto, avg(value) AS cmg_usd_mwh FROM events GROUP BY ALL))"""
 ITEMS_SQL = f"""li AS ({_TAIL_SQL} FROM (
   SELECT l_returnflag || '.' || l_linestatus AS barra, l_shipdate::DATE AS fecha, (l_partkey % 24)::INT AS hora, (l_linenumber % 4 * 15)::INT AS minuto, round(min(l_discount) * 100, 6) AS cmg_usd_mwh
   FROM lineitem GROUP BY ALL))"""

@@ -22,8 +22,8 @@ SPAN_SQL = "fecha BETWEEN DATE '2024-01-03' AND DATE '2024-01-20'"
 AVERAGES_SQL = """avg(cmg_usd_mwh) FILTER (bloque = 'A') AS "A", avg(cmg_usd_mwh) FILTER (bloque = 'B') AS "B", avg(cmg_usd_mwh) FILTER (bloque = 'C') AS "C",
   avg(cmg_usd_mwh) FILTER (bloque = 'B') AS "Solar", avg(cmg_usd_mwh) FILTER (bloque IN ('A', 'C')) AS "NoSolar", avg(cmg_usd_mwh) AS "Total\""""
 ROUNDED = ("A", "B", "C", "Solar", "NoSolar", "Total")
-STATS_SQL = """count(*) AS cuartos, round(avg(cmg_usd_mwh), 6) AS promedio, round(stddev_samp(cmg_usd_mwh), 6) AS desviacion, min(cmg_usd_mwh) AS minimo,
-  max(cmg_usd_mwh) AS maximo, count(*) FILTER (cmg_usd_mwh = 0) AS en_cero"""
+STATS_SQL = """count(*) AS cuartos, round(avg(cmg_usd_mwh), 6) AS promedio, round(stddev_samp(cmg_usd_mwh), 6) AS desviacion, round(min(cmg_usd_mwh), 6) AS minimo,
+  round(max(cmg_usd_mwh), 6) AS maximo, count(*) FILTER (cmg_usd_mwh = 0) AS en_cero"""
 RISK_SQL = """count(*) AS cuartos, round(avg(ref), 6) AS cmg_referencia, round(avg(comp), 6) AS cmg_comparada, round(avg(comp) - avg(ref), 6) AS riesgo_usd_mwh,
   round(CASE WHEN avg(ref) <> 0 THEN (avg(comp) - avg(ref)) / avg(ref) END, 6) AS riesgo_pct, round(min(comp - ref), 6) AS riesgo_minimo,
   round(max(comp - ref), 6) AS riesgo_maximo, count(*) FILTER (ref = 0) AS ref_en_cero"""
@@ -89,7 +89,7 @@ def estadisticas_bloque(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.range_statistics(events_series(spark, sf_dir), "view", FIRST, LAST)
 
 
-@query(f"WITH {EVENTS_SQL} SELECT barra, fecha::VARCHAR AS fecha, hora, minuto, bloque, cmg_usd_mwh, es_hora_extra, strftime(fecha_hora, '%Y-%m-%d %H:%M:%S') AS fecha_hora FROM ev WHERE barra = 'click' AND anio = 2024 AND mes = 1")
+@query(f"WITH {EVENTS_SQL} SELECT barra, fecha::VARCHAR AS fecha, hora, minuto, bloque, round(cmg_usd_mwh, 6) AS cmg_usd_mwh, es_hora_extra, strftime(fecha_hora, '%Y-%m-%d %H:%M:%S') AS fecha_hora FROM ev WHERE barra = 'click' AND anio = 2024 AND mes = 1")
 def serie_quinceminutal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.series_of(events_series(spark, sf_dir), "click", (2024, 1), (2024, 1))
 
@@ -98,8 +98,8 @@ _PAIR_EV = f"""{EVENTS_SQL}, par AS (SELECT r.*, r.cmg_usd_mwh AS ref, c.cmg_usd
   JOIN (SELECT fecha, hora, minuto, cmg_usd_mwh FROM ev WHERE barra = 'view') c USING (fecha, hora, minuto))"""
 _PAIR_LI = f"""{ITEMS_SQL}, par AS (SELECT r.*, r.cmg_usd_mwh AS ref, c.cmg_usd_mwh AS comp FROM (SELECT * FROM li WHERE barra = 'R.F') r
   JOIN (SELECT fecha, hora, minuto, cmg_usd_mwh FROM li WHERE barra = 'N.F') c USING (fecha, hora, minuto))"""
-_RISK_ROWS = """SELECT fecha::VARCHAR AS fecha, hora, minuto, bloque, es_hora_extra, strftime(fecha_hora, '%Y-%m-%d %H:%M:%S') AS fecha_hora, ref AS cmg_referencia,
-  comp AS cmg_comparada, round(comp - ref, 6) AS riesgo_usd_mwh, round(CASE WHEN ref <> 0 THEN (comp - ref) / ref END, 6) AS riesgo_pct FROM par"""
+_RISK_ROWS = """SELECT fecha::VARCHAR AS fecha, hora, minuto, bloque, es_hora_extra, strftime(fecha_hora, '%Y-%m-%d %H:%M:%S') AS fecha_hora, round(ref, 6) AS cmg_referencia,
+  round(comp, 6) AS cmg_comparada, round(comp - ref, 6) AS riesgo_usd_mwh, round(CASE WHEN ref <> 0 THEN (comp - ref) / ref END, 6) AS riesgo_pct FROM par"""
 
 
 @query(f"WITH {_PAIR_EV} {_RISK_ROWS}")
@@ -128,7 +128,7 @@ def intervalos_sin_porcentaje(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.without_percentage(items_series(spark, sf_dir), "R.F", (1996, 1), (1999, 12))
 
 
-@query(f"""WITH {EVENTS_SQL} SELECT fecha::VARCHAR AS fecha, hora, minuto, bloque, {", ".join(f"max(cmg_usd_mwh) FILTER (barra = '{b}') AS {b}" for b in ("purchase", "absent", "click", "view"))}
+@query(f"""WITH {EVENTS_SQL} SELECT fecha::VARCHAR AS fecha, hora, minuto, bloque, {", ".join(f"round(max(cmg_usd_mwh) FILTER (barra = '{b}'), 6) AS {b}" for b in ("purchase", "absent", "click", "view"))}
 FROM ev WHERE barra IN ('purchase', 'click', 'view') AND {SPAN_SQL} GROUP BY fecha, hora, minuto, bloque""")
 def serie_ancha(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.wide_series(events_series(spark, sf_dir), ["purchase", "absent", "click", "view"], FIRST, LAST)
@@ -146,7 +146,7 @@ def resumen_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.base_summary(items_series(spark, sf_dir))
 
 
-@query(f"""WITH {EVENTS_SQL} SELECT count(*) AS cuartos, round(avg(cmg_usd_mwh), 6) AS promedio, min(cmg_usd_mwh) AS minimo, max(cmg_usd_mwh) AS maximo,
+@query(f"""WITH {EVENTS_SQL} SELECT count(*) AS cuartos, round(avg(cmg_usd_mwh), 6) AS promedio, round(min(cmg_usd_mwh), 6) AS minimo, round(max(cmg_usd_mwh), 6) AS maximo,
 count(*) FILTER (cmg_usd_mwh = 0) AS en_cero, sum(es_hora_extra::INT)::BIGINT AS cuartos_hora_extra FROM ev""")
 def estadisticas_exportacion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.export_statistics(events_series(spark, sf_dir))
