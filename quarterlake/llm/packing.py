@@ -29,34 +29,56 @@ class WordTokenizer:
 
     #: Fixed value: the splitting pattern of the vocabulary file, as its ``pre_tokenizer`` states it.
     PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-    SPECIAL = b"<|"
+    SPECIAL, APART = b"<|", " <|endoftext|> "
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
+        self.apart = self.tok.token_to_id(self.APART.strip())
         self.words: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
     def _encode(self, parts: list[str]) -> Iterator[bytes]:
-        for at in range(0, len(parts), 8_192):
-            for e in self.tok.encode_batch_fast(parts[at : at + 8_192], add_special_tokens=False):
-                yield np.array(e.ids, "<u4").tobytes()
+        """Many parts at once, apart from each other by the special token that no part contains."""
+        for at in range(0, len(parts), 512):
+            some = parts[at : at + 512]
+            ids = np.array(self.tok.encode(self.APART.join(some), add_special_tokens=False).ids, "<u4")
+            cuts = np.flatnonzero(ids == self.apart).tolist()
+            if len(cuts) != len(some) - 1:
+                raise ValueError("the tokenizer does not keep parts apart")
+            raw = ids.tobytes()
+            for begin, end in zip([0, *(c + 1 for c in cuts)], [*cuts, len(ids)], strict=True):
+                yield raw[4 * begin : 4 * end]
+
+    def _parts(self, word: bytes) -> list[str] | None:
+        """A word's parts; None if it must be normalised as a whole."""
+        if word.isalpha():
+            return [word.lower().decode()]
+        core, last = word[:-1], word[-1:]
+        if core.isalpha() and last in b".,;:!?":
+            return [core.lower().decode(), last.decode()]
+        if self.SPECIAL in word:
+            return None
+        text = word.decode()
+        low = text.lower()
+        if not word.isascii():
+            # other letters are normalised as one word first, unless that changes nothing
+            if not text.isprintable() or "Σ" in text or not unicodedata.is_normalized("NFC", text) or not unicodedata.is_normalized("NFC", low):
+                return None
+            if low.isalpha():
+                return [low]
+            if low[-1] in ".,;:!?" and low[:-1].isalpha():
+                return [low[:-1], low[-1]]
+        return self.PARTS.findall(low)
 
     def _learn(self, words: set[bytes]) -> None:
-        plain = [(w, self.PARTS.findall(w.decode().lower())) for w in words if w.isascii() and self.SPECIAL not in w]
-        whole = [w for w in words if not w.isascii() or self.SPECIAL in w]
-        # other letters are normalised as one word first, unless that changes nothing
-        for w in whole[:]:
-            t = w.decode()
-            if self.SPECIAL not in w and t.isprintable() and "Σ" not in t and unicodedata.is_normalized("NFC", low := t.lower()) and unicodedata.is_normalized("NFC", t):
-                plain.append((w, self.PARTS.findall(low)))
-            else:
-                self.words[w] = next(self._encode([t]))
-        new = list({p for _, ps in plain for p in ps}.difference(self.parts))
+        split = {w: self._parts(w) for w in words}
+        new = list({p for ps in split.values() if ps for p in ps}.difference(self.parts))
         self.parts.update(zip(new, self._encode(new), strict=True))
         get = self.parts.__getitem__
-        self.words.update((w, b"".join(map(get, ps))) for w, ps in plain)
+        for w, ps in split.items():
+            self.words[w] = b"".join(map(get, ps)) if ps is not None else np.array(self.tok.encode(w.decode(), add_special_tokens=False).ids, "<u4").tobytes()
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         split = [x.split() for x in texts]
