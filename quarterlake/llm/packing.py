@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -29,27 +30,24 @@ class WordTokenizer:
 
     #: Fixed value: the splitting pattern of the vocabulary file, as its ``pre_tokenizer`` states it.
     PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-    SPECIAL, APART = b"<|", " <|endoftext|> "
+    SPECIAL = b"<|"
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.apart = self.tok.token_to_id(self.APART.strip())
+        self.merges = self.tok.model
+        # printable Latin-1 bytes stand for themselves, the others for the characters from 256 on, in order
+        plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+        self.byte_chars = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(plain)))}
         self.words: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
-    def _encode(self, parts: list[str]) -> Iterator[bytes]:
-        """Many parts at once, apart from each other by the special token that no part contains."""
-        for at in range(0, len(parts), 512):
-            some = parts[at : at + 512]
-            ids = np.array(self.tok.encode(self.APART.join(some), add_special_tokens=False).ids, "<u4")
-            cuts = np.flatnonzero(ids == self.apart).tolist()
-            if len(cuts) != len(some) - 1:
-                raise ValueError("the tokenizer does not keep parts apart")
-            raw = ids.tobytes()
-            for begin, end in zip([0, *(c + 1 for c in cuts)], [*cuts, len(ids)], strict=True):
-                yield raw[4 * begin : 4 * end]
+    def _encode(self, part: str) -> bytes:
+        """Ids of one normalised part, straight from the merges: bytes are written as the characters that the vocabulary uses."""
+        written = part if part.isascii() and part.isalnum() else part.encode().decode("latin-1").translate(self.byte_chars)
+        ids = [t.id for t in self.merges.tokenize(written)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _parts(self, word: bytes) -> list[str] | None:
         """A word's parts; None if it must be normalised as a whole."""
@@ -75,7 +73,7 @@ class WordTokenizer:
     def _learn(self, words: set[bytes]) -> None:
         split = {w: self._parts(w) for w in words}
         new = list({p for ps in split.values() if ps for p in ps}.difference(self.parts))
-        self.parts.update(zip(new, self._encode(new), strict=True))
+        self.parts.update(zip(new, map(self._encode, new), strict=True))
         get = self.parts.__getitem__
         for w, ps in split.items():
             self.words[w] = b"".join(map(get, ps)) if ps is not None else np.array(self.tok.encode(w.decode(), add_special_tokens=False).ids, "<u4").tobytes()
