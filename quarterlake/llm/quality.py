@@ -13,6 +13,8 @@ BUCKETS = 1 << 16
 TARGET_DOCS = 20_000
 #: A document goes if its mean log-likelihood ratio a n-gram is below this many nats.
 THRESHOLD = -0.2
+#: n-grams of the raw corpus's distribution that the target is smoothed with: a small target then tells little, not something wrong.
+PRIOR = 16_384.0
 WINDOW = 8
 MIN_WORDS = 20
 
@@ -50,7 +52,8 @@ def ngram_weights(docs: DataFrame, labels: DataFrame, text: str = "text", key: s
     dense = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket")).join(counts, "bucket", "left").fillna(0, ["raw", "target"])
     packed = dense.agg(F.sum("raw").alias("r"), F.sum("target").alias("t"), F.collect_list(F.struct("bucket", "raw", "target")).alias("all"))
     n = float(BUCKETS)
-    ratio = lambda x: F.when(F.col("t") > 0, F.log((x["target"] + 1.0) / (F.col("t") + n)) - F.log((x["raw"] + 1.0) / (F.col("r") + n))).otherwise(F.lit(0.0))
+    p = lambda x: (x["raw"] + 1.0) / (F.col("r") + n)
+    ratio = lambda x: F.when(F.col("t") > 0, F.log((x["target"] + PRIOR * p(x)) / (F.col("t") + PRIOR)) - F.log(p(x))).otherwise(F.lit(0.0))
     return packed.select(F.transform(F.sort_array("all"), ratio).alias("weights"))
 
 
