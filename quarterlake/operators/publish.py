@@ -78,3 +78,24 @@ def with_versions(series: DataFrame, versions: DataFrame) -> DataFrame:
 
 def remove_before(series: DataFrame, first) -> DataFrame:
     return series.where(F.col("fecha") >= F.lit(first))
+
+
+def revisions(changes: DataFrame, spark_origins: DataFrame, first, last) -> DataFrame:
+    """Revisions (fecha, origen_antes, origen_despues, ...) of a day range with origins by name; the first load has none before."""
+    after = spark_origins.select(F.col("origen_id").alias("origen_despues"), F.col("nombre").alias("despues"))
+    before = spark_origins.select(F.col("origen_id").alias("origen_antes"), F.col("nombre").alias("antes"))
+    held = changes.where(F.col("fecha").between(F.lit(first), F.lit(last)))
+    return held.join(F.broadcast(after), "origen_despues").join(F.broadcast(before), "origen_antes", "left").drop("origen_antes", "origen_despues").orderBy("fecha")
+
+
+def preliminary_days(inventory: DataFrame, first, last) -> DataFrame:
+    return inventory.where(F.col("fecha").between(F.lit(first), F.lit(last)) & (F.col("origen") == "pagina_cen_pre")).select("fecha").orderBy("fecha")
+
+
+def buses_with_data(by_bus: DataFrame, first, last) -> DataFrame:
+    """From the monthly table, which is small: months that the range touches."""
+    return by_bus.where((F.col("mes") >= F.trunc(F.lit(first).cast("date"), "month")) & (F.col("mes") <= F.lit(last))).select("barra").distinct().orderBy("barra")
+
+
+def exchange_rates(series: DataFrame) -> DataFrame:
+    return series.where("usd_clp IS NOT NULL").groupBy("fecha").agg(F.max("usd_clp").alias("usd_clp"))
