@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 SPACE = b" \t\n\x0b\x0c\r"
 WORD_GAP = r"[\x20\x09-\x0D]+"
 #: Python workers look at this many bytes of text at a time.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 _own_dir: list[str] = []
 
