@@ -95,5 +95,7 @@ def test_search(spark):
     assert search.search(df, "penablanca").first().barra == "PEÑABLANCA____110"
     assert search.search(df, "cerro navia").first().barra == "C.NAVIA_______220"
     assert [r.barra for r in search.menu_search(df, "elvira").collect()] == ["STA.ELVIRA____013", "STA.ELVIRA____220"]
+    assert [r.barra for r in search.menu_search(df, "quilota 220").collect()][:1] == ["QUILLOTA______220"] and search.menu_search(df, " ").count() == 0
+    assert search.menu_search(df, "013 elvira").first().puntaje < 2 and search.menu_search(df, "sta elvira 013").first().puntaje == 3
     assert search.normalized("PEÑABLANCA____110") == "PENABLANCA 110"
     assert search.read_numbers("1,3-4", 5) == [0, 2, 3] and search.read_numbers("9", 5) is None and search.read_numbers("todas", 2) == [0, 1]
