@@ -17,8 +17,8 @@ from quarterlake.llm.common import WordHasher, crc_of_id, materialize, mix64, sl
 
 #: Bits of the filter for each stored (n-gram, level), and probes a level: about 0.3 % false answers a probe.
 BITS, PROBES = 12, 8
-#: The broadcast filter has at most so many bytes. A corpus that needs more gets fewer bits an entry, so that false answers become
-#: more frequent but no n-gram is left out; at the bound 12 bits hold 90 million entries.
+#: A filter of at most so many bytes is broadcast. A larger one stays in its shards, and the workers' n-grams meet it there by a
+#: shuffle: the same bits an entry and the same scores at every size.
 MAX_FILTER = 128 << 20
 #: Bigrams are stored from this count on, words from 1.
 LEAST_BIGRAM = 2
@@ -105,11 +105,12 @@ def count_ngrams(docs: DataFrame, bits: int) -> DataFrame:
         kind, total, distinct = int(pdf["kind"].iloc[0]), int(n.sum()), len(k)
         if kind == 2:
             k, n = k[n >= LEAST_BIGRAM], n[n >= LEAST_BIGRAM]
-        entries = int((levels_of(n) - below(kind)).sum())
-        return pd.DataFrame({"kind": [kind], "shard": [int(pdf["shard"].iloc[0])], "keys": [k.tobytes()], "vals": [n.tobytes()], "total": [total], "distinct": [distinct], "entries": [entries]})
+        levels = levels_of(n)
+        entries, most = int((levels - below(kind)).sum()), int(levels.max(initial=0))
+        return pd.DataFrame({"kind": [kind], "shard": [int(pdf["shard"].iloc[0])], "keys": [k.tobytes()], "vals": [n.tobytes()], "total": [total], "distinct": [distinct], "entries": [entries], "most": [most]})
 
     chunks = docs.select("text").mapInArrow(gather, "kind int, shard int, keys binary, vals binary")
-    return chunks.groupBy("kind", "shard").applyInPandas(add, "kind int, shard int, keys binary, vals binary, total long, distinct long, entries long")
+    return chunks.groupBy("kind", "shard").applyInPandas(add, "kind int, shard int, keys binary, vals binary, total long, distinct long, entries long, most int")
 
 
 #: Least count of each level, a geometric series of two levels an octave without its repeated whole numbers: 1, 2, 4, 5, 8, 11, 16, ...
@@ -141,6 +142,7 @@ class LogFrequencyFilter:
     offsets: np.ndarray  # first bit of each segment
     data: np.ndarray = field(repr=False)
     below: int = 0  # levels that are not stored
+    most: int = len(LEVELS)  # highest level that any key has
 
     @staticmethod
     def _hashes(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
@@ -160,11 +162,14 @@ class LogFrequencyFilter:
     def __call__(self, keys: np.ndarray) -> np.ndarray:
         """Levels of keys; 0: not stored."""
         shard = (keys >> np.uint64(64 - self.bits)).astype(np.int64)
-        begin, size = self.offsets[shard], (self.offsets[shard + 1] - self.offsets[shard]).astype(np.uint64)
+        return self.levels(keys, self.offsets[shard], (self.offsets[shard + 1] - self.offsets[shard]).astype(np.uint64))
+
+    def levels(self, keys: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Levels of keys in the segments that begin at these bits; at most the highest stored level, however full a segment is."""
         levels = np.zeros(len(keys), np.int64)
         left = np.flatnonzero(size > 0)
         q = 0
-        while len(left):
+        while len(left) and q + self.below < self.most:
             q += 1
             h, g = self._hashes(keys[left], q)
             for i in range(PROBES):
@@ -179,14 +184,16 @@ class LogFrequencyFilter:
 
 @dataclass
 class Model:
-    words: LogFrequencyFilter
-    pairs: LogFrequencyFilter
+    words: LogFrequencyFilter | None  # None: the filters are in the segments
+    pairs: LogFrequencyFilter | None
     n_tokens: int
     n_words: int
     head: np.ndarray = field(repr=False)
     head_counts: np.ndarray = field(repr=False)
     counts: DataFrame = field(repr=False)
     bits: int
+    segments: DataFrame | None = field(default=None, repr=False)
+    most: dict[int, int] = field(default_factory=dict)
 
     def scorer(self) -> Scorer:
         return Scorer(self.words, self.pairs, self.n_tokens, self.n_words, self.head, self.head_counts, self.bits)
@@ -196,8 +203,8 @@ class Model:
 class Scorer:
     """What the workers get."""
 
-    words: LogFrequencyFilter
-    pairs: LogFrequencyFilter
+    words: LogFrequencyFilter | None
+    pairs: LogFrequencyFilter | None
     n_tokens: int
     n_words: int
     head: np.ndarray
@@ -205,36 +212,38 @@ class Scorer:
     bits: int
 
     def token_scores(self, tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """log10 p(token | token before): PAIR_SHARE c(pair) / c(before) + (1 - PAIR_SHARE) p(token), with
-        p(token) = (c + 1) / (N + V + 1), counts from the filters. A context never seen gives p(token)."""
-        before, pair = bigram_hashes(tokens, starts)
-        ids, at = np.unique(np.concatenate([tokens, before]), return_inverse=True)
-        single = count_of(self.words(ids))
-        p = (single[at[: len(tokens)]] + 1) / (self.n_tokens + self.n_words + 1)
-        context = single[at[len(tokens) :]]
-        context[before == START] = self.n_starts()
-        pairs, where = np.unique(pair, return_inverse=True)
-        joint = count_of(self.pairs(pairs))[where]
-        share = np.where(context > 0, PAIR_SHARE, 0.0)
-        return np.log10(share * np.minimum(joint, context) / np.maximum(context, 1) + (1 - share) * p)
-
-    def n_starts(self) -> float:
-        """Texts seen: as many as ends."""
-        return float(count_of(self.words(np.array([END])))[0])
-
-
-def _filter(counts: DataFrame, kind: int, bits: int, per_entry: float) -> LogFrequencyFilter:
-    least = below(kind)
+        ids, at = np.unique(tokens, return_inverse=True)
+        pairs, where = np.unique(bigram_hashes(tokens, starts)[1], return_inverse=True)
+        return log_shares(self.words(ids), self.pairs(pairs), at, where, starts, int(np.searchsorted(ids, END)), self.n_tokens, self.n_words)
+
+
+def log_shares(words: np.ndarray, pairs: np.ndarray, at: np.ndarray, where: np.ndarray, starts: np.ndarray, end: int, n_tokens: int, n_words: int) -> np.ndarray:
+    """log10 p(token | token before): PAIR_SHARE c(pair) / c(before) + (1 - PAIR_SHARE) p(token), with p(token) = (c + 1) / (N + V + 1),
+    counts from the filters' levels. A context never seen gives p(token). Texts seen are as many as ends (word ``end``)."""
+    single, joint = count_of(words), count_of(pairs)[where]
+    p = (single[at] + 1) / (n_tokens + n_words + 1)
+    context = np.concatenate([[0.0], single[at[:-1]]]) if len(at) else single[at]
+    context[starts[:-1]] = single[end] if len(single) else 0.0
+    share = np.where(context > 0, PAIR_SHARE, 0.0)
+    return np.log10(share * np.minimum(joint, context) / np.maximum(context, 1) + (1 - share) * p)
+
+
+def _segments(counts: DataFrame) -> DataFrame:
+    """(kind, shard, segment): the filters of both kinds."""
 
     def build(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in pdfs:
             out = []
-            for shard, keys, vals, entries in zip(pdf["shard"], pdf["keys"], pdf["vals"], pdf["entries"], strict=True):
-                size = -(-max(8, math.ceil(entries * per_entry)) // 8) * 8 if entries else 0
-                out.append((shard, LogFrequencyFilter.segment(np.frombuffer(keys, "<u8"), np.frombuffer(vals, "<u8"), size, least) if size else b""))
-            yield pd.DataFrame(out, columns=["shard", "segment"])
+            for kind, shard, keys, vals, entries in zip(pdf["kind"], pdf["shard"], pdf["keys"], pdf["vals"], pdf["entries"], strict=True):
+                size = -(-max(8, entries * BITS) // 8) * 8 if entries else 0
+                out.append((kind, shard, LogFrequencyFilter.segment(np.frombuffer(keys, "<u8"), np.frombuffer(vals, "<u8"), size, below(kind)) if size else b""))
+            yield pd.DataFrame(out, columns=["kind", "shard", "segment"])
+
+    return counts.select("kind", "shard", "keys", "vals", "entries").mapInPandas(build, "kind int, shard int, segment binary")
 
-    rows = counts.where(F.col("kind") == kind).select("shard", "keys", "vals", "entries").mapInPandas(build, "shard int, segment binary").collect()
+
+def _filter(counts: DataFrame, kind: int, bits: int, most: int) -> LogFrequencyFilter:
+    rows = _segments(counts.where(F.col("kind") == kind)).select("shard", "segment").collect()
     sizes = np.zeros(1 << bits, np.int64)
     for r in rows:
         sizes[r["shard"]] = len(r["segment"])
@@ -243,7 +252,7 @@ def _filter(counts: DataFrame, kind: int, bits: int, per_entry: float) -> LogFre
     while rows:  # one copy of the filter, not three
         r = rows.pop()
         data[offsets[r["shard"]] : offsets[r["shard"] + 1]] = np.frombuffer(r["segment"], np.uint8)
-    return LogFrequencyFilter(bits, offsets * 8, data, least)
+    return LogFrequencyFilter(bits, offsets * 8, data, below(kind), most)
 
 
 def shard_bits(docs: DataFrame) -> int:
@@ -252,15 +261,18 @@ def shard_bits(docs: DataFrame) -> int:
 
 
 def train(docs: DataFrame, text: str = "text", max_filter: int = MAX_FILTER) -> Model:
-    """Count the n-grams of all rows and store their quantised counts in filters."""
+    """Count the n-grams of all rows and store their quantised counts in filters, on the driver if both fit ``max_filter`` bytes."""
     bits = shard_bits(docs)
     counts = materialize(count_ngrams(docs.select(F.col(text).alias("text")), bits), "lm-counts")
-    sums = {r["kind"]: r for r in counts.groupBy("kind").agg(F.sum("total").alias("total"), F.sum("distinct").alias("distinct"), F.sum("entries").alias("entries")).collect()}
+    sums = {r["kind"]: r for r in counts.groupBy("kind").agg(F.sum("total").alias("total"), F.sum("distinct").alias("distinct"), F.sum("entries").alias("entries"), F.max("most").alias("most")).collect()}
     entries = sum(r["entries"] for r in sums.values())
-    per_entry = min(float(BITS), 8.0 * max_filter / max(1, entries))
     head, head_counts = _head(counts)
     one = sums.get(1)
-    return Model(_filter(counts, 1, bits, per_entry), _filter(counts, 2, bits, per_entry), one["total"] if one else 0, one["distinct"] if one else 0, head, head_counts, counts, bits)
+    most = {kind: sums[kind]["most"] if kind in sums else 0 for kind in (1, 2)}
+    fits = entries * BITS <= 8 * max_filter
+    words, pairs = (_filter(counts, 1, bits, most[1]), _filter(counts, 2, bits, most[2])) if fits else (None, None)
+    segments = None if fits else materialize(_segments(counts), "lm-filter")
+    return Model(words, pairs, one["total"] if one else 0, one["distinct"] if one else 0, head, head_counts, counts, bits, segments, most)
 
 
 def _head(counts: DataFrame, most: int = HEAD) -> tuple[np.ndarray, np.ndarray]:
@@ -293,10 +305,41 @@ def _head(counts: DataFrame, most: int = HEAD) -> tuple[np.ndarray, np.ndarray]:
     return keys[order], vals[order]
 
 
+def _shuffled_scores(both: DataFrame, model: Model) -> DataFrame:
+    """(row, score): the distinct n-grams of each slice of texts go to their shards of the filter, and their levels return to it."""
+    most, n_tokens, n_words = model.most, model.n_tokens, model.n_words
+
+    def answer(asked: pd.DataFrame, have: pd.DataFrame) -> pd.DataFrame:
+        keys = [np.frombuffer(k, "<u8") for k in asked["keys"]]
+        if not keys:
+            return pd.DataFrame({"unit": [], "kind": [], "shard": [], "levels": []})
+        kind = int(asked["kind"].iloc[0])
+        data = np.frombuffer(b"".join(have["segment"]), np.uint8)
+        every = np.concatenate(keys)
+        part = LogFrequencyFilter(0, np.array([0, 8 * len(data)]), data, below(kind), most[kind])
+        levels = part.levels(every, np.zeros(len(every), np.int64), np.full(len(every), 8 * len(data), np.uint64)).astype("u1")
+        parts = np.split(levels, np.cumsum([len(k) for k in keys])[:-1])
+        return pd.DataFrame({"unit": asked["unit"], "kind": asked["kind"], "shard": asked["shard"], "levels": [x.tobytes() for x in parts]})
+
+    def score(texts: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
+        texts, got = texts.sort_values("row"), got.sort_values(["kind", "shard"])
+        words, pairs = (np.frombuffer(b"".join(got.loc[got["kind"] == k, "levels"]), "u1").astype(np.int64) for k in (1, 2))
+        ids, said = np.frombuffer(texts["keys"].iloc[0], "<u8"), [np.frombuffer(x, "<u4") for x in texts["said"]]
+        starts, at = np.concatenate([[0], np.cumsum([len(x) for x in said])]), np.concatenate(said).astype(np.int64)
+        where = np.unique(bigram_hashes(ids[at], starts)[1], return_inverse=True)[1]
+        scores = log_shares(words, pairs, at, where, starts, int(np.searchsorted(ids, END)), n_tokens, n_words)
+        return pd.DataFrame({"row": texts["row"], "score": np.add.reduceat(scores, starts[:-1])})
+
+    asked = both.where("kind > 0").select("kind", "shard", "unit", "keys")
+    levels = asked.groupBy("kind", "shard").cogroup(model.segments.groupBy("kind", "shard")).applyInPandas(answer, "unit long, kind int, shard int, levels binary")
+    texts = both.where("row IS NOT NULL").select("row", "unit", "said", "keys")
+    return texts.groupBy("unit").cogroup(levels.groupBy("unit")).applyInPandas(score, "row long, score double")
+
+
 def score_documents(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(row, doc_id, held_out, n_tokens, n_known, base_score, score) of every row; ``held_out`` must be a column of ``docs``.
 
-    ``score`` is the model's log10 probability of the text. ``base_score`` uses exact word counts: the most frequent words' are
+    ``score`` is the model's log10 probability of the text; a filter too large to broadcast is asked by shuffles of each slice's n-grams. ``base_score`` uses exact word counts: the most frequent words' are
     broadcast, other (word, row) pairs meet theirs in the shard of the word, and their sums return to the row.
 
     Defined results: null or empty text = the end token alone; null ids stay; repeated rows are scored each; an untrained model
@@ -312,7 +355,19 @@ def score_documents(docs: DataFrame, model: Model, text: str = "text", key: str
         for batch, texts in slices(batches):
             tokens, starts = token_hashes(texts)
             n = np.diff(starts)
-            scores = np.add.reduceat(m.token_scores(tokens, starts), starts[:-1])
+            count = len(texts)
+            probes, unit, said = [], [None] * count, [None] * count
+            ids = [None] * count
+            if m.words is None:
+                some, where = np.unique(tokens, return_inverse=True)
+                pairs = np.unique(bigram_hashes(tokens, starts)[1])
+                for k, grams in ((1, some), (2, pairs)):
+                    probes += [(k, s, keys, None, row) for _, s, keys, _ in _chunks(k, grams, np.zeros(len(grams)), m.bits, "u1")]
+                unit, ids[0] = [row] * count, some.tobytes()
+                said = [x.astype("<u4").tobytes() for x in np.split(where, starts[1:-1])]
+                scores = pa.nulls(count, pa.float64())
+            else:
+                scores = pa.array(np.add.reduceat(m.token_scores(tokens, starts), starts[:-1]))
             at = np.minimum(np.searchsorted(m.head, tokens), max(0, len(m.head) - 1))
             known = m.head[at] == tokens if len(m.head) else np.zeros(len(tokens), bool)
             logs = np.where(known, np.log10((m.head_counts[at] if len(m.head) else np.zeros(len(tokens))) + 1.0), 0.0)
@@ -320,22 +375,24 @@ def score_documents(docs: DataFrame, model: Model, text: str = "text", key: str
             owner = np.repeat(np.arange(len(texts), dtype=np.int64), n)[~known]
             tail = tokens[~known]
             order = np.argsort(tail, kind="stable")
-            rows = [(None, None, None, None, None, None, None, s, k, v) for _, s, k, v in _chunks(0, tail[order], owner[order] + row, m.bits, "<i8")]
-            count = len(texts)
+            rows = [(0, s, k, v, None) for _, s, k, v in _chunks(0, tail[order], owner[order] + row, m.bits, "<i8")] + probes
             nulls = lambda t, c: pa.nulls(c, t)
-            main = [pa.array(row + np.arange(count)), batch.column("doc_id"), batch.column("held_out"), pa.array(n.astype(np.int64)), pa.array(n_known), pa.array(sums), pa.array(scores), nulls(pa.int32(), count), nulls(pa.binary(), count), nulls(pa.binary(), count)]
-            names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "sums", "score", "shard", "keys", "rows"]
+            own = [pa.array(row + np.arange(count)), batch.column("doc_id"), batch.column("held_out"), pa.array(n.astype(np.int64)), pa.array(n_known), pa.array(sums), scores, pa.array(said, pa.binary())]
+            main = [*own, nulls(pa.int32(), count), nulls(pa.int32(), count), pa.array(ids, pa.binary()), nulls(pa.binary(), count), pa.array(unit, pa.int64())]
+            names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "sums", "score", "said", "kind", "shard", "keys", "rows", "unit"]
             yield pa.RecordBatch.from_arrays(main, names)
             if rows:
-                other = [nulls(c.type, len(rows)) for c in main[:7]]
-                s, k, v = zip(*((r[7], r[8], r[9]) for r in rows), strict=True)
-                yield pa.RecordBatch.from_arrays([*other, pa.array(s, pa.int32()), pa.array(k, pa.binary()), pa.array(v, pa.binary())], names)
+                other = [nulls(c.type, len(rows)) for c in own]
+                types = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64())
+                yield pa.RecordBatch.from_arrays([*other, *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True))], names)
             row += count
 
     source = docs.select(F.col(key).alias("doc_id"), "held_out", F.col(text).alias("text"))
-    schema = f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, sums double, score double, shard int, keys binary, rows binary"
+    schema = f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, sums double, score double, said binary, kind int, shard int, keys binary, rows binary, unit long"
     both = materialize(source.mapInArrow(run, schema), "lm-scores")
-    main, tail = both.where("row IS NOT NULL").drop("shard", "keys", "rows"), both.where("row IS NULL").select("shard", "keys", "rows")
+    main, tail = both.where("row IS NOT NULL").drop("said", "kind", "shard", "keys", "rows", "unit"), both.where("kind = 0").select("shard", "keys", "rows")
+    if model.segments is not None:
+        main = main.drop("score").join(_shuffled_scores(both, model), "row")
 
     def meet(asked: pd.DataFrame, have: pd.DataFrame) -> pd.DataFrame:
         k = np.frombuffer(b"".join(asked["keys"]), "<u8")

@@ -245,6 +245,30 @@ def test_lm_scoring(spark):
     assert all(x.score < 0 and math.isfinite(x.score) for x in got)
 
 
+def test_a_filter_too_large_to_broadcast_gives_the_same_scores(spark):
+    r = random.Random(6)
+    vocab = [word(r) for _ in range(3000)]
+    rows = [(i, " ".join(r.choice(vocab[: r.choice([5, 100, 3000])]) for _ in range(r.randint(0, 90)))) for i in range(300)]
+    rows += [(400, None), (401, ""), (3, rows[3][1]), (None, "nevernever seen"), (402, "w " * 3000), (403, " ".join(vocab))]
+    docs = table(spark, rows).withColumn("held_out", crc_of_id() % 7 == 2).repartition(3, "text")
+    trained = docs.where(~F.col("held_out"))
+    said = lambda m: sorted(((str(x.doc_id), x.n_tokens, x.n_known, round(x.base_score, 9), round(x.score, 9)) for x in lm_scoring.score_documents(docs, m).collect()))
+    want = said(lm_scoring.train(trained))
+    for most in (0, 100):
+        assert said(lm_scoring.train(trained, max_filter=most)) == want and len(want) == len(rows)
+    nothing = trained.where("false")
+    assert said(lm_scoring.train(nothing, max_filter=-1)) == said(lm_scoring.train(nothing))
+    assert lm_scoring.score_documents(docs.where("false"), lm_scoring.train(trained, max_filter=0)).count() == 0
+
+
+def test_a_full_segment_ends_at_the_highest_stored_level():
+    full = lm_scoring.LogFrequencyFilter(1, np.array([0, 64, 128]), np.full(17, 255, np.uint8), 1, 5)
+    keys = np.random.default_rng(1).integers(0, 1 << 63, 100, dtype=np.uint64)
+    assert (full(keys) == 5).all() and np.isfinite(lm_scoring.count_of(full(keys))).all()
+    without = lm_scoring.LogFrequencyFilter(1, full.offsets, full.data)
+    assert np.isfinite(lm_scoring.count_of(without(keys))).all()
+
+
 def test_tail_words_meet_their_counts(spark, monkeypatch):
     monkeypatch.setattr(lm_scoring, "_head", lambda counts: (np.zeros(0, np.uint64), np.zeros(0, np.uint64)))
     docs = table(spark, [(1, "a b a"), (2, "b c"), (3, "d")]).withColumn("held_out", F.col("doc_id") == 3)
