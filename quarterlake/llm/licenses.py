@@ -1,8 +1,9 @@
-"""License scans: sparse TF-IDF cosine of notice lines to license templates, then inheritance from the nearest ancestor directory.
+"""License scans: sparse TF-IDF cosine of windows of terms to license wordings, then inheritance from the nearest ancestor directory.
 DataFrame functions only."""
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quarterlake.llm.common import table
 
-# Short notices of public licenses.
+# Short notices of public licenses. OP9_SQL compares lines with these alone; the query with all WORDINGS.
 TEMPLATES = {
     "AGPL-3.0": "This program is licensed under the GNU Affero General Public License, version 3",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
@@ -29,7 +30,7 @@ TEMPLATES = {
     "MPL-2.0": "Subject to the terms of the Mozilla Public License, version 2.0",
     "Unlicense": "This is free and unencumbered software released into the public domain under the Unlicense",
 }
-#: A line is a notice if it holds one of these and comes this near to a template.
+#: Words as near as this to a template are a notice; OP9_SQL looks only at lines with one of the cues.
 CUES = ("licen", "copyright", "public domain", "spdx")
 COSINE = 0.6
 #: A document is its directory's license file if at least this share of its words is in notices, or by its name.
@@ -50,44 +51,87 @@ def _values() -> str:
     return ", ".join(f"('{name}', '{term}', {tf})" for name, term, tf in TEMPLATE_TERMS)
 
 
+#: Other wordings of the same licenses.
+SHORT = [
+    ("AGPL-3.0", "Licensed under AGPL 3.0"),
+    ("Apache-2.0", "Licensed under Apache 2.0"),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License"),
+    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License"),
+    ("CC-BY-4.0", "Licensed under CC BY 4.0"),
+    ("CC-BY-4.0", "Creative Commons Attribution 4.0 International License"),
+    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0"),
+    ("CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International License"),
+    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0"),
+    ("CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0 International License"),
+    ("CC0-1.0", "Licensed under CC0 1.0"),
+    ("EPL-2.0", "Licensed under EPL 2.0"),
+    ("GPL-2.0", "Licensed under GPL 2.0"),
+    ("GPL-3.0", "Licensed under GPL 3.0"),
+    ("ISC", "Licensed under the ISC License"),
+    ("LGPL-3.0", "Licensed under LGPL 3.0"),
+    ("MIT", "Licensed under the MIT License"),
+    ("MPL-2.0", "Licensed under MPL 2.0"),
+    ("Unlicense", "Released under the Unlicense"),
+]
+WORDINGS = [*TEMPLATES.items(), *SHORT]
+#: Windows are laid so that one of these terms is where a wording has it, or one place off.
+ANCHORS = ("license", "licensed", "domain", "unlicense")
+#: idf = ln((licenses + 1) / (licenses with the term + 1)) + 1, over the wordings: a verdict depends on the text alone, not on the table.
+_NAMES = {name for name, _ in WORDINGS}
+_HOLD = {t: {n for n, y in WORDINGS if t in _terms(y)} for _, x in WORDINGS for t in _terms(x)}
+IDF = {t: math.log((len(_NAMES) + 1) / (len(n) + 1)) + 1 for t, n in sorted(_HOLD.items())}
+OTHER_IDF = math.log(len(_NAMES) + 1) + 1
+REACH = max(len(_terms(x)) for _, x in WORDINGS)
+
+
 def terms_of(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), TERM_GAP), "")
 
 
 def _is_cue(text: Column) -> Column:
     low = F.lower(text)
-    out = low.contains(CUES[0])
-    for cue in CUES[1:]:
-        out = out | low.contains(cue)
+    out = low.contains(ANCHORS[0])
+    for anchor in ANCHORS[1:]:
+        out = out | low.contains(anchor)
     return out
 
 
-def term_weights(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(name, term, w, norm): TF-IDF of the templates' terms, idf = ln((rows + 1) / (rows with the term + 1)) + 1 over all rows.
-    As many rows as the templates have terms."""
-    spark = docs.sparkSession
-    own = F.array(*(F.lit(t) for t in VOCABULARY))
-    held = docs.select(F.explode_outer(F.array_intersect(own, terms_of(F.col(text)))).alias("term"))
-    df = held.groupBy("term").agg(F.count(F.lit(1)).alias("df")).where("term IS NOT NULL")
-    rows = docs.agg(F.count(F.lit(1)).alias("n"))
-    given = spark.sql(f"SELECT * FROM VALUES {_values()} AS t(name, term, tf)")
-    weighed = given.join(F.broadcast(df), "term", "left").select("name", "term", "tf", (F.log((rows.scalar() + 1.0) / (F.coalesce("df", F.lit(0)) + 1.0)) + 1.0).alias("idf"))
-    norms = weighed.groupBy("name").agg(F.sqrt(F.sum(F.pow(F.col("tf") * F.col("idf"), 2.0))).alias("norm"))
-    return weighed.join(F.broadcast(norms), "name").select("name", "term", "idf", (F.col("tf") * F.col("idf")).alias("w"), "norm")
-
-
-def notices(docs: DataFrame, weights: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(doc_id, own_license, cosine, notice_words) of documents with a notice: the template nearest to any of its lines (ties: by
-    name) and the words of all its notice lines. A word outside the templates weighs 1 in its line."""
-    some = docs.where(_is_cue(F.col(text))).select(F.col(key).alias("doc_id"), F.posexplode(F.split(text, "\n")).alias("line", "said")).where(_is_cue(F.col("said")))
-    words = some.select("doc_id", "line", terms_of(F.col("said")).alias("terms")).withColumn("n_terms", F.size("terms"))
-    each = words.select("doc_id", "line", "n_terms", F.explode("terms").alias("term")).groupBy("doc_id", "line", "n_terms", "term").agg(F.count(F.lit(1)).alias("tf"))
-    idf = weights.select("term", "idf").distinct()
-    lines = each.join(F.broadcast(idf), "term", "left").groupBy("doc_id", "line", "n_terms").agg(F.sqrt(F.sum(F.when(F.col("idf").isNull(), F.col("tf").cast("double")).otherwise(F.pow(F.col("tf") * F.col("idf"), 2.0)))).alias("line_norm"))
-    dots = each.join(F.broadcast(weights), "term").groupBy("doc_id", "line", "name").agg((F.sum(F.col("tf") * F.col("idf") * F.col("w")) / F.first("norm")).alias("dot"))
-    near = dots.join(lines, [dots.doc_id.eqNullSafe(lines.doc_id), dots.line == lines.line]).select(dots.doc_id, dots.line, "name", "n_terms", F.round(F.col("dot") / F.col("line_norm"), 9).alias("cosine"))
-    best = near.groupBy("doc_id", "line", "n_terms").agg(F.min(F.struct((-F.col("cosine")).alias("c"), "name")).alias("best")).where(-F.col("best.c") >= COSINE)
-    return best.groupBy("doc_id").agg(F.min("best").alias("best"), F.sum("n_terms").alias("notice_words")).select("doc_id", F.col("best.name").alias("own_license"), (-F.col("best.c")).alias("cosine"), "notice_words")
+def wordings(spark: SparkSession) -> DataFrame:
+    """(anchor, at, name, n_terms, weights): each anchor of each wording, its place, and the unit TF-IDF vector of the wording."""
+    rows = []
+    for name, text in WORDINGS:
+        terms = _terms(text)
+        w = {t: terms.count(t) * IDF[t] for t in terms}
+        norm = math.sqrt(sum(x * x for x in w.values()))
+        rows += [(t, at, name, len(terms), {k: x / norm for k, x in w.items()}) for at, t in enumerate(terms) if t in ANCHORS]
+    return spark.createDataFrame(rows, "anchor string, at int, name string, n_terms int, weights map<string,double>")
+
+
+def windows(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(doc_id, said, place, begin, stop, name, n_terms, cosine) of the windows of terms that come near to a wording, each as long as the
+    wording; line ends do not matter. Terms of no wording weigh as much as the rarest."""
+    idf = F.create_map(*(F.lit(x) for pair in IDF.items() for x in pair))
+    some = docs.where(_is_cue(F.col(text))).select(F.col(key).alias("doc_id"), F.xxhash64(text).alias("said"), terms_of(F.col(text)).alias("terms"))
+    places = F.filter(F.transform("terms", lambda t, i: F.when(t.isin(*ANCHORS), i)), lambda i: i.isNotNull())
+    at = some.select("doc_id", "said", "terms", F.explode(places).alias("place")).withColumn("first", F.greatest(F.col("place") - REACH, F.lit(0)))
+    near = at.select("doc_id", "said", "place", "first", F.slice("terms", F.col("first") + 1, F.lit(2 * REACH + 1)).alias("around"))
+    near = near.select("doc_id", "said", "place", "first", F.element_at("around", F.col("place") - F.col("first") + 1).alias("anchor"), F.transform("around", lambda t: F.struct(t.alias("t"), F.coalesce(idf[t], F.lit(OTHER_IDF)).alias("idf"))).alias("around"))
+    laid = near.join(F.broadcast(wordings(docs.sparkSession)), "anchor").withColumn("off", F.explode(F.array(*(F.lit(i) for i in (-1, 0, 1)))))
+    laid = laid.withColumn("begin", F.col("place") - F.col("at") + F.col("off")).where(F.col("begin") >= F.col("first"))
+    laid = laid.select("doc_id", "said", "place", "begin", "name", "n_terms", "weights", F.slice("around", F.col("begin") - F.col("first") + 1, F.col("n_terms")).alias("window")).where(F.size("window") > 0)
+    dot = F.aggregate("window", F.lit(0.0), lambda a, x: a + x["idf"] * F.coalesce(F.col("weights")[x["t"]], F.lit(0.0)))
+    square = F.aggregate("window", F.lit(0.0), lambda a, x: a + x["idf"] * x["idf"] * F.size(F.filter("window", lambda y: y["t"] == x["t"])))
+    stop = (F.col("begin") + F.size("window")).alias("stop")
+    return laid.select("doc_id", "said", "place", "begin", stop, "name", "n_terms", F.round(dot / F.sqrt(square), 9).alias("cosine")).where(F.col("cosine") >= COSINE)
+
+
+def notices(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(doc_id, own_license, cosine, notice_words) of documents with a notice: the wording nearest to any window (ties: the longer
+    wording, the earlier window, the name) and the words in the best windows of all anchors."""
+    rank = F.struct((-F.col("cosine")).alias("c"), (-F.col("n_terms")).alias("l"), "begin", "name", "stop")
+    near = windows(docs, text, key).groupBy("doc_id", "said", "place").agg(F.min(rank).alias("best"))
+    words = near.select("doc_id", "said", "best", F.explode(F.sequence("best.begin", F.col("best.stop") - 1)).alias("word")).groupBy("doc_id", "said", "word").agg(F.min("best").alias("best"))
+    return words.groupBy("doc_id").agg(F.min("best").alias("best"), F.count(F.lit(1)).alias("notice_words")).select("doc_id", F.col("best.name").alias("own_license"), (-F.col("best.c")).alias("cosine"), "notice_words")
 
 
 def scan_licenses(docs: DataFrame, path: Column, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -100,7 +144,7 @@ def scan_licenses(docs: DataFrame, path: Column, text: str = "text", key: str =
     rows of one id share their notices; an empty table gives an empty table; other columns are ignored.
     """
     docs = docs.select(F.col(key).alias("doc_id"), path.alias("path"), F.col(text).alias("text"))
-    found = notices(docs, term_weights(docs))
+    found = notices(docs)
     small = docs.select("doc_id", "path", F.when(_is_cue(F.col("text")), F.size(terms_of(F.col("text")))).alias("n_words"))
     held = small.join(found.withColumnRenamed("doc_id", "found_id"), F.col("doc_id").eqNullSafe(F.col("found_id")), "left").drop("found_id")
     held = held.withColumn("dir", F.when(F.col("path").contains("/"), F.regexp_replace("path", "/[^/]*$", "")).when(F.col("path").isNotNull(), F.lit("")))

@@ -309,3 +309,40 @@ def test_licenses(spark):
         (8, None, "GPL-3.0", ""), (8, None, "GPL-3.0", ""), (9, "GPL-3.0", "GPL-3.0", None),
     ], key=str)
     assert licenses.scan_licenses(docs.where("false"), F.col("path")).count() == 0
+
+
+PLANTED = {
+    "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+    "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+    "Released under the MIT License.": "MIT",
+    "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
+}
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_each_planted_notice_is_found_at_each_size(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").select("doc_id", "text")
+    found = {r.doc_id: (r.own_license, r.cosine, r.notice_words) for r in licenses.notices(docs).collect()}
+    n = 0
+    for r in docs.collect():
+        said = {PLANTED[x] for x in (r.text or "").split("\n") if x in PLANTED}
+        n += len(said)
+        if said:
+            assert found[r.doc_id][0] in said and found[r.doc_id][1:] == (1, sum(len(licenses._terms(x)) for x in r.text.split("\n") if x in PLANTED))
+    assert n > 2
+
+
+def test_verdicts_do_not_depend_on_the_other_rows(spark):
+    rows = list(enumerate(PLANTED))
+    few = {r.doc_id: (r.own_license, r.cosine) for r in licenses.notices(table(spark, rows)).collect()}
+    more = table(spark, rows).union(spark.range(1000, 21_000).selectExpr("id", "'plain words without a notice'", "'en'", "'s'", "5L"))
+    assert few == {r.doc_id: (r.own_license, r.cosine) for r in licenses.notices(more).collect()} and [few[i][0] for i, _ in rows] == list(PLANTED.values())
+
+
+def test_notices_in_long_lines_and_wrapped_headers(spark):
+    prose = "here are some other words of no weight " * 6
+    rows = [
+        (1, prose + "Licensed under the Apache License, Version 2.0. " + prose), (2, "# Licensed under the\n#   Apache License,\n# Version 2.0"), (3, prose + "licensed by nobody " + prose),
+        (4, "// This work is licensed under the GNU\n// Lesser General Public\n// License, version 3"), (5, "the license of the version of the work, and this program"),
+    ]
+    assert {r.doc_id: r.own_license for r in licenses.notices(table(spark, rows)).collect()} == {1: "Apache-2.0", 2: "Apache-2.0", 4: "LGPL-3.0"}
