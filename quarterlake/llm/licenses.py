@@ -73,9 +73,40 @@ SHORT = [
     ("MPL-2.0", "Licensed under MPL 2.0"),
     ("Unlicense", "Released under the Unlicense"),
 ]
-WORDINGS = [*TEMPLATES.items(), *SHORT]
+#: Reservations, and titles and passages by which whole license texts are known; the rest of those texts is not compared.
+PASSAGES = [
+    ("AGPL-3.0", "GNU Affero General Public License Version 3, 19 November 2007"),
+    ("AGPL-3.0", "under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License"),
+    ("All-Rights-Reserved", "All rights reserved"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("CC-BY-4.0", "Creative Commons Attribution 4.0 International Public License"),
+    ("CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International Public License"),
+    ("CC-BY-NC-ND-4.0", "Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International Public License"),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0"),
+    ("CC-BY-NC-SA-4.0", "Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International Public License"),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0"),
+    ("CC-BY-ND-4.0", "Creative Commons Attribution-NoDerivatives 4.0 International Public License"),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0"),
+    ("CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0 International Public License"),
+    ("CC0-1.0", "Creative Commons Legal Code CC0 1.0 Universal"),
+    ("EPL-2.0", "Eclipse Public License - v 2.0"),
+    ("GPL-2.0", "GNU General Public License Version 2, June 1991"),
+    ("GPL-2.0", "under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License"),
+    ("GPL-3.0", "GNU General Public License Version 3, 29 June 2007"),
+    ("GPL-3.0", "under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    ("LGPL-3.0", "GNU Lesser General Public License Version 3, 29 June 2007"),
+    ("LGPL-3.0", "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License"),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain"),
+]
+SPDX = [(name, f"SPDX-License-Identifier: {name}{end}") for name in sorted({n for n, _ in [*SHORT, *PASSAGES]} - {"All-Rights-Reserved"}) for end in (("", "-only", "-or-later") if "GPL" in name else ("",))]
+WORDINGS = [*TEMPLATES.items(), *SHORT, *PASSAGES, *SPDX]
 #: Windows are laid so that one of these terms is where a wording has it, or one place off.
-ANCHORS = ("license", "licensed", "domain", "unlicense")
+ANCHORS = ("license", "licensed", "domain", "unlicense", "reserved", "spdx", "cc0", "granted", "redistribution", "endorse")
 #: idf = ln((licenses + 1) / (licenses with the term + 1)) + 1, over the wordings: a verdict depends on the text alone, not on the table.
 _NAMES = {name for name, _ in WORDINGS}
 _HOLD = {t: {n for n, y in WORDINGS if t in _terms(y)} for _, x in WORDINGS for t in _terms(x)}

@@ -312,6 +312,7 @@ def test_licenses(spark):
 
 
 PLANTED = {
+    "All rights reserved.": "All-Rights-Reserved",
     "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
     "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
     "Released under the MIT License.": "MIT",
@@ -346,3 +347,25 @@ def test_notices_in_long_lines_and_wrapped_headers(spark):
         (4, "// This work is licensed under the GNU\n// Lesser General Public\n// License, version 3"), (5, "the license of the version of the work, and this program"),
     ]
     assert {r.doc_id: r.own_license for r in licenses.notices(table(spark, rows)).collect()} == {1: "Apache-2.0", 2: "Apache-2.0", 4: "LGPL-3.0"}
+
+
+def test_reservations_identifiers_and_license_texts(spark):
+    said = {
+        "All rights reserved.": "All-Rights-Reserved", "Copyright (c) 2020 Nobody. All rights reserved. Licensed under the Apache License, Version 2.0": "Apache-2.0",
+        "SPDX-License-Identifier: GPL-2.0-only": "GPL-2.0", "SPDX-License-Identifier: GPL-3.0": "GPL-3.0", "// SPDX-License-Identifier: MIT": "MIT", "SPDX-License-Identifier: CC-BY-NC-4.0": "CC-BY-NC-4.0",
+        "SPDX-License-Identifier: LGPL-3.0-or-later": "LGPL-3.0", "SPDX-License-Identifier: Nobodys": None, "Licensed under CC BY-ND 4.0.": "CC-BY-ND-4.0", "Licensed under CC BY 4.0.": "CC-BY-4.0",
+        "Permission is hereby granted, free of charge, to any person obtaining\na copy of this software and associated documentation files (the \"Software\"), to deal": "MIT",
+        " * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the following conditions\n * are met:": "BSD-2-Clause",
+        "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\nNeither the name of the copyright holder nor the names of its\n"
+        "contributors may be used to endorse or promote products derived from\nthis software without specific prior written permission.": "BSD-3-Clause",
+        "GNU GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007": "GPL-3.0", "GNU GENERAL PUBLIC LICENSE\n   Version 2, June 1991": "GPL-2.0", "all seats are reserved for the rights of others": None,
+        "it under the terms of the GNU General Public License as published by\nthe Free Software Foundation; either version 2 of the License, or": "GPL-2.0",
+    }
+    got = {r.doc_id: r.own_license for r in licenses.notices(table(spark, list(enumerate(said)))).collect()}
+    assert {x: got.get(i) for i, x in enumerate(said)} == said
+
+
+def test_a_reservation_inherits_no_open_license(spark):
+    rows = [(1, "Released under the MIT License.", "a/LICENSE"), (2, "words " * 200 + "\nAll rights reserved.", "a/f"), (3, "words", "a/g")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, path string")
+    assert {r.doc_id: r.license for r in licenses.scan_licenses(docs, F.col("path")).collect()} == {1: "MIT", 2: "All-Rights-Reserved", 3: "MIT"}
