@@ -207,8 +207,8 @@ def trained(n: int = 3000, seed: int = SEED) -> CharCnn:
 
 
 def scan_texts(texts: list[bytes], net: CharCnn) -> list[list[tuple[int, int, int, float]]]:
-    """(start, kind, end, score) by code points of all spans of each text: base spans, and candidates apart from them that the network
-    gives at least its threshold. A base span's score is its candidate's, or 1 without one."""
+    """(start, kind, end, score) by code points of all spans of each text: base spans, and candidates that no base span covers wholly and
+    the network gives at least its threshold. A base span's score is its candidate's, or 1 without one."""
     runs = long_runs(texts)
     seen = [views(t, b, e) for t, rs in zip(texts, runs, strict=True) for b, e in rs]
     flat = net.score(np.frombuffer(b"".join(v for vs in seen for v in vs), np.uint8).reshape(-1, WIDE))
@@ -221,7 +221,7 @@ def scan_texts(texts: list[bytes], net: CharCnn) -> list[list[tuple[int, int, in
         spans = []
         for s, k, e in base:
             spans.append((s, k, e, max((p for b, f, p in scored if b < e and s < f), default=1.0)))
-        spans += [(b, 3, e, p) for b, e, p in scored if p >= net.threshold and not any(b < f and s < e for s, _, f in base)]
+        spans += [(b, 3, e, p) for b, e, p in scored if p >= net.threshold and not any(s <= b and e <= f for s, _, f in base)]
         spans.sort()
         if spans and not text.isascii():  # byte offsets to code points
             at = np.concatenate([[0], np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80)])
