@@ -20,8 +20,8 @@ BITS, PROBES = 12, 8
 #: A filter of at most so many bytes is broadcast. A larger one stays in its shards, and the workers' n-grams meet it there by a
 #: shuffle: the same bits an entry and the same scores at every size.
 MAX_FILTER = 128 << 20
-#: Bigrams are stored from this count on, words from 1.
-LEAST_BIGRAM = 2
+#: Bigrams are stored from this count on, words from 1: every pair seen is known.
+LEAST_BIGRAM = 1
 #: Weight of the pair's relative frequency against the word's (Jelinek-Mercer smoothing).
 PAIR_SHARE = 0.2
 #: Exact counts of at most so many words, the most frequent, are broadcast for the base score; rarer words meet theirs by a shuffle.
@@ -79,7 +79,8 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def count_ngrams(docs: DataFrame, bits: int) -> DataFrame:
     """Exact counts of words (kind 1) and word pairs (kind 2) over all rows, sharded by the top ``bits`` bits of their hashes:
-    (kind, shard, keys, vals), where keys are sorted uint64 and vals uint64 counts. Workers add counts up before the shuffle."""
+    (kind, shard, keys, vals, segment), where keys are sorted uint64 and vals uint64 counts, kept for words only, and segment is the
+    shard's part of the filter. Workers add counts up before the shuffle."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {1: [], 2: []}
@@ -107,10 +108,13 @@ def count_ngrams(docs: DataFrame, bits: int) -> DataFrame:
             k, n = k[n >= LEAST_BIGRAM], n[n >= LEAST_BIGRAM]
         levels = levels_of(n)
         entries, most = int((levels - below(kind)).sum()), int(levels.max(initial=0))
-        return pd.DataFrame({"kind": [kind], "shard": [int(pdf["shard"].iloc[0])], "keys": [k.tobytes()], "vals": [n.tobytes()], "total": [total], "distinct": [distinct], "entries": [entries], "most": [most]})
+        segment = LogFrequencyFilter.segment(k, n, -(-max(8, entries * BITS) // 8) * 8, below(kind)) if entries else b""
+        if kind == 2:
+            k, n = k[:0], n[:0]
+        return pd.DataFrame({"kind": [kind], "shard": [int(pdf["shard"].iloc[0])], "keys": [k.tobytes()], "vals": [n.tobytes()], "segment": [segment], "total": [total], "distinct": [distinct], "entries": [entries], "most": [most]})
 
     chunks = docs.select("text").mapInArrow(gather, "kind int, shard int, keys binary, vals binary")
-    return chunks.groupBy("kind", "shard").applyInPandas(add, "kind int, shard int, keys binary, vals binary, total long, distinct long, entries long, most int")
+    return chunks.groupBy("kind", "shard").applyInPandas(add, "kind int, shard int, keys binary, vals binary, segment binary, total long, distinct long, entries long, most int")
 
 
 #: Least count of each level, a geometric series of two levels an octave without its repeated whole numbers: 1, 2, 4, 5, 8, 11, 16, ...
@@ -228,29 +232,14 @@ def log_shares(words: np.ndarray, pairs: np.ndarray, at: np.ndarray, where: np.n
     return np.log10(share * np.minimum(joint, context) / np.maximum(context, 1) + (1 - share) * p)
 
 
-def _segments(counts: DataFrame) -> DataFrame:
-    """(kind, shard, segment): the filters of both kinds."""
-
-    def build(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in pdfs:
-            out = []
-            for kind, shard, keys, vals, entries in zip(pdf["kind"], pdf["shard"], pdf["keys"], pdf["vals"], pdf["entries"], strict=True):
-                size = -(-max(8, entries * BITS) // 8) * 8 if entries else 0
-                out.append((kind, shard, LogFrequencyFilter.segment(np.frombuffer(keys, "<u8"), np.frombuffer(vals, "<u8"), size, below(kind)) if size else b""))
-            yield pd.DataFrame(out, columns=["kind", "shard", "segment"])
-
-    return counts.select("kind", "shard", "keys", "vals", "entries").mapInPandas(build, "kind int, shard int, segment binary")
-
-
 def _filter(counts: DataFrame, kind: int, bits: int, most: int) -> LogFrequencyFilter:
-    rows = _segments(counts.where(F.col("kind") == kind)).select("shard", "segment").collect()
+    parts = counts.where(F.col("kind") == kind)
     sizes = np.zeros(1 << bits, np.int64)
-    for r in rows:
-        sizes[r["shard"]] = len(r["segment"])
+    for r in parts.select("shard", F.length("segment").alias("size")).collect():
+        sizes[r["shard"]] = r["size"]
     offsets = np.concatenate([[0], np.cumsum(sizes)])
     data = np.zeros(offsets[-1] + 1, np.uint8)
-    while rows:  # one copy of the filter, not three
-        r = rows.pop()
+    for r in parts.select("shard", "segment").toLocalIterator():  # one copy of the filter, not three
         data[offsets[r["shard"]] : offsets[r["shard"] + 1]] = np.frombuffer(r["segment"], np.uint8)
     return LogFrequencyFilter(bits, offsets * 8, data, below(kind), most)
 
@@ -271,7 +260,7 @@ def train(docs: DataFrame, text: str = "text", max_filter: int = MAX_FILTER) ->
     most = {kind: sums[kind]["most"] if kind in sums else 0 for kind in (1, 2)}
     fits = entries * BITS <= 8 * max_filter
     words, pairs = (_filter(counts, 1, bits, most[1]), _filter(counts, 2, bits, most[2])) if fits else (None, None)
-    segments = None if fits else materialize(_segments(counts), "lm-filter")
+    segments = None if fits else counts.select("kind", "shard", "segment")
     return Model(words, pairs, one["total"] if one else 0, one["distinct"] if one else 0, head, head_counts, counts, bits, segments, most)
 
 

@@ -273,6 +273,17 @@ def test_a_filter_too_large_to_broadcast_gives_the_same_scores(spark):
     assert lm_scoring.score_documents(docs.where("false"), lm_scoring.train(trained, max_filter=0)).count() == 0
 
 
+def test_pairs_seen_once_are_known(spark):
+    docs = table(spark, [(1, "a b c"), (2, "c a d"), (3, "b d a")])
+    model = lm_scoring.train(docs)
+    tokens, starts = lm_scoring.token_hashes([b"a b c", b"c a d", b"b d a", b"c b"])
+    pairs = lm_scoring.bigram_hashes(tokens, starts)[1]
+    assert (model.pairs(pairs[: starts[3]]) > 0).all() and model.pairs(pairs[starts[3] + 1 : starts[3] + 2])[0] == 0
+    seen, n = model.scorer(), model.n_tokens + model.n_words + 1
+    want = math.log10(0.2 * 1 / 2 + 0.8 * 3 / n)  # c(a b) = 1; levels of 2 and 3 seen stand for 2.5
+    assert abs(seen.token_scores(tokens, starts)[1] - want) < 0.1
+
+
 def test_a_full_segment_ends_at_the_highest_stored_level():
     full = lm_scoring.LogFrequencyFilter(1, np.array([0, 64, 128]), np.full(17, 255, np.uint8), 1, 5)
     keys = np.random.default_rng(1).integers(0, 1 << 63, 100, dtype=np.uint64)
