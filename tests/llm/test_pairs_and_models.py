@@ -114,6 +114,20 @@ def test_word_hasher():
     assert h[0] == h[2] != h[1] and h[3] == h[5] != h[4] and len(set(h.tolist())) == 6
 
 
+def test_word_hasher_tells_thue_morse_words_apart():
+    """Two letters in the Thue-Morse order and in its complement: their polynomial is a product that vanishes modulo 2**64."""
+    for k in (10, 13, 16):
+        bits = np.array([bin(i).count("1") & 1 for i in range(1 << k)], np.uint8)
+        x, y = (ord("a") + bits).tobytes(), (ord("b") - bits).tobytes()
+        h, at = WordHasher()([x + b" " + y, b"", y])
+        assert h[0] != h[1] == h[2] and at.tolist() == [0, 2, 2, 3]
+        assert len(ngram_join.shingle_sets([x])[0]) == 1 and ngram_join.shingle_sets([x])[0] != ngram_join.shingle_sets([y])[0]
+        tokens, _ = lm_scoring.token_hashes([x, y])
+        assert tokens[0] != tokens[2]
+        doc, term = toxicity.document_terms([x, y])
+        assert set(term[doc == 0]) != set(term[doc == 1])
+
+
 def toxic_rows(n=1500, seed=1):
     r = random.Random(seed)
     plain, bad = [word(r) + word(r) for _ in range(300)], ["vilest", "grubwit", "foulmag"]
