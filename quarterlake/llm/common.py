@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -22,21 +23,48 @@ _own_dir: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one of our own only where the session names none (tests)."""
+    """The cluster's shared folder. A temporary one of our own only where the session names none and all runs on this machine (tests)."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not _own_dir:
         _own_dir.append(tempfile.mkdtemp(prefix="quarterlake-"))
     return "file://" + _own_dir[0]
 
 
+def _write(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
+    path = f"{shared_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Cut the lineage: write ``df`` once to the shared folder and read it back, so lost executors lose nothing."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return _write(df, tag)[0]
+
+
+class Scratch:
+    """Tables of one computation in the shared folder, which go when they are no longer needed."""
+
+    def __init__(self, spark: SparkSession, tag: str) -> None:
+        self.spark, self.tag, self.paths = spark, tag, {}
+
+    def write(self, df: DataFrame, tag: str) -> DataFrame:
+        out, path = _write(df, f"{self.tag}-{tag}")
+        self.paths[id(out)] = out, path
+        return out
+
+    def drop(self, df: DataFrame) -> None:
+        _, path = self.paths.pop(id(df))
+        jvm = self.spark._jvm
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+
+    def close(self) -> None:
+        for df, _ in list(self.paths.values()):
+            self.drop(df)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -65,25 +65,47 @@ def brute_components(rows):
     return sorted(((i, len(s), None if i is None else find(i)) for i, ss in sets.items() for s in ss), key=str)
 
 
-@pytest.mark.parametrize(("short", "part", "seen"), [(32, 200_000, 4), (2, 200_000, 1), (2, 8, 1)])
-def test_near_duplicates(spark, monkeypatch, short, part, seen):
-    monkeypatch.setattr(ngram_join, "SHORT", short)
-    monkeypatch.setattr(ngram_join, "SEEN", seen)
-    monkeypatch.setattr(ngram_join, "RATE", 1)
-    monkeypatch.setattr(ngram_join, "PART", part)
+@pytest.mark.parametrize(("short", "block", "seen", "salt", "shard"), [(32, 2000, 3, 200, 1 << 20), (2, 4, 1, 3, 100), (0, 1, 1, 1, 30)])
+def test_near_duplicates(spark, monkeypatch, short, block, seen, salt, shard):
+    for name, x in {"SHORT": short, "BLOCK": block, "SEEN": seen, "RATE": 1, "SALT": salt, "SHARD": shard}.items():
+        monkeypatch.setattr(ngram_join, name, x)
     rows = near_copies()
-    if part == 8:  # the workers' own copy of the module keeps the usual size: cut the lists here
-        keys = np.array([5, 5, 5, 9], np.uint64)
-        got = ngram_join._cells(np.repeat(keys[:1], 40), np.arange(40), np.full(40, 3), np.ones(40, bool), keys[:1], np.array([40]))
-        cells = collections.defaultdict(set)
-        for k, d in zip(got[0].tolist(), got[1].tolist(), strict=True):
-            cells[k].add(d)
-        met = {(a, b) for c in cells.values() for a in c for b in c if a < b}
-        assert met == {(a, b) for a in range(40) for b in range(a + 1, 40)}
     got = ngram_join.near_duplicates(table(spark, rows))
     assert sorted((tuple(r) for r in got.select("doc_id", "n_shingles", "component_id").collect()), key=str) == brute_components(rows)
 
 
+def test_all_pairs_are_found_without_gathering(spark, monkeypatch):
+    """No star finds a link: the last step alone must find them all."""
+    real, steps = ngram_join.links, []
+    monkeypatch.setattr(ngram_join, "links", lambda pairs, docs, scratch: real(pairs if len(steps) > 1 else pairs.where("false"), docs, scratch) if steps.append(1) is None else None)
+    rows = near_copies(11)
+    got = ngram_join.near_duplicates(table(spark, rows))
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute_components(rows) and len(steps) == 3
+
+
+def test_ids_with_several_texts_are_one_node(spark):
+    a, b, c = ("one two three four five six", "seven eight nine ten eleven", "x y z u v w")
+    rows = [(3, a), (4, b), (5, a), (5, b), (6, c), (7, c), (7, None)]
+    got = sorted(tuple(r) for r in ngram_join.near_duplicates(table(spark, rows).withColumn("component_id", F.lit("clash")).withColumn("n", F.lit(1))).collect())
+    assert got == brute_components(rows)
+
+
+def test_short_lists_hold_the_shared_ones():
+    """Two sets that reach 3/4 share T - L shingles among the smaller one's and the other's short lists, whatever the order."""
+    r = np.random.default_rng(9)
+    for _ in range(400):
+        base = np.unique(r.integers(0, 1 << 63, r.integers(1, 60), dtype=np.uint64))
+        y = np.unique(np.concatenate([base[r.random(len(base)) < r.uniform(0.8, 1)], r.integers(0, 1 << 63, r.integers(0, 6), dtype=np.uint64)]))
+        long = np.unique(r.choice(base, min(len(base), 10)))
+        rank = r.permutation(len(long))
+        x, y = sorted((base, y), key=len)
+        if len(x) and 4 * len(np.intersect1d(x, y)) >= 3 * len(np.union1d(x, y)):
+            sx, sy = (ngram_join.short_lists(s, long, rank) for s in (x, y))
+            assert len(np.intersect1d(sx[: ngram_join.smaller_length(len(x))], sy)) >= ngram_join.shared_of(len(x))
+    keys = r.integers(0, 1 << 63, 50, dtype=np.uint64)
+    assert (ngram_join.unpacked(ngram_join.packed(keys)) == keys >> np.uint64(16)).all()
+
+
 def test_near_duplicates_of_nothing(spark):
     assert ngram_join.near_duplicates(table(spark, [])).count() == 0
     assert [tuple(r) for r in ngram_join.near_duplicates(table(spark, [(3, None)])).collect()] == [(3, 0, 3)]
