@@ -77,7 +77,10 @@ def test_near_duplicates(spark, monkeypatch, short, block, seen, salt, shard):
 def test_all_pairs_are_found_without_gathering(spark, monkeypatch):
     """No star finds a link: the last step alone must find them all."""
     real, steps = ngram_join.links, []
-    monkeypatch.setattr(ngram_join, "links", lambda pairs, docs, scratch: real(pairs if len(steps) > 1 else pairs.where("false"), docs, scratch) if steps.append(1) is None else None)
+    monkeypatch.setattr(ngram_join, "links", lambda pairs, *rest: real(pairs if len(steps) > 2 else pairs.where("false"), *rest) if steps.append(1) is None else None)
+    monkeypatch.setattr(ngram_join, "SHORT", 0)
+    real_anti = ngram_join.candidates
+    monkeypatch.setattr(ngram_join, "candidates", lambda lists, few=False: real_anti(lists.where("false") if few else lists, few))
     rows = near_copies(11)
     got = ngram_join.near_duplicates(table(spark, rows))
     assert sorted((tuple(r) for r in got.collect()), key=str) == brute_components(rows) and len(steps) == 3
@@ -96,7 +99,7 @@ def test_short_lists_hold_the_shared_ones():
     for _ in range(400):
         base = np.unique(r.integers(0, 1 << 63, r.integers(1, 60), dtype=np.uint64))
         y = np.unique(np.concatenate([base[r.random(len(base)) < r.uniform(0.8, 1)], r.integers(0, 1 << 63, r.integers(0, 6), dtype=np.uint64)]))
-        long = np.unique(r.choice(base, min(len(base), 10)))
+        long = np.unique(r.choice(base, min(len(base), 10))) >> np.uint64(16)
         rank = r.permutation(len(long))
         x, y = sorted((base, y), key=len)
         if len(x) and 4 * len(np.intersect1d(x, y)) >= 3 * len(np.union1d(x, y)):
@@ -121,12 +124,28 @@ def test_bounds_never_lose_a_link():
     maps = [ngram_join.parity_bitmap(s) for s in sets]
     a, b = map(np.array, zip(*((i, j) for i in range(len(sets)) for j in range(i)), strict=True))
     n = np.array([len(s) for s in sets])
-    may = ngram_join._may_link(a, b, n, maps)
-    for i, j, m in zip(a, b, may, strict=True):
+    apart = ngram_join._apart(a, b, maps)
+    for i, j, d in zip(a, b, apart.tolist(), strict=True):
         true = len(np.intersect1d(sets[i], sets[j]))
         assert ngram_join.probed_overlap(sets[i], sets[j]) == true <= ngram_join.overlap_bound(maps[i], maps[j], int(n[i] + n[j]))
-        assert m or 7 * true < 3 * (n[i] + n[j])
-        assert bool(m) == (7 * ngram_join.overlap_bound(maps[i], maps[j], int(n[i] + n[j])) >= 3 * (n[i] + n[j]))
+        assert ngram_join.overlap_bound(maps[i], maps[j], int(n[i] + n[j])) == (n[i] + n[j] - d) // 2
+
+
+def test_forest_connects_all_by_light_edges():
+    r = np.random.default_rng(2)
+    x, y, w = r.integers(0, 40, 300), r.integers(0, 40, 300), r.random(300)
+    keep = ngram_join.forest(x, y, w)
+
+    def marks(a, b):
+        m = np.arange(40)
+        for _ in range(40):
+            low = np.minimum(m[a], m[b])
+            np.minimum.at(m, a, low)
+            np.minimum.at(m, b, low)
+        return m.tolist()
+
+    assert marks(x, y) == marks(x[keep], y[keep]) and len(keep) == 40 - len(set(marks(x, y)))
+    assert len(ngram_join.forest(x[:0], y[:0], w[:0])) == 0
 
 
 def test_word_hasher():
