@@ -12,7 +12,7 @@ BUCKETS = 1 << 16
 #: Labelled documents of quality 1 that make up the trusted target, at most (those of least hash).
 TARGET_DOCS = 20_000
 #: A document goes if its mean log-likelihood ratio a n-gram is below this many nats.
-THRESHOLD = -0.2
+THRESHOLD = -0.1
 #: n-grams of the raw corpus's distribution that the target is smoothed with: a small target then tells little, not something wrong.
 PRIOR = 16_384.0
 WINDOW = 8
@@ -25,13 +25,12 @@ def words_of(text: Column) -> Column:
 
 
 def _ngram_buckets(docs: DataFrame, words: str, out: str) -> DataFrame:
-    """Buckets of all n-grams of word endings (last three characters), n = 1 and 2. Whole words of an open vocabulary are
-    seldom seen twice; their endings carry script, case, punctuation and inflection."""
+    """Buckets of all n-grams of whole words, n = 1 and 2."""
     b = F.lit(BUCKETS)
-    held = docs.withColumn("qr_ends", F.transform(F.col(words), lambda w: F.xxhash64(F.substring(w, -3, 3))))
-    one = F.transform("qr_ends", lambda h: F.pmod(h, b).cast("int"))
-    pairs = F.when(F.size("qr_ends") > 1, F.transform(F.sequence(F.lit(0), F.size("qr_ends") - 2), lambda i: F.pmod(F.xxhash64(F.get("qr_ends", i), F.get("qr_ends", i + 1)), b).cast("int"))).otherwise(F.array().cast("array<int>"))
-    return held.withColumn(out, F.concat(one, pairs)).drop("qr_ends")
+    held = docs.withColumn("qr_each", F.transform(F.col(words), lambda w: F.xxhash64(w)))
+    one = F.transform("qr_each", lambda h: F.pmod(h, b).cast("int"))
+    pairs = F.when(F.size("qr_each") > 1, F.transform(F.sequence(F.lit(0), F.size("qr_each") - 2), lambda i: F.pmod(F.xxhash64(F.get("qr_each", i), F.get("qr_each", i + 1)), b).cast("int"))).otherwise(F.array().cast("array<int>"))
+    return held.withColumn(out, F.concat(one, pairs)).drop("qr_each")
 
 
 def target_ids(labels: DataFrame, most: int = TARGET_DOCS) -> DataFrame:

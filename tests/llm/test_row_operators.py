@@ -205,7 +205,7 @@ def brute_quality(rows, good):
     words = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for _, t, _ in rows]
     grams = []
     for w in words:
-        e = [xx(x[-3:]) for x in w]
+        e = [xx(x) for x in w]
         grams.append([h % quality.BUCKETS for h in e] + [xx(a, b) % quality.BUCKETS for a, b in zip(e, e[1:], strict=False)])
     raw, target = collections.Counter(), collections.Counter()
     for (i, _, _), g in zip(rows, grams, strict=True):
