@@ -262,6 +262,23 @@ def test_keys_partly_in_a_base_span_are_redacted_whole(spark):
     assert {x.text for x in secrets.redact_secrets(docs).collect()} == {"the key: <secret> and on"}
 
 
+def test_short_and_upper_case_secrets(spark):
+    said = {
+        "the pwd: hunter2xyz! and on": "hunter2xyz", "see postgres://admin:Sommer2019@db.example.com/x": "Sommer2019", "the code 9F86D081884C7D659A2F is": "9F86D081884C7D659A2F",
+        "on 2024-01-05 in B2 Note: something else": None, "mail john.smith42@example.com now": None, "Version 2.0.14b of img_0234.jpg": None, "tel: 030-1234567": None,
+    }
+    docs = table(spark, list(enumerate(said)))
+    got = {r.doc_id: [t[s.start : s.stop] for t in [list(said)[r.doc_id]] for s in r.spans] for r in secrets.find_secrets(docs).collect()}
+    assert {t: (got[i] or [None])[0] if len(got[i]) < 2 else got[i] for i, t in enumerate(said)} == said
+    assert secrets.find_secrets(table(spark, [])).count() == 0 and secrets.redact_secrets(table(spark, [])).count() == 0
+
+
+def test_candidates_are_what_the_docstring_says():
+    texts = [b"abc123 abcdef a:longword b= 'longer' x:: plainword " + b"q" * 16, b"", b"=secretword", b"ends 12ab34 pwd=letmein"]
+    got = [[t[b:e] for b, e in runs] for t, runs in zip(texts, secrets.candidate_runs(texts), strict=True)]
+    assert got == [[b"abc123", b"longword", b"longer", b"plainword", b"q" * 16], [], [], [b"12ab34", b"pwd=letmein"]]
+
+
 def test_secret_network():
     net = secrets.trained()
     rows, y = secrets.labelled_findings(1000, 321)
