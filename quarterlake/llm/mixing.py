@@ -70,19 +70,21 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, alpha:
     rates = source_rates(docs, weights, alpha, size, by).where("mix_rate > 0")
     n_sources = docs.select(F.col(by)).distinct().limit(BROADCAST_SOURCES + 1).count()
     table_ = _with_cdf(rates).select("mix_source", "mix_rate", "mix_parts", "mix_cdf")
-    left = docs.drop("n_copies", "copy_no", "repetition_rate", "shuffle_key").withColumn("mix_source", F.coalesce(F.col(by).cast("string"), F.lit("")))
+    kept = [c for c in docs.columns if c not in ("n_copies", "copy_no", "repetition_rate", "shuffle_key")]
+    left = docs.select(F.struct(*kept).alias("mix_row"), F.col(key).alias("mix_key"), F.coalesce(F.col(by).cast("string"), F.lit("")).alias("mix_source"))
     if n_sources <= BROADCAST_SOURCES:
         joined = left.join(F.broadcast(table_), "mix_source")
     else:  # salted: a hot source meets its rate in 64 places
-        joined = left.withColumn("mix_salt", F.pmod(F.xxhash64(key), F.lit(64)).cast("int")).join(table_.withColumn("mix_salt", F.explode(F.array(*(F.lit(i) for i in range(64))))), ["mix_source", "mix_salt"]).drop("mix_salt")
-    one = lambda j: F.size(F.filter(F.col("mix_cdf"), lambda c: c < _uniform(seed, F.col(key), j)))
+        joined = left.withColumn("mix_salt", F.pmod(F.xxhash64("mix_key"), F.lit(64)).cast("int")).join(table_.withColumn("mix_salt", F.explode(F.array(*(F.lit(i) for i in range(64))))), ["mix_source", "mix_salt"]).drop("mix_salt")
+    one = lambda j: F.size(F.filter(F.col("mix_cdf"), lambda c: c < _uniform(seed, F.col("mix_key"), j)))
     drawn = F.aggregate(F.sequence(F.lit(1), F.col("mix_parts")), F.lit(0), lambda acc, j: acc + one(j))
     single = F.size(F.filter(F.col("mix_cdf"), lambda c: c < F.col("mix_u")))
-    hashed = computed(joined, {"mix_u": _uniform(seed, F.col(key), F.lit(1))})
+    hashed = computed(joined, {"mix_u": _uniform(seed, F.col("mix_key"), F.lit(1))})
     counted = computed(hashed, {"n_copies": F.when(F.col("mix_parts") == 1, single).otherwise(drawn)}).where("n_copies > 0")
     copies = counted.withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("n_copies")))).withColumnRenamed("mix_rate", "repetition_rate")
-    keyed = copies.withColumn("shuffle_key", F.md5(F.concat_ws(":", F.lit(f"order{seed}"), F.coalesce(F.col(key).cast("string"), F.lit("")), F.col("copy_no").cast("string"))))
-    return keyed.drop("mix_source", "mix_parts", "mix_cdf", "mix_u").repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    keyed = copies.withColumn("shuffle_key", F.md5(F.concat_ws(":", F.lit(f"order{seed}"), F.coalesce(F.col("mix_key").cast("string"), F.lit("")), F.col("copy_no").cast("string"))))
+    dealt = keyed.select("mix_row", "repetition_rate", "n_copies", "copy_no", "shuffle_key").repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    return dealt.select("mix_row.*", "repetition_rate", "n_copies", "copy_no", "shuffle_key")
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,11 +104,11 @@ cdf AS (SELECT s, k, sum(p) OVER (PARTITION BY s ORDER BY k) AS c FROM pmf),
 drawn AS (
   SELECT d.doc_id, d.source, d.text, q.rate, q.s, j,
     (('0x' || substr(md5('17:' || coalesce(d.doc_id::VARCHAR, '') || ':' || j), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u
-  FROM documents d JOIN parted q ON q.s = coalesce(d.source, ''), range(1, 200) t(j) WHERE j <= q.parts),
+  FROM documents d JOIN parted q ON q.s = coalesce(d.source, ''), generate_series(1, q.parts) t(j)),
 summed AS (
   SELECT doc_id, source, text, rate, sum((SELECT count(*) FROM cdf WHERE cdf.s = drawn.s AND c < u))::INT AS n_copies
   FROM drawn GROUP BY ALL)
 SELECT doc_id, source, text, round(rate, 9) AS repetition_rate, n_copies, i::INT AS copy_no,
   md5('order17:' || coalesce(doc_id::VARCHAR, '') || ':' || i) AS shuffle_key
-FROM summed, range(1, 200) t(i) WHERE i <= n_copies
+FROM summed, generate_series(1, n_copies) t(i)
 """

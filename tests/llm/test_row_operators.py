@@ -330,3 +330,50 @@ def test_pipeline(spark, sf_dir):
     assert mixed.columns == docs.columns and {r.doc_id for r in mixed.collect()} <= {r.doc_id for r in clean.collect()}
     packed = p.run(spark, sf_dir)
     assert packed.agg(F.sum("length")).first()[0] > 0 and [n for n, _ in p.STAGES] == ["quality", "near_duplicates", "secrets", "mixing", "packing"]
+
+
+def test_pipeline_stages_on_odd_tables(spark, sf_dir):
+    import corpus_pipeline as p
+
+    clash = ["kept", "llr", "qr_words", "component_id", "rep", "spans", "n_copies", "mix_rate", "block", "length"]
+    long = " ".join(f"w{i}" for i in range(30_000))
+    prose = "here are some more words than twenty of which none is said twice in a row of eight so that the rules keep it whole"
+    rows = [(1, prose, "en", "s", 1), (1, prose, "en", "s", 1), (1, prose + " but longer", "en", None, None), (None, prose, None, "s", 1), (None, None, None, None, None), (2, None, "en", "s", 0), (3, "", "en", "s", 0), (4, long, "en", "t", 5), (5, long + " end", "en", "t", 5)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    for c in clash:
+        docs = docs.withColumn(c, F.lit("mine"))
+    for table_ in (docs, docs.where("false")):
+        now = table_
+        for name, stage in p.STAGES[:-1]:
+            now = stage(spark, now, sf_dir)
+            assert now.columns == docs.columns and now.schema["n_chars"].dataType == docs.schema["n_chars"].dataType, name
+            if not (name == "mixing"):
+                got = now.collect()
+                assert all(r[c] == "mine" for r in got for c in clash) and (len(got) > 0) == (table_ is docs), name
+            now = spark.createDataFrame(now.collect(), docs.schema) if name != "mixing" else now.drop("n_copies").withColumn("n_copies", F.lit("mine")).select(*docs.columns)
+        packed = p.STAGES[-1][1](spark, now, sf_dir).collect()
+        assert (len(packed) > 0) == (table_ is docs)
+    kept = p.drop_near_duplicates(spark, docs, sf_dir).collect()
+    assert sorted(((r.doc_id, len(r.text or "")) for r in kept), key=str) == sorted([(1, len(prose)), (2, 0), (3, 0), (4, len(long)), (None, len(prose)), (None, 0)], key=str)
+    assert p.redact(spark, docs, sf_dir).where("doc_id = 2").first().text is None
+
+
+@pytest.mark.parametrize("name", ["op1_ngram_join", "op2_mix_sources", "op3_token_counts", "op4_media_columns", "op5_toxicity", "op6_secret_scan", "op7_quality_rules", "op8_lm_scoring", "op9_license_scan", "op10_pack_documents", "pipeline"])
+def test_queries_on_empty_and_odd_tables(spark, tmp_path, name):
+    """Every query runs on an empty table and on one of nulls, empty texts and repeated rows, with more columns of clashing names."""
+    import corpus_pipeline
+
+    query = corpus_pipeline.run if name == "pipeline" else queries()[name]
+    rows = [(1, "a b c", "en", "s", 5), (1, "a b c", "en", "s", 5), (2, None, None, None, None), (3, "", "en", "s", 0), (None, "x " * 30_000, "en", "s", 1), (None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    for c in ("n", "label", "terms", "spans", "path", "score", "kind", "row", "block", "piece", "media", "held_out"):
+        docs = docs.withColumn(c, F.lit("mine"))
+    labels = spark.createDataFrame([(1, 1, 0), (1, None, 1), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    for part, n in ((docs, len(rows)), (docs.where("false"), 0)):
+        d = str(tmp_path / str(n))
+        part.write.parquet(d + "/documents.parquet")
+        (labels if n else labels.where("false")).write.parquet(d + "/labels.parquet")
+        got = query(spark, d).collect()
+        if name not in ("op2_mix_sources", "op10_pack_documents", "pipeline"):
+            assert len(got) == n
+        assert n or not got
