@@ -11,12 +11,13 @@ ZONE = "America/Santiago"
 
 
 def _instant(day: Column, zone: str) -> Column:
-    return F.unix_timestamp(F.to_utc_timestamp(day.cast("timestamp"), zone))
+    """The zoneless UTC time of a day's local midnight, whatever the session's zone."""
+    return F.convert_timezone(F.lit(zone), F.lit("UTC"), day.cast("timestamp_ntz"))
 
 
 def hours_of_day(day: Column, zone: str = ZONE) -> Column:
     """Hours between a day's local midnights: 23, 24 or 25."""
-    return ((_instant(F.date_add(day, 1), zone) - _instant(day, zone)) / 3600).cast("int")
+    return F.timestamp_diff("HOUR", _instant(day, zone), _instant(F.date_add(day, 1), zone)).cast("int")
 
 
 def quarters_of_day(day: Column, zone: str = ZONE) -> Column:
@@ -33,8 +34,8 @@ def is_short(day: Column, zone: str = ZONE) -> Column:
 
 def hour_exists(day: Column, hour: Column, zone: str = ZONE) -> Column:
     """Whether the clock showed that hour: it survives the way to UTC and back."""
-    local = F.timestamp_add("HOUR", hour, day.cast("timestamp"))
-    return F.hour(F.from_utc_timestamp(F.to_utc_timestamp(local, zone), zone)) == hour
+    local = F.timestamp_add("HOUR", hour, day.cast("timestamp_ntz"))
+    return F.hour(F.convert_timezone(F.lit("UTC"), F.lit(zone), F.convert_timezone(F.lit(zone), F.lit("UTC"), local))) == hour
 
 
 def missing_hours(day: Column, zone: str = ZONE) -> Column:

@@ -147,4 +147,4 @@ def buses(series: DataFrame) -> DataFrame:
 def find_buses(series: DataFrame, text: str, limit: int = 40) -> DataFrame:
     """Names that contain the text, in either case, with the number of all that do."""
     names = series.select("barra").distinct().where(F.upper("barra").contains(text.upper()))
-    return names.select("barra", F.lit(names.count()).cast("long").alias("total")).orderBy("barra").limit(limit)
+    return names.select("barra", names.agg(F.count(F.lit(1))).scalar().alias("total")).orderBy("barra").limit(limit)

@@ -43,7 +43,8 @@ def ghost_hours(series: DataFrame) -> DataFrame:
 
 
 def drop_ghost_hours(series: DataFrame) -> DataFrame:
-    return series.where(~F.col("hora").between(0, 23) | hour_exists(F.col("fecha"), F.col("hora").cast("int")))
+    """Rows whose day or hour could not be read stay: they are for the domain checks to report."""
+    return series.where(F.coalesce(~F.col("hora").between(0, 23) | hour_exists(F.col("fecha"), F.col("hora").cast("int")), F.lit(True)))
 
 
 def counters(series: DataFrame) -> DataFrame:

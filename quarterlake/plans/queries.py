@@ -22,9 +22,11 @@ SPAN_SQL = "fecha BETWEEN DATE '2024-01-03' AND DATE '2024-01-20'"
 AVERAGES_SQL = """avg(cmg_usd_mwh) FILTER (bloque = 'A') AS "A", avg(cmg_usd_mwh) FILTER (bloque = 'B') AS "B", avg(cmg_usd_mwh) FILTER (bloque = 'C') AS "C",
   avg(cmg_usd_mwh) FILTER (bloque = 'B') AS "Solar", avg(cmg_usd_mwh) FILTER (bloque IN ('A', 'C')) AS "NoSolar", avg(cmg_usd_mwh) AS "Total\""""
 ROUNDED = ("A", "B", "C", "Solar", "NoSolar", "Total")
-STATS_SQL = """count(*) AS cuartos, round(avg(cmg_usd_mwh), 6) AS promedio, round(stddev_samp(cmg_usd_mwh), 6) AS desviacion, round(min(cmg_usd_mwh), 6) AS minimo,
+#: Averages differ in their last digits by the order of summation: they are rounded in decimal, after those digits have gone.
+R6 = "round(round({}, 10)::DECIMAL(38, 10), 6)::DOUBLE".format
+STATS_SQL = f"""count(*) AS cuartos, {R6('avg(cmg_usd_mwh)')} AS promedio, round(stddev_samp(cmg_usd_mwh), 6) AS desviacion, round(min(cmg_usd_mwh), 6) AS minimo,
   round(max(cmg_usd_mwh), 6) AS maximo, count(*) FILTER (cmg_usd_mwh = 0) AS en_cero"""
-RISK_SQL = """count(*) AS cuartos, round(avg(ref), 6) AS cmg_referencia, round(avg(comp), 6) AS cmg_comparada, round(avg(comp) - avg(ref), 6) AS riesgo_usd_mwh,
+RISK_SQL = f"""count(*) AS cuartos, {R6('avg(ref)')} AS cmg_referencia, {R6('avg(comp)')} AS cmg_comparada, {R6('avg(comp) - avg(ref)')} AS riesgo_usd_mwh,
   round(CASE WHEN avg(ref) <> 0 THEN (avg(comp) - avg(ref)) / avg(ref) END, 6) AS riesgo_pct, round(min(comp - ref), 6) AS riesgo_minimo,
   round(max(comp - ref), 6) AS riesgo_maximo, count(*) FILTER (ref = 0) AS ref_en_cero"""
 
@@ -33,7 +35,8 @@ def edge(df: DataFrame) -> DataFrame:
     """Dates and timestamps as text, floats rounded."""
     kinds = dict(df.dtypes)
     text = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") if kinds[c] == "timestamp_ntz" else F.col(f"`{c}`").cast("string")
-    return df.select(*(F.round(F.col(f"`{c}`"), 6).alias(c) if k == "double" else text(c).alias(c) if k in ("date", "timestamp_ntz") else F.col(f"`{c}`") for c, k in df.dtypes))
+    six = lambda x: F.coalesce(F.round(F.round(x, 10).try_cast("decimal(38,10)"), 6).cast("double"), F.round(x, 6))
+    return df.select(*(six(F.col(f"`{c}`")).alias(c) if k == "double" else text(c).alias(c) if k in ("date", "timestamp_ntz") else F.col(f"`{c}`") for c, k in df.dtypes))
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
@@ -47,7 +50,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def rounded(names_: tuple[str, ...] = ROUNDED) -> str:
-    return ", ".join(f'round("{n}", 6) AS "{n}"' for n in names_)
+    return ", ".join(f'{R6(chr(34) + n + chr(34))} AS "{n}"' for n in names_)
 
 
 # Results -----------------------------------------------------------------------------------------------------------------------

@@ -60,20 +60,25 @@ def month_rows(spark: SparkSession, base: str, month: Month) -> int:
     return scan(spark, base).where(period_filter(month, month)).count() if month in written_months(spark, base) else 0
 
 
+def _aside(base: str, month: Month, what: str) -> str:
+    """Where a month is written or kept while it is replaced: under a folder that scans of the base do not see."""
+    return f"{base}/_work/{month[0]}-{month[1]}__{what}"
+
+
 def write_month(df: DataFrame, base: str, month: Month) -> int:
     """Replace one month: written aside, sorted by key for row-group skipping, then swapped in by renames, so that readers see the old
-    month or the new one. Rows of another month are an error."""
+    month or the new one. Rows of another month are an error. Other months, and what others write there, are not touched."""
     spark = df.sparkSession
-    recover(spark, base)
-    final = month_path(base, month)
-    aside, old = f"{final}__tmp", f"{final}__old"
+    recover(spark, base, month)
+    final, aside, old = month_path(base, month), _aside(base, month, "tmp"), _aside(base, month, "old")
     held = conform(df).repartitionByRange("barra").sortWithinPartitions(*KEY)
-    strange = F.raise_error(F.concat(F.lit(f"a row is outside {month}: "), F.col("fecha").cast("string")))
+    strange = F.raise_error(F.concat(F.lit(f"a row is outside {month}: "), F.coalesce(F.col("fecha").cast("string"), F.lit("no date"))))
     checked = held.withColumn("fecha", F.when((F.year("fecha") == month[0]) & (F.month("fecha") == month[1]), F.col("fecha")).otherwise(strange.cast("date")))
     checked.write.mode("overwrite").option("compression", "zstd").parquet(aside)
     rows = spark.read.parquet(aside).count()
     fs, p_final = _fs(spark, final)
     path = lambda x: spark.sparkContext._jvm.org.apache.hadoop.fs.Path(x)
+    fs.mkdirs(p_final.getParent())
     if fs.exists(p_final) and not fs.rename(p_final, path(old)):
         raise OSError(f"cannot move {final}")
     if not fs.rename(path(aside), p_final):
@@ -84,23 +89,21 @@ def write_month(df: DataFrame, base: str, month: Month) -> int:
     return rows
 
 
-def recover(spark: SparkSession, base: str) -> list[str]:
-    """After a crash: unfinished months go; an old month whose successor is missing comes back."""
+def recover(spark: SparkSession, base: str, month: Month | None = None) -> list[str]:
+    """After a crash: unfinished months go; an old month whose successor is missing comes back. One month's only, if named."""
     done = []
-    for year in _children(spark, base):
-        for name in _children(spark, f"{base}/{year}"):
-            full = f"{base}/{year}/{name}"
-            fs, p = _fs(spark, full)
-            if name.endswith("__tmp"):
-                fs.delete(p, True)
-                done.append(full)
-            elif name.endswith("__old"):
-                _, target = _fs(spark, full.removesuffix("__old"))
-                if fs.exists(target):
-                    fs.delete(p, True)
-                else:
-                    fs.rename(p, target)
-                done.append(full)
+    for name in _children(spark, f"{base}/_work"):
+        if not (m := re.fullmatch(r"(\d+)-(\d+)__(tmp|old)", name)) or month not in (None, (int(m[1]), int(m[2]))):
+            continue
+        full = f"{base}/_work/{name}"
+        fs, p = _fs(spark, full)
+        _, target = _fs(spark, month_path(base, (int(m[1]), int(m[2]))))
+        if m[3] == "tmp" or fs.exists(target):
+            fs.delete(p, True)
+        else:
+            fs.mkdirs(target.getParent())
+            fs.rename(p, target)
+        done.append(full)
     return done
 
 

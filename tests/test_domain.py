@@ -99,3 +99,27 @@ def test_search(spark):
     assert search.menu_search(df, "013 elvira").first().puntaje < 2 and search.menu_search(df, "sta elvira 013").first().puntaje == 3
     assert search.normalized("PEÑABLANCA____110") == "PENABLANCA 110"
     assert search.read_numbers("1,3-4", 5) == [0, 2, 3] and search.read_numbers("9", 5) is None and search.read_numbers("todas", 2) == [0, 1]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Santiago", "America/New_York", "Asia/Tokyo"])
+def test_calendar_does_not_depend_on_the_session_zone(spark, zone):
+    from quarterlake.functions import calendar
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        got = {str(r.fecha): (r.horas, r.es_dia_largo, r.es_dia_corto) for r in calendar.calendar(spark, date(2024, 1, 1), date(2024, 12, 31)).collect()}
+        assert got["2024-04-06"] == (25, True, False) and got["2024-09-08"] == (23, False, True)
+        assert sum(h != 24 for h, _, _ in got.values()) == 2
+        hours = calendar.days(spark, date(2024, 9, 7), date(2024, 9, 8)).select(calendar.missing_hours(F.col("fecha")).alias("m"), calendar.expected_hours(F.col("fecha")).alias("e")).collect()
+        assert [r.m for r in hours] == [[], [0]] and [len(r.e) for r in hours] == [24, 23]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_search_rules(spark):
+    df = spark.createDataFrame([("P.MONTT_____220",), ("NVA_P.MONTT___220",), ("ŽABRAN 110",), ("LA SUR 066",), ("POZO ALMONTE 220",)], "barra string")
+    got = [tuple(r) for r in search.search(df, "puerto montt").collect()]
+    assert [g[0] for g in got[:2]] == ["P.MONTT_____220", "NVA_P.MONTT___220"] and got[0][2] and got[0][1] == got[1][1]
+    assert search.search(df, "montt 66").first().barra in ("P.MONTT_____220", "LA SUR 066") and search.menu_search(df, "žabran").first().puntaje > 2
+    assert search.short_forms("MAR") == ["M", "MA", "MR"] and "RIO" not in search.short_forms("RIOS") and "SUR" not in search.short_forms("SUROR")

@@ -43,10 +43,14 @@ def test_crash_recovery(spark, tmp_path):
     base = f"file://{tmp_path}/silver"
     silver.write_month(month(spark), base, (2024, 6))
     d = tmp_path / "silver/anio=2024"
-    (d / "mes=6").rename(d / "mes=6__old")
-    (d / "mes=6__tmp").mkdir()
-    assert len(silver.recover(spark, base)) == 2
-    assert silver.month_rows(spark, base, (2024, 6)) == 96 and not (d / "mes=6__tmp").exists()
+    work = d.parent / "_work"
+    work.mkdir(exist_ok=True)
+    (d / "mes=6").rename(work / "2024-6__old")
+    (work / "2024-6__tmp").mkdir()
+    (work / "2024-7__tmp").mkdir()
+    assert silver.recover(spark, base, (2024, 5)) == []
+    assert len(silver.recover(spark, base)) == 3
+    assert silver.month_rows(spark, base, (2024, 6)) == 96 and not list(work.iterdir())
 
 
 def test_dynamic_overwrite(spark, tmp_path):
@@ -88,7 +92,8 @@ def test_zip_findings_and_dialects(spark, tmp_path):
     got = {(r.archivo.rsplit("/", 1)[-1], r.tipo) for r in bronze.zip_findings(bronze.zip_files(spark, f"file://{tmp_path}"), HEAD.split(";")).collect()}
     assert got == {("none.zip", "sin_comparativo"), ("new.zip", "columnas_nuevas"), ("broken.zip", "zip_corrupto")}
     assert bronze.price_column(["CMgP[mills/kWh]", "CMgR[mills/kWh]"], "def") == "CMgR[mills/kWh]"
-    assert bronze.price_column(["CMG_REAL_DEF[USD/MWh]", "CMG_REAL_DEF_V2[USD/MWh]"], "def") == "CMG_REAL_DEF_V2[USD/MWh]"
+    for header in (["CMG_REAL_DEF[USD/MWh]", "CMG_REAL_DEF v2[USD/MWh]"], ["CMG_REAL_DEF v2[USD/MWh]", "CMG_REAL_DEF[USD/MWh]"], ["CMG_REAL_DEF[USD/MWh]", "CMG_REAL_DEF_v2[USD/MWh]"]):
+        assert bronze.price_column(["CMG_REAL_PRE v2[USD/MWh]", *header, "CMG_REAL_DEF[USD/MWh] old"], "def") == header[-1]
     with pytest.raises(ValueError):
         bronze.price_column(["A"], "def")
     assert bronze.decode("ñ".encode("latin-1")) == "ñ" and io.BytesIO
