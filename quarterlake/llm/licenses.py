@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quarterlake.llm.common import table
 
-# Short notices of public licenses. OP9_SQL compares lines with these alone; the query with all WORDINGS.
+# Short notices of public licenses.
 TEMPLATES = {
     "AGPL-3.0": "This program is licensed under the GNU Affero General Public License, version 3",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
@@ -30,8 +30,7 @@ TEMPLATES = {
     "MPL-2.0": "Subject to the terms of the Mozilla Public License, version 2.0",
     "Unlicense": "This is free and unencumbered software released into the public domain under the Unlicense",
 }
-#: Words as near as this to a template are a notice; OP9_SQL looks only at lines with one of the cues.
-CUES = ("licen", "copyright", "public domain", "spdx")
+#: Words as near as this to a wording are a notice.
 COSINE = 0.6
 #: A document is its directory's license file if at least this share of its words is in notices, or by its name.
 FILE_SHARE = 0.1
@@ -43,14 +42,6 @@ def _terms(text: str) -> list[str]:
     return [t for t in re.split(TERM_GAP, text.lower()) if t]
 
 
-VOCABULARY = sorted({t for x in TEMPLATES.values() for t in _terms(x)})
-TEMPLATE_TERMS = sorted((name, t, _terms(x).count(t)) for name, x in TEMPLATES.items() for t in set(_terms(x)))
-
-
-def _values() -> str:
-    return ", ".join(f"('{name}', '{term}', {tf})" for name, term, tf in TEMPLATE_TERMS)
-
-
 #: Other wordings of the same licenses.
 SHORT = [
     ("AGPL-3.0", "Licensed under AGPL 3.0"),
@@ -198,46 +189,52 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(docs, path).withColumn("cosine", F.round("cosine", 6))
 
 
-_CUE_SQL = lambda column: " OR ".join(f"contains(lower({column}), '{cue}')" for cue in CUES)
+def _wording_rows() -> str:
+    return ", ".join(f"({k}, '{name}', {len(_terms(text))}, '{t}', {at})" for k, (name, text) in enumerate(WORDINGS) for at, t in enumerate(_terms(text)))
+
+
+_CUE_SQL = " OR ".join(f"contains(lower(text), '{anchor}')" for anchor in ANCHORS)
+_ANCHORS_SQL = ", ".join(f"'{a}'" for a in ANCHORS)
+_IDF_SQL = ", ".join(f"('{t}', {x!r}::DOUBLE)" for t, x in IDF.items())
 
 OP9_SQL = f"""
-WITH given(name, term, tf) AS (VALUES {_values()}),
+WITH given(wording, name, n_terms, term, spot) AS (VALUES {_wording_rows()}),
+idfs(term, idf) AS (VALUES {_IDF_SQL}),
+weights AS (
+  SELECT wording, term, count(*) * any_value(idf) / any_value(norm) AS weight
+  FROM given JOIN idfs USING (term) JOIN (
+    SELECT wording, sqrt(sum((c * idf) ** 2)) AS norm FROM (SELECT wording, term, count(*) AS c FROM given GROUP BY ALL) JOIN idfs USING (term) GROUP BY 1) USING (wording)
+  GROUP BY 1, 2),
 docs AS (
   SELECT doc_id, concat_ws('/', source, lang, (doc_id // 64)::VARCHAR, doc_id::VARCHAR) AS path, coalesce(text, '') AS text,
     list_filter(string_split_regex(lower(coalesce(text, '')), '{TERM_GAP}'), lambda x: x <> '') AS terms
   FROM documents),
-df AS (SELECT term, count(DISTINCT r) AS df FROM (SELECT row_number() OVER () AS r, unnest(list_distinct(terms)) AS term FROM docs) GROUP BY 1),
-weighed AS (
-  SELECT name, g.term, tf, ln(((SELECT count(*) FROM docs) + 1.0) / (coalesce(df, 0) + 1.0)) + 1.0 AS idf
-  FROM given g LEFT JOIN df USING (term)),
-norms AS (SELECT name, sqrt(sum((tf * idf) ** 2)) AS norm FROM weighed GROUP BY 1),
-lines AS (
-  SELECT doc_id, line, list_filter(string_split_regex(lower(said), '{TERM_GAP}'), lambda x: x <> '') AS terms
-  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS said, generate_subscripts(string_split(text, chr(10)), 1) AS line FROM docs)
-  WHERE {_CUE_SQL("said")}),
-each AS (SELECT doc_id, line, n_terms, term, count(*) AS tf FROM (SELECT doc_id, line, len(terms) AS n_terms, unnest(terms) AS term FROM lines) GROUP BY ALL),
-idfs AS (SELECT DISTINCT term, idf FROM weighed),
-line_norms AS (
-  SELECT doc_id, line, n_terms, sqrt(sum(CASE WHEN idf IS NULL THEN each.tf ELSE (each.tf * idf) ** 2 END)) AS line_norm
-  FROM each LEFT JOIN idfs USING (term) GROUP BY ALL),
+cued AS (SELECT DISTINCT doc_id, md5(text) AS said, terms FROM docs WHERE {_CUE_SQL}),
+places AS (SELECT * FROM (SELECT doc_id, said, terms, unnest(terms) AS anchor, generate_subscripts(terms, 1) - 1 AS place FROM cued) WHERE anchor IN ({_ANCHORS_SQL})),
+laid AS (
+  SELECT row_number() OVER () AS id, doc_id, said, place, wording, name, n_terms, place - spot + shift AS begin, terms[place - spot + shift + 1 : place - spot + shift + n_terms] AS win
+  FROM places JOIN given ON given.term = anchor, (VALUES (-1), (0), (1)) o(shift)
+  WHERE place - spot + shift >= greatest(place - {REACH}, 0)),
+parts AS (SELECT id, any_value(wording) AS wording, term, count(*) AS tf FROM (SELECT id, wording, unnest(win) AS term FROM laid) GROUP BY id, term),
+scored AS (
+  SELECT id, round(sum(tf * coalesce(idf, {OTHER_IDF!r}) * coalesce(weight, 0)) / sqrt(sum((tf * coalesce(idf, {OTHER_IDF!r})) ** 2)), 9) AS cosine
+  FROM parts LEFT JOIN idfs USING (term) LEFT JOIN weights USING (wording, term) GROUP BY 1),
 near AS (
-  SELECT e.doc_id, e.line, w.name, sum(e.tf * w.idf * w.tf * w.idf) / any_value(norm) AS dot
-  FROM each e JOIN weighed w USING (term) JOIN norms USING (name) GROUP BY ALL),
-scored AS (SELECT doc_id, line, n_terms, name, round(dot / line_norm, 9) AS cosine FROM near JOIN line_norms USING (doc_id, line)),
-best AS (SELECT *, row_number() OVER (PARTITION BY doc_id, line ORDER BY cosine DESC, name) AS k FROM scored),
-found AS (
-  SELECT doc_id, n.name AS own_license, n.cosine, notice_words
-  FROM (SELECT doc_id, arg_min({{'name': name, 'cosine': cosine}}, row(-cosine, name)) AS n, sum(n_terms) AS notice_words
-        FROM best WHERE k = 1 AND cosine >= {COSINE} GROUP BY 1)),
+  SELECT doc_id, said, place, min(row(-cosine, -n_terms, begin, name, begin + len(win))) AS best
+  FROM laid JOIN scored USING (id) WHERE cosine >= {COSINE} GROUP BY 1, 2, 3),
+covered AS (
+  SELECT doc_id, said, word, min(best) AS best
+  FROM (SELECT doc_id, said, best, unnest(range(best[3]::BIGINT, best[5]::BIGINT)) AS word FROM near) GROUP BY 1, 2, 3),
+found AS (SELECT doc_id, min(best)[4] AS own_license, -min(best)[1] AS cosine, count(*) AS notice_words FROM covered GROUP BY 1),
 held AS (
   SELECT d.doc_id, d.path, regexp_replace(d.path, '/[^/]*$', '') AS dir, own_license, cosine,
     coalesce(own_license IS NOT NULL AND (regexp_matches(regexp_replace(d.path, '^.*/', ''), '{FILE_NAME}')
       OR notice_words >= {FILE_SHARE} * len(d.terms)), false) AS is_license_file
-  FROM docs d LEFT JOIN found USING (doc_id)),
+  FROM docs d LEFT JOIN found ON found.doc_id IS NOT DISTINCT FROM d.doc_id),
 files AS (SELECT dir AS license_dir, arg_min(own_license, path) AS inherited FROM held WHERE is_license_file GROUP BY 1),
 dirs AS (SELECT DISTINCT dir, string_split(dir, '/') AS parts FROM held),
-above AS (SELECT dir, array_to_string(parts[1:k], '/') AS license_dir FROM dirs, range(0, 20) t(k) WHERE k <= len(parts)),
-nearest AS (SELECT dir, arg_max({{'d': a.license_dir, 'l': inherited}}, length(a.license_dir)) AS n FROM above a JOIN files USING (license_dir) GROUP BY 1)
+over_dirs AS (SELECT dir, array_to_string(parts[1:k], '/') AS license_dir FROM dirs, range(0, 20) t(k) WHERE k <= len(parts)),
+nearest AS (SELECT dir, arg_max({{'d': a.license_dir, 'l': inherited}}, length(a.license_dir)) AS n FROM over_dirs a JOIN files USING (license_dir) GROUP BY 1)
 SELECT doc_id, path, own_license, round(cosine, 6) AS cosine, is_license_file, coalesce(own_license, n.l) AS license,
   CASE WHEN own_license IS NULL THEN n.d END AS license_dir
 FROM held LEFT JOIN nearest USING (dir)

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from quarterlake.llm.common import WordHasher, crc_of_id, materialize, mix64, slices, table
 
-#: Bits of the filter for each stored (n-gram, level), and probes a level: about 0.3 % false answers a probe.
-BITS, PROBES = 12, 8
+#: Bits of the filter for each stored (n-gram, level); a level is PROBES bits in each of two words of 64: about 0.5 % false answers.
+BITS, PROBES = 12, 4
 #: A filter of at most so many bytes is broadcast. A larger one stays in its shards, and the workers' n-grams meet it there by a
 #: shuffle: the same bits an entry and the same scores at every size.
 MAX_FILTER = 128 << 20
@@ -108,7 +108,7 @@ def count_ngrams(docs: DataFrame, bits: int) -> DataFrame:
             k, n = k[n >= LEAST_BIGRAM], n[n >= LEAST_BIGRAM]
         levels = levels_of(n)
         entries, most = int((levels - below(kind)).sum()), int(levels.max(initial=0))
-        segment = LogFrequencyFilter.segment(k, n, -(-max(8, entries * BITS) // 8) * 8, below(kind)) if entries else b""
+        segment = LogFrequencyFilter.segment(k, n, -(-max(64, entries * BITS) // 64) * 64, below(kind)) if entries else b""
         if kind == 2:
             k, n = k[:0], n[:0]
         return pd.DataFrame({"kind": [kind], "shard": [int(pdf["shard"].iloc[0])], "keys": [k.tobytes()], "vals": [n.tobytes()], "segment": [segment], "total": [total], "distinct": [distinct], "entries": [entries], "most": [most]})
@@ -149,18 +149,22 @@ class LogFrequencyFilter:
     most: int = len(LEVELS)  # highest level that any key has
 
     @staticmethod
-    def _hashes(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
-        h = mix64(keys + np.uint64(0x9E3779B97F4A7C15 * level & (1 << 64) - 1))
-        return h, mix64(h + np.uint64(0x632BE59BD9B4E019)) | np.uint64(1)
+    def _places(keys: np.ndarray, level: int, words: np.ndarray | np.uint64) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The two words of a segment of ``words`` words that hold a key at a level, and a hash for its bits in each."""
+        h = keys + np.uint64(0x9E3779B97F4A7C15 * level & (1 << 64) - 1)
+        for salt in (0x632BE59BD9B4E019, 0xD1B54A32D192ED03):
+            h = mix64(h ^ np.uint64(salt))
+            yield ((h >> np.uint64(32)) * words >> np.uint64(32)).astype(np.int64), h
 
     @classmethod
     def segment(cls, keys: np.ndarray, counts: np.ndarray, size: int, below: int = 0) -> bytes:
+        """The bits of a segment of ``size`` bits, a multiple of 64."""
         out = np.zeros(size, bool)
         levels = levels_of(counts) - below
         for q in range(1, int(levels.max(initial=0)) + 1):
-            h, g = cls._hashes(keys[levels >= q], q)
-            for i in range(PROBES):
-                out[((h + np.uint64(i) * g) >> np.uint64(8)) % np.uint64(size)] = True
+            for word, h in cls._places(keys[levels >= q], q, np.uint64(size // 64)):
+                for i in range(PROBES):
+                    out[word * 64 + (h >> np.uint64(6 * i) & np.uint64(63)).astype(np.int64)] = True
         return np.packbits(out, bitorder="little").tobytes()
 
     def __call__(self, keys: np.ndarray) -> np.ndarray:
@@ -170,18 +174,19 @@ class LogFrequencyFilter:
 
     def levels(self, keys: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Levels of keys in the segments that begin at these bits; at most the highest stored level, however full a segment is."""
+        data = self.data[: len(self.data) // 8 * 8].view("<u8")
         levels = np.zeros(len(keys), np.int64)
         left = np.flatnonzero(size > 0)
         q = 0
         while len(left) and q + self.below < self.most:
             q += 1
-            h, g = self._hashes(keys[left], q)
-            for i in range(PROBES):
-                if not len(left):
-                    break
-                at = begin[left] + (((h + np.uint64(i) * g) >> np.uint64(8)) % size[left]).astype(np.int64)
-                there = self.data[at >> 3] >> (at & 7).astype(np.uint8) & 1 > 0
-                left, h, g = left[there], h[there], g[there]
+            there = np.ones(len(left), bool)
+            for word, h in self._places(keys[left], q, size[left] >> np.uint64(6)):
+                mask = np.zeros(len(left), np.uint64)
+                for i in range(PROBES):
+                    mask |= np.uint64(1) << (h >> np.uint64(6 * i) & np.uint64(63))
+                there &= data[(begin[left] >> 6) + word] & mask == mask
+            left = left[there]
             levels[left] = q + self.below
         return levels
 
