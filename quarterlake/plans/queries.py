@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from quarterlake.functions import calendar, domain, names, search
 from quarterlake.operators import gold, publish, quality, versions
 from quarterlake.plans.adapters import BLOCK_SQL, EVENTS_SQL, ITEMS_SQL, MANIFEST_SQL, events_series, items_series, orders_manifest, table
-from quarterlake.sources import bronze
+from quarterlake.schema import domain_violations
+from quarterlake.sources import bronze, silver
 from quarterlake.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -509,3 +510,195 @@ def buscar_menu(spark: SparkSession, sf_dir: str) -> DataFrame:
 def documentos_de_paginas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of the pages by the parser, with their block's text."""
     return bronze.links(table(spark, sf_dir, "pages"), "page_id").select("page_id", "n", "href", "titulo", F.length("texto").cast("long").alias("n_texto"))
+
+
+# The stored layout --------------------------------------------------------------------------------------------------------------
+
+DATED_SQL = f"""{ITEMS_SQL}, s AS (SELECT *, CASE WHEN day(fecha) % 3 = 0 THEN 'pagina_cen_pre' WHEN day(fecha) % 3 = 1 THEN 'pagina_cen_def' ELSE 'maestro_cmg_db' END AS origen,
+  CASE WHEN day(fecha) % 4 > 0 THEN (900 + day(fecha))::DOUBLE END AS usd_clp FROM li)"""
+
+
+def dated_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The items' series with an origin and a rate by day."""
+    d = F.dayofmonth("fecha")
+    origin = F.when(d % 3 == 0, "pagina_cen_pre").when(d % 3 == 1, "pagina_cen_def").otherwise("maestro_cmg_db")
+    return items_series(spark, sf_dir).withColumn("origen", origin).withColumn("usd_clp", F.when(d % 4 > 0, (900 + d).cast("double"))).withColumn("ingerido_en", F.localtimestamp())
+
+
+def stored(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """The series written to a base of its own by the engine, and read back by it."""
+    base = silver.scratch_base(spark)
+    silver.write_months(dated_series(spark, sf_dir), base)
+    return base, silver.scan(spark, base)
+
+
+@query(f"WITH {ITEMS_SQL} SELECT anio, mes, count(*) AS filas, min(anio * 100 + mes) OVER () AS primero, max(anio * 100 + mes) OVER () AS ultimo FROM li GROUP BY anio, mes")
+def meses_escritos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base, series = stored(spark, sf_dir)
+    first, last = silver.available_range(spark, base)
+    months = spark.createDataFrame(silver.written_months(spark, base), "anio int, mes int")
+    counts = series.groupBy("anio", "mes").agg(F.count(F.lit(1)).alias("filas"))
+    return months.join(counts, ["anio", "mes"]).withColumn("primero", F.lit(first[0] * 100 + first[1])).withColumn("ultimo", F.lit(last[0] * 100 + last[1]))
+
+
+@query(f"WITH {ITEMS_SQL} SELECT true AS existe, count(*) AS filas FROM li WHERE anio = 1996 AND mes = 3")
+def filas_del_mes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base, _ = stored(spark, sf_dir)
+    return spark.createDataFrame([(silver.base_exists(spark, base), silver.month_rows(spark, base, (1996, 3)))], "existe boolean, filas long")
+
+
+@query(f"""WITH {ITEMS_SQL}, s AS (SELECT anio, mes, count(*) AS cuartos, {AVERAGES_SQL} FROM li WHERE barra = 'N.O' AND anio * 100 + mes BETWEEN 199602 AND 199710 GROUP BY ALL)
+SELECT anio, mes, cuartos, {rounded()}, make_date(anio, mes, 1)::VARCHAR AS fecha FROM s""")
+def resumen_almacenado(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold.monthly_summary(stored(spark, sf_dir)[1], "N.O", (1996, 2), (1997, 10))
+
+
+@query(f"""WITH {DATED_SQL} SELECT barra, fecha::VARCHAR AS fecha, hora, minuto, bloque, round(cmg_usd_mwh, 6) AS cmg_usd_mwh, es_hora_extra, strftime(fecha_hora, '%Y-%m-%d %H:%M:%S') AS fecha_hora,
+round(usd_clp, 6) AS usd_clp, origen FROM s WHERE barra = 'R.F' AND anio = 1995 AND mes = 5""")
+def serie_almacenada(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold.series_of(stored(spark, sf_dir)[1], "R.F", (1995, 5), (1995, 5))
+
+
+@query(f"""WITH {ITEMS_SQL} SELECT barra, fecha::VARCHAR AS fecha, hora, minuto, bloque, round(cmg_usd_mwh::FLOAT::DOUBLE, 4) AS cmg_usd_mwh, es_hora_extra, strftime(fecha_hora, '%Y-%m-%d %H:%M:%S') AS fecha_hora,
+'maestro_cmg_db' AS origen FROM li WHERE barra = 'A.F' AND anio = 1994""")
+def historia_normalizada(spark: SparkSession, sf_dir: str) -> DataFrame:
+    old = items_series(spark, sf_dir).where("barra = 'A.F' AND anio = 1994").withColumn("cmg_usd_mwh", F.col("cmg_usd_mwh").cast("float"))
+    return silver.from_history(old).drop("ingerido_en").withColumn("cmg_usd_mwh", F.round("cmg_usd_mwh", 4))
+
+
+@query(f"""WITH {ITEMS_SQL}, nuevo AS (SELECT barra, fecha, hora, minuto, cmg_usd_mwh + 1 AS p FROM li WHERE fecha = DATE '1996-03-05' AND hora < 12)
+SELECT barra, fecha::VARCHAR AS fecha, hora, minuto, round(cmg_usd_mwh, 6) AS cmg_usd_mwh FROM li WHERE anio = 1996 AND mes = 3 AND fecha <> DATE '1996-03-05' UNION ALL SELECT barra, fecha::VARCHAR, hora, minuto, round(p, 6) FROM nuevo""")
+def mes_con_dia_nuevo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day's rows replace that day in its month, by the engine's own rewrite."""
+    base, series = stored(spark, sf_dir)
+    new = series.where("fecha = DATE '1996-03-05' AND hora < 12 AND anio = 1996 AND mes = 3").withColumn("cmg_usd_mwh", F.col("cmg_usd_mwh") + 1).drop("anio", "mes")
+    ingest.merge_day_rows(base)(new, 0)
+    return silver.scan(spark, base).where("anio = 1996 AND mes = 3").select("barra", "fecha", "hora", "minuto", "cmg_usd_mwh")
+
+
+@query(f"WITH {ITEMS_SQL}, b AS (SELECT min(fecha) AS a, max(fecha) AS z FROM li) SELECT strftime(m, '%Y-%m') AS periodo, m::DATE::VARCHAR AS desde, (m + INTERVAL 1 MONTH)::DATE::VARCHAR AS hasta FROM b, unnest(generate_series(date_trunc('month', a), date_trunc('month', z), INTERVAL 1 MONTH)) t(m)")
+def meses_del_rango(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, z = items_series(spark, sf_dir).agg(F.min("fecha"), F.max("fecha")).first()
+    rows = [(domain.format_month(m), *domain.month_bounds(m)) for m in domain.months_between((a.year, a.month), (z.year, z.month))]
+    return spark.createDataFrame(rows, "periodo string, desde date, hasta date")
+
+
+@query("""WITH m AS (SELECT unnest(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '1997-04-01', INTERVAL 1 MONTH))::DATE AS d)
+SELECT greatest(d, DATE '1995-01-17')::VARCHAR AS desde, least((d + INTERVAL 1 MONTH)::DATE - 1, DATE '1997-04-09')::VARCHAR AS hasta FROM m""")
+def tramos_por_mes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.createDataFrame(domain.month_tranches(date(1995, 1, 17), date(1997, 4, 9)), "desde date, hasta date")
+
+
+@query(f"WITH {DATED_SQL} SELECT barra, fecha::VARCHAR AS fecha, hora, minuto, bloque, round(cmg_usd_mwh, 6) AS cmg_usd_mwh, origen FROM s WHERE anio = 1997")
+def vista_servicio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = dated_series(spark, sf_dir).where("anio = 1997")
+    known = spark.sql("SELECT 7 AS barra_id, 'R.F' AS nombre")
+    buses, origins = publish.assign_ids(known, s.select(F.col("barra").alias("nombre"))), publish.origins(spark)
+    return publish.serving_view(publish.encode(s, buses, origins), buses, origins)
+
+
+@query(f"WITH {DATED_SQL} SELECT fecha::VARCHAR AS fecha, min(origen) AS origen, round(max(usd_clp), 6) AS usd_clp FROM s GROUP BY 1")
+def inventario_dias(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish.day_inventory(dated_series(spark, sf_dir))
+
+
+@query(f"WITH {DATED_SQL} SELECT fecha::VARCHAR AS fecha FROM s GROUP BY fecha HAVING min(origen) = 'pagina_cen_pre' AND max(origen) = 'pagina_cen_pre'")
+def dias_consistentes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish.consistent_days(dated_series(spark, sf_dir), "pagina_cen_pre")
+
+
+@query(f"WITH {DATED_SQL} SELECT DISTINCT fecha::VARCHAR AS fecha FROM s WHERE origen = 'pagina_cen_pre' AND fecha BETWEEN DATE '1995-02-03' AND DATE '1996-07-09'")
+def dias_preliminares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish.preliminary_days(publish.day_inventory(dated_series(spark, sf_dir)), date(1995, 2, 3), date(1996, 7, 9))
+
+
+@query(f"WITH {DATED_SQL} SELECT fecha::VARCHAR AS fecha, max(usd_clp) AS usd_clp FROM s WHERE usd_clp IS NOT NULL GROUP BY 1")
+def tipos_de_cambio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish.exchange_rates(dated_series(spark, sf_dir))
+
+
+@query(f"WITH {ITEMS_SQL} SELECT DISTINCT barra FROM li WHERE date_trunc('month', fecha) BETWEEN DATE '1995-05-01' AND DATE '1995-06-20'")
+def barras_con_datos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish.buses_with_data(publish.monthly_tables(items_series(spark, sf_dir).drop("mes"))[0], date(1995, 5, 10), date(1995, 6, 20))
+
+
+@query(f"""WITH {DATED_SQL}, v AS (SELECT fecha, min(origen) AS o, max(usd_clp) AS t FROM s GROUP BY 1)
+SELECT barra, s.fecha::VARCHAR AS fecha, hora, minuto, round(cmg_usd_mwh, 6) AS cmg_usd_mwh, CASE o WHEN 'pagina_cen_def' THEN 'Definitivo' WHEN 'pagina_cen_pre' THEN 'Preliminar' ELSE 'Maestro (historico)' END AS version, t AS usd_clp
+FROM s JOIN v USING (fecha) WHERE anio = 1996 AND mes = 2""")
+def serie_con_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quarters of a month with each day's version and exchange rate."""
+    s = dated_series(spark, sf_dir).where("anio = 1996 AND mes = 2")
+    documents = spark.createDataFrame([], "fecha_operacion date, tipo string, version int, reemision int")
+    versions_ = publish.versions_by_day(publish.day_inventory(s), documents)
+    return publish.with_versions(s.select("barra", "fecha", "hora", "minuto", "cmg_usd_mwh"), versions_)
+
+
+@query("""SELECT o_orderdate::DATE::VARCHAR AS fecha, o_orderkey AS id, CASE o_custkey % 3 WHEN 0 THEN 'pagina_cen_pre' WHEN 1 THEN 'maestro_cmg_db' ELSE 'pagina_cen_def' END AS despues,
+CASE o_custkey % 4 WHEN 1 THEN 'maestro_cmg_db' WHEN 2 THEN 'pagina_cen_def' WHEN 3 THEN 'pagina_cen_pre' END AS antes FROM orders WHERE o_orderdate BETWEEN DATE '1996-01-05' AND DATE '1996-09-05'""")
+def revisiones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    after = F.when(F.col("o_custkey") % 3 == 0, 3).otherwise(F.col("o_custkey") % 3)
+    before = F.when(F.col("o_custkey") % 4 > 0, F.col("o_custkey") % 4)
+    changes = o.select(F.to_date("o_orderdate").alias("fecha"), F.col("o_orderkey").alias("id"), after.cast("smallint").alias("origen_despues"), before.cast("smallint").alias("origen_antes"))
+    return publish.revisions(changes, publish.origins(spark), date(1996, 1, 5), date(1996, 9, 5))
+
+
+@query(f"""WITH {ITEMS_SQL}, x AS (SELECT CASE WHEN l % 11 = 0 THEN NULL ELSE barra END AS barra, fecha, CASE WHEN l % 7 = 0 THEN 25 ELSE hora END AS hora, CASE WHEN l % 5 = 0 THEN 7 ELSE minuto END AS minuto, bloque,
+CASE WHEN l % 3 = 0 THEN NULL ELSE cmg_usd_mwh END AS p FROM (SELECT *, year(fecha) * 372 + month(fecha) * 31 + day(fecha) + hora AS l FROM li))
+SELECT count(*) FILTER (barra IS NULL) AS clave_nula, count(*) FILTER (hora NOT BETWEEN 0 AND 24) AS hora_fuera, count(*) FILTER (minuto NOT IN (0, 15, 30, 45)) AS minuto_fuera,
+count(*) FILTER (coalesce(bloque, '') NOT IN ('A', 'B', 'C')) AS bloque_fuera, count(*) FILTER (p IS NULL) AS precio_nulo FROM x""")
+def violaciones_dominio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    code = F.year("fecha") * 372 + F.month("fecha") * 31 + F.dayofmonth("fecha") + F.col("hora")
+    held = items_series(spark, sf_dir).withColumn("l", code)
+    bad = held.withColumn("barra", F.when(F.col("l") % 11 > 0, F.col("barra"))).withColumn("hora", F.when(F.col("l") % 7 == 0, 25).otherwise(F.col("hora")))
+    bad = bad.withColumn("minuto", F.when(F.col("l") % 5 == 0, 7).otherwise(F.col("minuto"))).withColumn("cmg_usd_mwh", F.when(F.col("l") % 3 > 0, F.col("cmg_usd_mwh")))
+    return domain_violations(bad)
+
+
+@query(f"""WITH {ITEMS_SQL}, q AS (SELECT barra, fecha, hora, count(*) AS n FROM li GROUP BY ALL), d AS (SELECT barra, fecha, count(*) AS n FROM li GROUP BY ALL)
+SELECT (SELECT count(*) FROM li) AS filas, (SELECT count(*) FROM q WHERE n <> 4) AS horas_incompletas, 0 AS claves_duplicadas""")
+def resumen_calidad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    series = items_series(spark, sf_dir)
+    found = quality.summary(series, quality.expected_calendar(series))
+    return spark.createDataFrame([(found["filas"], found["horas_incompletas"], found["claves_duplicadas"])], "filas long, horas_incompletas long, claves_duplicadas int")
+
+
+@query("""SELECT CASE o_custkey % 3 WHEN 0 THEN 'critico' WHEN 1 THEN 'advertencia' ELSE 'info' END AS severidad, o_orderstatus AS tipo, 'en <archivo> del <fecha>' AS detalle, 'ver' AS accion, count(*) AS veces, len(list(DISTINCT 'f' || o_orderkey % 5))::INT AS archivos
+FROM orders GROUP BY 1, 2""")
+def informe_hallazgos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    severity = F.element_at(F.array(F.lit("critico"), F.lit("advertencia"), F.lit("info")), (F.col("o_custkey") % 3 + 1).cast("int"))
+    detail = F.concat(F.lit("en archivo_"), F.col("o_orderkey").cast("string"), F.lit(".zip del "), F.to_date("o_orderdate").cast("string"))
+    found = o.select(severity.alias("severidad"), F.col("o_orderstatus").alias("tipo"), detail.alias("detalle"), F.lit("").alias("evidencia"), F.lit("ver").alias("accion"), F.concat(F.lit("f"), (F.col("o_orderkey") % 5).cast("string")).alias("archivo"))
+    return quality.report(found).withColumn("archivos", F.size("archivos"))
+
+
+@query("""SELECT DISTINCT o_orderdate::DATE::VARCHAR AS fecha, day(o_orderdate) || '-' || list_value('enero', 'febrero', 'marzo', 'abril', 'mayo', 'junio', 'julio', 'agosto', 'septiembre', 'octubre', 'noviembre', 'diciembre')[month(o_orderdate)] || '-' || year(o_orderdate) AS slug,
+CASE WHEN year(o_orderdate) >= 2000 THEN o_orderdate::DATE::VARCHAR ELSE ('20' || strftime(o_orderdate, '%y-%m-%d')) END AS dia_de_url FROM orders WHERE strftime(o_orderdate, '%m-%d') <> '02-29'""")
+def direcciones_de_dia(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day's address, and the day read back from a page's address (two digits of the year: this century)."""
+    d = F.to_date("o_orderdate")
+    days = table(spark, sf_dir, "orders").where(F.date_format(d, "MM-dd") != "02-29").select(d.alias("fecha")).distinct()
+    url = F.concat(F.lit("https://www.example.org/cmg-999999-"), F.date_format("fecha", "yyMMdd"), F.lit("/"))
+    return days.select("fecha", names.day_slug(F.col("fecha")).alias("slug"), names.day_of_url(url).alias("dia_de_url"))
+
+
+@query("SELECT o_orderkey AS id, CASE WHEN o_custkey % 4 < 3 THEN o_orderdate::DATE::VARCHAR END AS leida FROM orders")
+def fechas_escritas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates written in three ways, and one way that is not read."""
+    d = F.to_date("o_orderdate")
+    forms = F.array(F.date_format(d, "yyyy-MM-dd"), F.date_format(d, "dd-MM-yyyy"), F.concat(F.lit(" "), F.date_format(d, "dd/MM/yyyy")), F.date_format(d, "yyyy.MM"))
+    text = F.element_at(forms, (F.col("o_custkey") % 4 + 1).cast("int"))
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), domain.parse_date(text).alias("leida"))
+
+
+@query("SELECT o_orderkey AS id, 'falta <archivo> del <fecha>' AS detalle FROM orders")
+def detalle_enmascarado(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.concat(F.lit("falta def_"), F.col("o_orderkey").cast("string"), F.lit("_v2.zip del "), F.to_date("o_orderdate").cast("string"))
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), names.masked(text).alias("detalle"))
+
+
+@query(f"""WITH {ITEMS_SQL} SELECT barra, fecha::VARCHAR AS fecha, hora, minuto FROM li
+WHERE NOT (hora = 0 AND EXISTS (SELECT 1 FROM (VALUES (DATE '1994-10-09'), (DATE '1995-10-15'), (DATE '1996-10-13'), (DATE '1997-10-12'), (DATE '1992-10-11'), (DATE '1993-10-10'), (DATE '1998-09-27'), (DATE '1999-10-10')) v(d) WHERE d = fecha))""")
+def sin_horas_fantasma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.drop_ghost_hours(items_series(spark, sf_dir)).select("barra", "fecha", "hora", "minuto")

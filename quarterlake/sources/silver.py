@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +22,16 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def scratch_base(spark: SparkSession) -> str:
+    """A new base in the folder that the cluster shares; a temporary one of this machine only where all runs on it."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        shared = "file://" + tempfile.mkdtemp(prefix="quarterlake-")
+    return f"{shared.rstrip('/')}/silver-{uuid.uuid4().hex}"
+
+
 def _children(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs(spark, path)
     return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []

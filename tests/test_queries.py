@@ -35,3 +35,26 @@ def test_query(spark, sf_dir, con, name):
         assert _rows(got.columns, rows) == _rows(columns, want.fetchall())
     else:
         assert len(got.columns) > 1
+
+
+def test_month_filters_prune_the_stored_layout(spark, sf_dir):
+    """Months are partitions, and the bus and the columns reach the Parquet scan."""
+    from quarterlake.operators import gold
+    from quarterlake.plans import queries
+
+    _, series = queries.stored(spark, sf_dir)
+    plan = gold.monthly_summary(series, "N.O", (1996, 2), (1997, 10))._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    filters = next(x for x in plan.split("\n") if "PartitionFilters" in x)
+    pushed = next(x for x in plan.split("\n") if "PushedFilters" in x)
+    schema = next(x for x in plan.split("\n") if "ReadSchema" in x)
+    assert "anio" in filters and "mes" in filters and "EqualTo(barra,N.O)" in pushed and "usd_clp" not in schema and "fecha_hora" not in schema
+
+
+def test_readers_do_not_see_a_month_being_written(spark, tmp_path):
+    from helpers import month
+    from quarterlake.sources import silver
+
+    base = f"file://{tmp_path}/silver"
+    silver.write_month(month(spark), base, (2024, 6))
+    month(spark, 2024, 7).write.parquet(f"{base}/_work/2024-7__tmp")
+    assert silver.scan(spark, base).count() == 96 and silver.written_months(spark, base) == [(2024, 6)]
