@@ -10,7 +10,7 @@ from quarterlake.llm.licenses import OP9_SQL, op9_license_scan
 from quarterlake.llm.lm_scoring import op8_lm_scoring
 from quarterlake.llm.media import op4_media_columns
 from quarterlake.llm.mixing import OP2_SQL, op2_mix_sources
-from quarterlake.llm.ngram_join import op1_ngram_join
+from quarterlake.llm.ngram_join import OP1_SQL, op1_ngram_join
 from quarterlake.llm.packing import op10_pack_documents
 from quarterlake.llm.quality import op7_quality_rules
 from quarterlake.llm.secrets import op6_secret_scan
@@ -34,4 +34,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mix_sources": OP2_SQL, "op9_license_scan": OP9_SQL}
+    return {"op1_ngram_join": OP1_SQL, "op2_mix_sources": OP2_SQL, "op9_license_scan": OP9_SQL}
