@@ -9,13 +9,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterlake.llm.common import WordHasher, crc_of_id, mix64, slices, table
+from quarterlake.llm.common import WordHasher, crc_of_id, materialize, mix64, slices, table
 
 #: Labelled rows that the machine is fitted to, at most (those of least hash of their id).
 TRAIN_DOCS = 8_000
-#: Terms are hashed to so many buckets; the fit keeps those that go with the label most clearly (chi-square).
+#: Terms are hashed to so many buckets; the fit keeps those that go with the label most clearly (chi-square), alone or two together.
 BUCKET_BITS = 22
 FEATURES, CHI_SQUARE, LEAST_DOCS = 768, 15.0, 8
+#: Pairs are looked for among so many terms, the most frequent ones that not nearly all documents have; a pair must be clearer than
+#: PAIR_CHI, among half a million of them, and than twice its members; the members of the clearest are kept, so many terms at most.
+PAIR_TERMS, PAIR_CHI, PAIR_FEATURES = 1024, 45.0, 192
 RANK = 8
 #: Word beginnings, in bytes, and how often they must occur.
 PREFIXES, LEVELS = (5, 6, 7, 8), (1, 2, 4)
@@ -44,6 +47,25 @@ def document_terms(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return pairs >> BUCKET_BITS, pairs & mask
 
 
+def chi_square(n: np.ndarray, pos: np.ndarray, total: float, all_pos: float) -> np.ndarray:
+    """How clearly something that ``n`` documents have, ``pos`` of them labelled 1, goes with the label."""
+    a, b, c, d = pos, n - pos, all_pos - pos, total - all_pos - (n - pos)
+    return total * (a * d - b * c) ** 2 / np.maximum((a + b) * (c + d) * (a + c) * (b + d), 1e-9)
+
+
+def paired_terms(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Columns of ``x`` (documents by terms, 0 or 1) that tell the label two together, more than each alone."""
+    together, with_label = x.T @ x, x.T @ (x * y[:, None])
+    chi = chi_square(together.astype(np.float64), with_label.astype(np.float64), len(y), float(y.sum()))
+    alone = np.diag(chi).copy()
+    chi[(together < LEAST_DOCS) | (chi < PAIR_CHI) | (chi < 2 * np.maximum(alone[:, None], alone[None, :]))] = 0
+    i, j = np.nonzero(np.triu(chi, 1))
+    order = np.lexsort((j, i, -chi[i, j]))
+    members = np.stack([i[order], j[order]], 1).ravel()
+    _, first = np.unique(members, return_index=True)
+    return members[np.sort(first)][:PAIR_FEATURES]
+
+
 class FactorizationMachine:
     """logit = b + sum w_i x_i + sum over pairs <v_i, v_j> x_i x_j, for terms that are there (1) or not (0)."""
 
@@ -52,18 +74,6 @@ class FactorizationMachine:
         self.terms = np.sort(terms)
         self.b, self.w, self.v = 0.0, np.zeros(len(terms)), r.normal(0, 0.02, (len(terms), RANK))
 
-    @staticmethod
-    def choose_terms(doc: np.ndarray, term: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """Terms whose presence and label depend on each other by chi-square, the clearest first."""
-        size = 1 << BUCKET_BITS
-        n, pos = np.bincount(term, minlength=size), np.bincount(term[y[doc] > 0], minlength=size)
-        ids = np.flatnonzero(n >= LEAST_DOCS)
-        n, pos, total, all_pos = n[ids].astype(np.float64), pos[ids].astype(np.float64), len(y), y.sum()
-        a, b, c, d = pos, n - pos, all_pos - pos, total - all_pos - (n - pos)
-        chi = total * (a * d - b * c) ** 2 / np.maximum((a + b) * (c + d) * (a + c) * (b + d), 1e-9)
-        good = np.flatnonzero(chi >= CHI_SQUARE)
-        return ids[good[np.lexsort((ids[good], -chi[good]))[:FEATURES]]]
-
     def _columns(self, doc: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(self.terms):
             return doc[:0], term[:0]
@@ -104,30 +114,53 @@ class FactorizationMachine:
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", most: int = TRAIN_DOCS) -> FactorizationMachine:
-    """Fit to at most ``most`` labelled rows outside the held-out fold (crc32 of the id mod 5 is 0). The driver gets the distinct
-    hashed terms of those rows only. Ids labelled twice count as toxic if one label says so; null labels do not count."""
+    """Fit to at most ``most`` labelled documents outside the held-out fold (crc32 of the id mod 5 is 0). Terms are counted where the texts
+    are; the driver gets the FEATURES clearest and the PAIR_TERMS most frequent ones, and which of these each document has. Ids labelled
+    twice count as toxic if one label says so; null labels do not count; of several texts of one id one counts, that of least hash."""
     known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").where(crc_of_id("doc_id") % 5 != 0).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).select(F.col("doc_id").alias("tox_id"), "toxic")
-    picked = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(sample), F.col("doc_id") == F.col("tox_id")).select("doc_id", "text", "toxic")
+    picked = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(sample), F.col("doc_id") == F.col("tox_id"))
+    least = F.min(F.struct(F.xxhash64("text").alias("h"), "text", "toxic")).alias("t")
+    picked = materialize(picked.groupBy("doc_id").agg(least).select(F.col("doc_id").cast("long").alias("doc_id"), "t.text", F.col("t.toxic").cast("long").alias("toxic")), "toxic-sample")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches):
             doc, term = document_terms(texts)
-            cuts = np.searchsorted(doc, np.arange(1, len(texts)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("toxic").cast(pa.int64()), pa.array([x.astype("<u4").tobytes() for x in np.split(term, cuts)], pa.binary())], ["doc_id", "toxic", "terms"])
+            toxic = np.asarray(batch.column("toxic").to_pylist()) > 0
+            ids, number, n = np.unique(term, return_inverse=True, return_counts=True)
+            pos = np.bincount(number, toxic[doc], len(ids)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(ids.astype(np.int64)), pa.array(n.astype(np.int64)), pa.array(pos)], ["term", "n", "pos"])
 
-    rows = sorted(picked.mapInArrow(run, "doc_id long, toxic long, terms binary").collect(), key=lambda x: (x["doc_id"], x["terms"]))
-    if not rows:
+    total, all_pos = picked.agg(F.count(F.lit(1)), F.coalesce(F.count_if(F.col("toxic") > 0), F.lit(0))).first()
+    if not total:
         return FactorizationMachine(np.zeros(0, np.int64))
-    y = np.array([float(x["toxic"] > 0) for x in rows])
-    doc = np.repeat(np.arange(len(rows), dtype=np.int32), [len(x["terms"]) // 4 for x in rows])
-    term = np.frombuffer(b"".join(x["terms"] for x in rows), "<u4")
-    del rows
-    chosen = FactorizationMachine.choose_terms(doc, term, y)
-    used = np.zeros(1 << BUCKET_BITS, bool)
-    used[chosen] = True
-    used = used[term]
-    return FactorizationMachine(chosen).fit(doc[used], term[used].astype(np.int64), y)
+    counts = materialize(picked.mapInArrow(count, "term long, n long, pos long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos")).where(F.col("n") >= LEAST_DOCS), "toxic-terms")
+    ad, bc = F.col("pos") * (total - all_pos - F.col("n") + F.col("pos")), (F.col("n") - F.col("pos")) * (all_pos - F.col("pos"))
+    below = F.col("n").cast("double") * (total - F.col("n")) * F.lit(float(all_pos)) * F.lit(float(total - all_pos))
+    clear = counts.withColumn("chi", F.lit(float(total)) * F.pow((ad - bc).cast("double"), F.lit(2.0)) / F.greatest(below, F.lit(1e-9)))
+    ids = lambda df: np.array([r["term"] for r in df.select("term").collect()], np.int64)
+    single = ids(clear.where(F.col("chi") >= CHI_SQUARE).orderBy(F.desc("chi"), "term").limit(FEATURES))
+    frequent = ids(clear.where(F.col("n") <= 0.9 * total).orderBy(F.desc("n"), "term").limit(PAIR_TERMS))
+    wanted = np.union1d(single, frequent)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in slices(batches):
+            doc, term = document_terms(texts)
+            at = np.minimum(np.searchsorted(wanted, term), max(0, len(wanted) - 1))
+            there = wanted[at] == term if len(wanted) else np.zeros(len(term), bool)
+            cuts = np.searchsorted(doc[there], np.arange(1, len(texts)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array([x.astype("<u2").tobytes() for x in np.split(at[there], cuts)], pa.binary())], ["doc_id", "toxic", "terms"])
+
+    found = sorted(picked.mapInArrow(rows, "doc_id long, toxic long, terms binary").collect(), key=lambda x: x["doc_id"])
+    y = np.array([float(x["toxic"] > 0) for x in found])
+    doc = np.repeat(np.arange(len(found), dtype=np.int64), [len(x["terms"]) // 2 for x in found])
+    term = np.frombuffer(b"".join(x["terms"] for x in found), "<u2").astype(np.int64)
+    x = np.zeros((len(y), len(wanted)), np.float32)
+    x[doc, term] = 1
+    among = np.searchsorted(wanted, frequent)
+    chosen = np.union1d(single, frequent[paired_terms(x[:, among], y.astype(np.float32))]) if len(frequent) else single
+    del x
+    return FactorizationMachine(chosen).fit(doc, wanted[term], y)
 
 
 def toxicity_scores(docs: DataFrame, machine: FactorizationMachine, text: str = "text", key: str = "doc_id") -> DataFrame:

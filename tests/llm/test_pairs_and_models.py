@@ -204,16 +204,33 @@ def test_toxicity(spark):
     assert toxicity.toxicity_scores(table(spark, []), machine).count() == 0
 
 
-def test_pairs_of_terms_matter():
-    """The label is set by two terms together, which no weight of single terms can tell."""
-    r = np.random.default_rng(0)
-    x = r.integers(0, 2, (4000, 2))
-    y = (x[:, 0] & x[:, 1]).astype(float)
-    y[(x.sum(1) == 0)] = 0
-    d, c = np.nonzero(x)
-    m = toxicity.FactorizationMachine(np.array([0, 1])).fit(d, c, y)
-    p = m.logit(d, c, 4000) > 0
-    assert (p == (y > 0)).all()
+def test_pairs_of_terms_matter(spark):
+    """The label says that exactly one of two words is there: neither tells anything alone, and no linear weights can say it."""
+    r = random.Random(12)
+    plain = [word(r) + word(r) for _ in range(200)]
+    rows, labels = [], []
+    for i in range(3000):
+        x, y = r.random() < 0.5, r.random() < 0.5
+        w = [r.choice(plain) for _ in range(20)] + ["insultword"] * x + ["grouptokens"] * y
+        r.shuffle(w)
+        rows.append((i, " ".join(w)))
+        labels.append((i, 1, int(x != y)))
+    docs, lab = table(spark, rows), spark.createDataFrame(labels, "doc_id long, quality long, toxic long")
+    machine = toxicity.fit_toxicity(docs, lab)
+    held = [i for i, _, _ in labels if zlib.crc32(str(i).encode()) % 5 == 0]
+    truth = np.array([labels[i][2] for i in held])
+
+    def right(m):
+        got = {x.doc_id: x.predicted for x in toxicity.toxicity_scores(docs, m).collect()}
+        return (np.array([got[i] for i in held]) == truth).mean()
+
+    assert right(machine) > 0.95
+    linear = toxicity.FactorizationMachine(machine.terms)
+    linear.v[:] = 0
+    known = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 5]
+    doc, term = toxicity.document_terms([rows[i][1].encode() for i in known])
+    linear.fit(doc, term, np.array([float(labels[i][2]) for i in known]))  # with no factors to begin with there is no gradient for them
+    assert (linear.v == 0).all() and right(linear) < 0.65
 
 
 def base_secrets(text):
