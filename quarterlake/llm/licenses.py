@@ -3,6 +3,7 @@ DataFrame functions only."""
 
 from __future__ import annotations
 
+import json
 import math
 import re
 
@@ -125,8 +126,9 @@ def wordings(spark: SparkSession) -> DataFrame:
         terms = _terms(text)
         w = {t: terms.count(t) * IDF[t] for t in terms}
         norm = math.sqrt(sum(x * x for x in w.values()))
-        rows += [(t, at, name, len(terms), {k: x / norm for k, x in w.items()}) for at, t in enumerate(terms) if t in ANCHORS]
-    return spark.createDataFrame(rows, "anchor string, at int, name string, n_terms int, weights map<string,double>")
+        rows += [{"anchor": t, "at": at, "name": name, "n_terms": len(terms), "weights": {k: x / norm for k, x in w.items()}} for at, t in enumerate(terms) if t in ANCHORS]
+    kind = "array<struct<anchor:string,at:int,name:string,n_terms:int,weights:map<string,double>>>"
+    return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), kind)))
 
 
 def windows(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
