@@ -26,7 +26,8 @@ TEMPLATES = (
     "{tipo}-v{version}_v{version2}",
 )
 MONTHS = ("enero", "febrero", "marzo", "abril", "mayo", "junio", "julio", "agosto", "septiembre", "octubre", "noviembre", "diciembre")
-LABEL = r"(?i)(preliminar|definitivo)(?:\s*[-–]?\s*v(\d+))?"
+# Fixed value: the phrase of a page's label.
+LABEL = r"(?i)Costo\s+Marginal\s+Real\s+(Preliminar|Definitivo)(?:\W*v(\d+))?"
 
 
 def pattern(template: str, types: dict[str, str] = TYPES) -> str:

@@ -9,9 +9,19 @@ from pyspark.sql import functions as F
 
 from quarterlake.functions import names
 
-#: Members that a day's ZIP must have, and those that it may have.
-MANDATORY_MEMBERS = {"comparativo": r"(?i)^CmgBarrasComparativo_\d+_\d+_15(_NUEVO)?\.csv$", "promedios": r"(?i)^PromediosBarras.*\.csv$"}
-KNOWN_MEMBERS = (r"(?i)^CmgBarras.*\.csv$", r"(?i)^.*anexo.*$", r"(?i)^.*\.(txt|pdf|xlsx)$")
+# Members that a day's ZIP must have, those that it may have, and annexes that have nothing to do with prices.
+MANDATORY_MEMBERS = {"comparativo": r"^CmgBarrasComparativo_\d{8}_\d{8}_15(_NUEVO)?\.csv$", "promedios": r"^PromediosBarras_?\d{8}_\d{8}_[RPE]\.csv$"}
+KNOWN_MEMBERS = (
+    r"^(CMgBarrasMinuto_\d{8}_\d{8}\.zip|CMgxBarraMinuto_\d{8}(_\d{6,8})?\.(zip|csv))$",
+    r"^Fpen_(\d{8}(_MOD)?(_(def|pre))?|Reales_\d{6}(_MOD_\w+)?)\.xlsx$",
+    r"^FPen_Mapeo_Barras\.xlsx$",
+    r"^Barras_Subsistemas_\d{8}(_[PR])?\.xlsx$",
+    r"^DesignacionCentrales_SD\d+_\d{8}\.xlsx$",
+    r"^Profundidad Costo de Falla.*\.xlsx$",
+    r"^C.lculo CF Racionamiento.*\.xlsx$",
+    r"^ValorDolar_\d{4}\.xlsx$",
+    r"^R_CMg_\w+_MOD_\w+\.xlsx$",
+)
 
 
 def basename(path: Column) -> Column:

@@ -470,7 +470,7 @@ def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _PARSED_SQL = """p AS (SELECT o_orderkey, nombre, etiqueta, CASE WHEN nombre LIKE '%Real\\_otro%' ESCAPE '\\' THEN 'desconocido' WHEN nombre LIKE '%Real\\_def%' ESCAPE '\\' THEN 'def' ELSE 'pre' END AS tn,
   CASE WHEN nombre LIKE '%\\_v2-1.zip' ESCAPE '\\' THEN 2 WHEN nombre LIKE '%prel\\_V3%' ESCAPE '\\' OR nombre LIKE '%def-v3%' THEN 3 ELSE 1 END AS vn, CASE WHEN nombre LIKE '%\\_v2-1.zip' ESCAPE '\\' THEN 1 ELSE 0 END AS reemision,
-  CASE WHEN etiqueta LIKE '%Definitivo%' THEN 'def' WHEN etiqueta LIKE '%Preliminar%' THEN 'pre' END AS te, CASE WHEN etiqueta LIKE '%V2' THEN 2 WHEN etiqueta LIKE '%v4' THEN 4 ELSE 1 END AS ve FROM nombres)"""
+  CASE WHEN etiqueta LIKE '%Costo Marginal Real Definitivo%' THEN 'def' WHEN etiqueta LIKE '%Costo Marginal Real Preliminar%' THEN 'pre' END AS te, CASE WHEN etiqueta LIKE '%V2' THEN 2 WHEN etiqueta LIKE '%v4' THEN 4 ELSE 1 END AS ve FROM nombres)"""
 
 
 @query(f"WITH {_FILE_DUCK}, {_PARSED_SQL} SELECT o_orderkey, coalesce(te, tn) AS tipo, (CASE WHEN te IS NULL THEN vn WHEN tn <> 'desconocido' THEN greatest(vn, ve) ELSE ve END)::INT AS version, reemision::INT AS reemision FROM p")

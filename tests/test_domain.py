@@ -80,11 +80,11 @@ def test_file_names(spark):
 
 
 def test_labels_and_dates(spark):
-    rows = [("Real Preliminar", "250203"), ("Definitivo v2", "20250717"), ("Definitivo – V2", "25406"), ("nada", "250231")]
+    rows = [("Antecedentes Costo Marginal Real Preliminar", "250203"), ("Costo Marginal Real Definitivo v2", "20250717"), ("costo  marginal real Definitivo – V2", "25406"), ("Informe definitivo", "250231")]
     got = spark.createDataFrame(rows, "l string, d string").select(names.label_info(F.col("l")).alias("i"), names.date_of_digits(F.col("d")).alias("d")).collect()
     assert [r.i and tuple(r.i) for r in got] == [("pre", 1), ("def", 2), ("def", 2), None]
     assert [r.d for r in got] == [date(2025, 2, 3), date(2025, 7, 17), None, None]
-    both = spark.createDataFrame([(names.PREFIX + "def-v3_250225.zip", "Preliminar v3"), (names.PREFIX + "def_v2_250201.zip", "Definitivo"), ("x.zip", "Definitivo v2"), (names.PREFIX + "pre.zip", "")], "n string, l string")
+    both = spark.createDataFrame([(names.PREFIX + "def-v3_250225.zip", "Costo Marginal Real Preliminar v3"), (names.PREFIX + "def_v2_250201.zip", "Costo Marginal Real Definitivo"), ("x.zip", "Costo Marginal Real Definitivo v2"), (names.PREFIX + "pre.zip", "")], "n string, l string")
     assert [tuple(r[0]) for r in both.select(names.classify(F.col("n"), F.col("l"))).collect()] == [("pre", 3, 0), ("def", 2, 0), ("def", 2, 0), ("pre", 1, 0)]
 
 

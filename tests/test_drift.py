@@ -11,15 +11,15 @@ from quarterlake.sources import silver
 
 
 def test_members(spark):
-    rows = [("a.zip", "x/CmgBarrasComparativo_20250101_20250101_15.csv"), ("a.zip", "PromediosBarras_1.csv"), ("b.zip", "PromediosBarras_1.csv"), ("b.zip", "raro.bin")]
+    rows = [("a.zip", "x/CmgBarrasComparativo_20250101_20250101_15.csv"), ("a.zip", "PromediosBarras20250101_20250101_R.csv"), ("a.zip", "Fpen_20250101_MOD_def.xlsx"), ("b.zip", "PromediosBarras_20250101_20250101_E.csv"), ("b.zip", "raro.bin"), ("b.zip", "CmgBarrasOtro.csv")]
     got = sorted(tuple(r) for r in drift.member_findings(spark.createDataFrame(rows, "archivo string, miembro string")).collect())
-    assert got == [("b.zip", "advertencia", "miembro_nuevo", "raro.bin"), ("b.zip", "critico", "falta_miembro", "comparativo")]
+    assert got == [("b.zip", "advertencia", "miembro_nuevo", "CmgBarrasOtro.csv"), ("b.zip", "advertencia", "miembro_nuevo", "raro.bin"), ("b.zip", "critico", "falta_miembro", "comparativo")]
 
 
 def test_documents(spark):
     d = date(2025, 3, 2)
     rows = [
-        (d, PREFIX + "def_250302_v2.zip", "Real Definitivo v2", date(2025, 4, 1)), (d, PREFIX + "def_250303.zip", "Real Preliminar", None), (d, "x.zip", "nada", date(2025, 1, 1)), (d, PREFIX + "def_25406.zip", "Definitivo", date(2025, 4, 1)),
+        (d, PREFIX + "def_250302_v2.zip", "Antecedentes Costo Marginal Real Definitivo v2", date(2025, 4, 1)), (d, PREFIX + "def_250303.zip", "Costo Marginal Real Preliminar", None), (d, "x.zip", "nada", date(2025, 1, 1)), (d, PREFIX + "def_25406.zip", "Costo Marginal Real Definitivo", date(2025, 4, 1)),
     ]
     df = spark.createDataFrame(rows, "fecha_operacion date, nombre string, etiqueta string, fecha_publicacion date")
     got = {(r.nombre.removeprefix(PREFIX), r.tipo) for r in drift.document_findings(df).collect()}
