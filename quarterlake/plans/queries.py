@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime, timedelta
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -698,7 +699,14 @@ def detalle_enmascarado(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), names.masked(text).alias("detalle"))
 
 
+def _days_without_midnight(first: int, last: int, zone: str = calendar.ZONE) -> list[date]:
+    """Days whose clock starts at 01:00, by Python's copy of the zone's history: the SQL's side of the comparison."""
+    z, utc = ZoneInfo(zone), ZoneInfo("UTC")
+    every = (date(first, 1, 1) + timedelta(days=i) for i in range((date(last + 1, 1, 1) - date(first, 1, 1)).days))
+    return [d for d in every if datetime(d.year, d.month, d.day, tzinfo=z).astimezone(utc).astimezone(z).hour != 0]
+
+
 @query(f"""WITH {ITEMS_SQL} SELECT barra, fecha::VARCHAR AS fecha, hora, minuto FROM li
-WHERE NOT (hora = 0 AND EXISTS (SELECT 1 FROM (VALUES (DATE '1994-10-09'), (DATE '1995-10-15'), (DATE '1996-10-13'), (DATE '1997-10-12'), (DATE '1992-10-11'), (DATE '1993-10-10'), (DATE '1998-09-27'), (DATE '1999-10-10')) v(d) WHERE d = fecha))""")
+WHERE NOT (hora = 0 AND fecha IN ({', '.join(f"DATE '{d}'" for d in _days_without_midnight(1990, 2010))}))""")
 def sin_horas_fantasma(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.drop_ghost_hours(items_series(spark, sf_dir)).select("barra", "fecha", "hora", "minuto")
