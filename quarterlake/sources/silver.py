@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 import tempfile
 import uuid
@@ -80,14 +81,18 @@ def _aside(base: str, month: Month, what: str) -> str:
 def write_month(df: DataFrame, base: str, month: Month) -> int:
     """Replace one month: written aside, sorted by key for row-group skipping, then swapped in by renames, so that readers see the old
     month or the new one. Rows of another month are an error. Other months, and what others write there, are not touched."""
-    spark = df.sparkSession
-    recover(spark, base, month)
-    final, aside, old = month_path(base, month), _aside(base, month, "tmp"), _aside(base, month, "old")
     held = conform(df).repartitionByRange("barra").sortWithinPartitions(*KEY)
     strange = F.raise_error(F.concat(F.lit(f"a row is outside {month}: "), F.coalesce(F.col("fecha").cast("string"), F.lit("no date"))))
-    checked = held.withColumn("fecha", F.when((F.year("fecha") == month[0]) & (F.month("fecha") == month[1]), F.col("fecha")).otherwise(strange.cast("date")))
-    checked.write.mode("overwrite").option("compression", "zstd").parquet(aside)
-    rows = spark.read.parquet(aside).count()
+    return replace_month(held.withColumn("fecha", F.when((F.year("fecha") == month[0]) & (F.month("fecha") == month[1]), F.col("fecha")).otherwise(strange.cast("date"))), base, month)
+
+
+def replace_month(rows: DataFrame, base: str, month: Month) -> int:
+    """Swap a month's folder for these rows, whatever their columns."""
+    spark = rows.sparkSession
+    recover(spark, base, month)
+    final, aside, old = month_path(base, month), _aside(base, month, "tmp"), _aside(base, month, "old")
+    rows.write.mode("overwrite").option("compression", "zstd").parquet(aside)
+    written = spark.read.parquet(aside).count()
     fs, p_final = _fs(spark, final)
     path = lambda x: spark.sparkContext._jvm.org.apache.hadoop.fs.Path(x)
     fs.mkdirs(p_final.getParent())
@@ -98,7 +103,22 @@ def write_month(df: DataFrame, base: str, month: Month) -> int:
         raise OSError(f"cannot move {aside}")
     fs.delete(path(old), True)
     spark.catalog.refreshByPath(base)
-    return rows
+    return written
+
+
+def month_fingerprint(spark: SparkSession, base: str, month: Month) -> str | None:
+    """What a month's files are, from their names, lengths and times alone: no data is read. None without files."""
+    fs, p = _fs(spark, month_path(base, month))
+    if not fs.exists(p):
+        return None
+    files = sorted(f"{s.getPath().getName()}:{s.getLen()}:{s.getModificationTime()}" for s in fs.listStatus(p) if s.getPath().getName().endswith(".parquet"))
+    return hashlib.sha256("\n".join(files).encode()).hexdigest() if files else None
+
+
+def remove_month(spark: SparkSession, base: str, month: Month) -> None:
+    fs, p = _fs(spark, month_path(base, month))
+    fs.delete(p, True)
+    spark.catalog.refreshByPath(base)
 
 
 def recover(spark: SparkSession, base: str, month: Month | None = None) -> list[str]:
