@@ -148,3 +148,8 @@ def find_buses(series: DataFrame, text: str, limit: int = 40) -> DataFrame:
     """Names that contain the text, in either case, with the number of all that do."""
     names = series.select("barra").distinct().where(F.upper("barra").contains(text.upper()))
     return names.select("barra", names.agg(F.count(F.lit(1))).scalar().alias("total")).orderBy("barra").limit(limit)
+
+
+def bus_exists(series: DataFrame, bus: str) -> bool:
+    """Stops at the first row."""
+    return not series.where(F.col("barra") == bus).select(F.lit(1)).isEmpty()

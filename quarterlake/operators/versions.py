@@ -89,13 +89,22 @@ def completeness(manifest: DataFrame, first: date, last: date, today: date) -> D
     return held.withColumn("k", F.date_sub("fecha", F.row_number().over(w))).groupBy("estado", "k").agg(F.min("fecha").alias("desde"), F.max("fecha").alias("hasta"), F.count(F.lit(1)).alias("dias")).drop("k").orderBy("desde", "estado")
 
 
-def coverage(present: DataFrame, manifest: DataFrame, first: date, last: date, start: date = SOURCE_START) -> DataFrame:
-    """Expected days against those in the series, by month, with the causes of the missing ones."""
-    spark = present.sparkSession
+def days_in_base(series: DataFrame) -> DataFrame:
+    """The days that the series has; one column is read."""
+    return series.select("fecha").distinct()
+
+
+def day_causes(present: DataFrame, manifest: DataFrame, first: date, last: date, start: date = SOURCE_START) -> DataFrame:
+    """Every expected day, whether the series has it, and the cause if it does not."""
     have = present.select("fecha", F.lit(True).alias("have")).distinct()
     got = manifest.select(F.col("fecha_operacion").alias("fecha"), F.lit(True).alias("got")).distinct()
     cause = F.when(F.col("have"), None).when(F.col("fecha") < F.lit(start), "maestro").when(F.col("got"), "sin_ingerir").otherwise("sin_descargar")
-    each = days(spark, first, last).join(have, "fecha", "left").join(got, "fecha", "left").withColumn("causa", cause)
+    return days(present.sparkSession, first, last).join(have, "fecha", "left").join(got, "fecha", "left").withColumn("causa", cause)
+
+
+def coverage(present: DataFrame, manifest: DataFrame, first: date, last: date, start: date = SOURCE_START) -> DataFrame:
+    """Expected days against those in the series, by month, with the causes of the missing ones."""
+    each = day_causes(present, manifest, first, last, start)
     of = lambda kind: F.count_if(F.col("causa") == kind).alias(kind)
     return each.groupBy(F.date_format("fecha", "yyyy-MM").alias("periodo")).agg(F.count(F.lit(1)).alias("esperados"), F.count_if(F.col("have")).alias("con_datos"), of("maestro"), of("sin_ingerir"), of("sin_descargar")).orderBy("periodo")
 

@@ -15,6 +15,7 @@ from quarterlake.plans.adapters import BLOCK_SQL, EVENTS_SQL, ITEMS_SQL, MANIFES
 from quarterlake.schema import domain_violations
 from quarterlake.sources import bronze, silver
 from quarterlake.streaming import ingest
+from quarterlake.workflows import publishing, reports, watch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -710,3 +711,130 @@ def _days_without_midnight(first: int, last: int, zone: str = calendar.ZONE) ->
 WHERE NOT (hora = 0 AND fecha IN ({', '.join(f"DATE '{d}'" for d in _days_without_midnight(1990, 2010))}))""")
 def sin_horas_fantasma(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.drop_ghost_hours(items_series(spark, sf_dir)).select("barra", "fecha", "hora", "minuto")
+
+
+LOADS_SQL = """d AS (SELECT DISTINCT fecha, origen FROM s), k AS (SELECT year(fecha)::INT AS anio, month(fecha)::INT AS mes, count(*)::INT AS dias,
+count(*) FILTER (origen = 'pagina_cen_pre')::INT AS dias_preliminar FROM d GROUP BY 1, 2)"""
+
+
+@query(f"""WITH {DATED_SQL}, {LOADS_SQL}, m AS (SELECT barra, anio, mes, make_date(anio, mes, 1) AS f, count(*) AS cuartos, {AVERAGES_SQL} FROM s GROUP BY ALL)
+SELECT barra, f::VARCHAR AS fecha, m.anio, m.mes, cuartos, {", ".join(f'{R6(chr(34) + c + chr(34))} AS "{c}"' for c in ROUNDED)}, dias, dias_preliminar
+FROM m LEFT JOIN (SELECT * FROM k WHERE mes <> 7) k USING (anio, mes)""")
+def vista_mensual(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly averages with names beside each month's load record; months without a record stay."""
+    s = dated_series(spark, sf_dir)
+    buses, origins = publish.assign_ids(spark.createDataFrame([], "barra_id int, nombre string"), s.select(F.col("barra").alias("nombre"))), publish.origins(spark)
+    encoded = publish.encode(s, buses, origins)
+    by_bus = publish.monthly_tables(encoded.withColumnRenamed("barra_id", "barra"))[0].withColumnsRenamed({"barra": "barra_id", "mes": "fecha"})
+    days = encoded.groupBy("fecha").agg(F.min("origen_id").alias("origen_id"))
+    loads = days.groupBy(F.year("fecha").alias("anio"), F.month("fecha").alias("mes")).agg(F.count(F.lit(1)).cast("int").alias("dias"), F.count_if(F.col("origen_id") == 3).cast("int").alias("dias_preliminar"))
+    return publishing.monthly_view(by_bus, buses, loads.where("mes <> 7"))
+
+
+@query(f"""WITH {DATED_SQL}, n AS (SELECT *, cmg_usd_mwh + (CASE WHEN day(fecha) % 5 = 0 AND hora % 2 = 0 THEN hora + 1 ELSE 0 END) AS n FROM s WHERE hora < 20)
+SELECT fecha::VARCHAR AS fecha, count(*) AS cuartos, count(*) FILTER (n <> cmg_usd_mwh) AS cuartos_distintos, round(max(abs(n - cmg_usd_mwh)), 6) AS dif_max_usd,
+{R6('avg(abs(n - cmg_usd_mwh)) FILTER (n <> cmg_usd_mwh)')} AS dif_prom_usd, CASE day(fecha) % 3 WHEN 0 THEN 3 WHEN 1 THEN 2 ELSE 1 END AS origen_despues,
+CASE WHEN day(fecha) % 6 = 1 THEN 3 WHEN day(fecha) % 3 = 0 THEN 3 WHEN day(fecha) % 3 = 1 THEN 2 ELSE 1 END AS origen_antes FROM n GROUP BY fecha
+HAVING count(*) FILTER (n <> cmg_usd_mwh) > 0 OR day(fecha) % 6 = 1""")
+def dias_revisados(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days whose prices or origin differ from what is loaded."""
+    s = dated_series(spark, sf_dir)
+    buses, origins = publish.assign_ids(spark.createDataFrame([], "barra_id int, nombre string"), s.select(F.col("barra").alias("nombre"))), publish.origins(spark)
+    old = publish.encode(s, buses, origins)
+    d = F.dayofmonth("fecha")
+    new = old.where("hora < 20").withColumn("cmg_usd_mwh", F.col("cmg_usd_mwh") + F.when((d % 5 == 0) & (F.col("hora") % 2 == 0), F.col("hora") + 1).otherwise(0))
+    before = old.groupBy("fecha").agg(F.min("origen_id").alias("origen_id")).withColumn("origen_id", F.when(d % 6 == 1, 3).otherwise(F.col("origen_id"))).withColumn("documento", F.lit(None).cast("string"))
+    none = spark.createDataFrame([], "fecha date, documento string, publicado date")
+    out = publishing.revised_days(new, old, before, none, datetime(2026, 1, 1))
+    return out.select("fecha", "cuartos", "cuartos_distintos", "dif_max_usd", "dif_prom_usd", F.col("origen_despues").cast("int").alias("origen_despues"), F.col("origen_antes").cast("int").alias("origen_antes"))
+
+
+@query(f"""WITH {EVENTS_SQL}, s AS (SELECT *, 'pagina_cen_def' AS origen FROM ev) SELECT barra, date_trunc('month', fecha)::DATE::VARCHAR AS fecha, anio, mes, count(*) AS cuartos,
+{", ".join(f'{R6(x)} AS "{c}"' for c, x in (("A", "avg(cmg_usd_mwh) FILTER (bloque = 'A')"), ("B", "avg(cmg_usd_mwh) FILTER (bloque = 'B')"), ("C", "avg(cmg_usd_mwh) FILTER (bloque = 'C')"), ("Solar", "avg(cmg_usd_mwh) FILTER (bloque = 'B')"), ("NoSolar", "avg(cmg_usd_mwh) FILTER (bloque IN ('A', 'C'))"), ("Total", "avg(cmg_usd_mwh)")))},
+(SELECT count(DISTINCT e.fecha)::INT FROM ev e WHERE e.anio = s.anio AND e.mes = s.mes) AS dias, 0 AS dias_preliminar FROM s GROUP BY barra, date_trunc('month', fecha), anio, mes""")
+def publicado(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole publication of the events' months, read back through the serving view."""
+    base, serving = silver.scratch_base(spark), silver.scratch_base(spark)
+    series = events_series(spark, sf_dir).withColumn("origen", F.lit("pagina_cen_def")).withColumn("ingerido_en", F.localtimestamp())
+    silver.write_months(series, base)
+    publishing.publish_changed(spark, base, serving, datetime(2026, 1, 1))
+    return publishing.monthly_view(*(publishing.read(spark, serving, t) for t in ("mes_barra", "barra", "carga_mes")))
+
+
+CAUSES_SQL = """have AS (SELECT DISTINCT fecha FROM li WHERE day(fecha) % 7 <> 0), e AS (SELECT unnest(generate_series(TIMESTAMP '1994-01-01', TIMESTAMP '1998-12-31', INTERVAL 1 DAY))::DATE AS f),
+c AS (SELECT f, CASE WHEN f < DATE '1996-01-01' THEN 'maestro' WHEN f IN (SELECT o_orderdate::DATE FROM orders WHERE o_custkey % 10 = 1) THEN 'sin_ingerir' ELSE 'sin_descargar' END AS causa FROM e WHERE f NOT IN (SELECT fecha FROM have)),
+g AS (SELECT *, f - (row_number() OVER (PARTITION BY causa ORDER BY f))::INT AS k FROM c), runs AS (SELECT causa, min(f) AS desde, max(f) AS hasta, count(*) AS dias FROM g GROUP BY causa, k)"""
+
+
+def _gaps(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    present = items_series(spark, sf_dir).where(F.dayofmonth("fecha") % 7 != 0)
+    manifest = table(spark, sf_dir, "orders").where(F.col("o_custkey") % 10 == 1).select(F.to_date("o_orderdate").alias("fecha_operacion"))
+    return present, manifest
+
+
+@query(f"WITH {ITEMS_SQL}, {CAUSES_SQL} SELECT causa, desde::VARCHAR AS desde, hasta::VARCHAR AS hasta, dias FROM runs")
+def tramos_faltantes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of missing days by cause; the gaps are those of days 7, 14, 21 and 28 and of the data."""
+    return watch.missing_by_cause(*_gaps(spark, sf_dir), date(1994, 1, 1), date(1998, 12, 31), date(1996, 1, 1))
+
+
+@query(f"""WITH {ITEMS_SQL}, {CAUSES_SQL} SELECT 'advertencia' AS severidad, CASE causa WHEN 'maestro' THEN 'dias_sin_datos_maestro' ELSE 'dias_descargados_sin_ingerir' END AS tipo,
+dias || ' dia(s)' AS detalle, CASE WHEN desde = hasta THEN desde::VARCHAR ELSE desde || ' a ' || hasta END AS evidencia FROM runs WHERE causa <> 'sin_descargar'""")
+def hallazgos_cobertura(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return watch.coverage_findings(watch.missing_by_cause(*_gaps(spark, sf_dir), date(1994, 1, 1), date(1998, 12, 31), date(1996, 1, 1)))
+
+
+@query(f"""WITH {ITEMS_SQL}, have AS (SELECT DISTINCT fecha FROM li WHERE day(fecha) % 7 <> 0), e AS (SELECT unnest(generate_series(TIMESTAMP '1991-06-01', TIMESTAMP '1998-12-31', INTERVAL 1 DAY))::DATE AS f)
+SELECT * FROM (SELECT strftime(f, '%Y-%m') AS periodo, CASE WHEN count(fecha) = 0 THEN 'vacio' WHEN count(fecha) < count(*) THEN 'incompleto' END AS estado, count(fecha) AS con_datos, count(*) AS esperados
+FROM e LEFT JOIN have ON f = fecha GROUP BY 1) WHERE estado IS NOT NULL""")
+def meses_con_huecos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months without any day, or with some only."""
+    return watch.month_gaps(versions.coverage(*_gaps(spark, sf_dir), date(1991, 6, 1), date(1998, 12, 31)))
+
+
+@query("""WITH b AS (SELECT o_orderkey AS k, 'f' || (o_orderkey // 4) AS nombre, o_orderpriority AS etiqueta, o_orderdate::DATE AS d FROM orders),
+was AS (SELECT nombre, min(etiqueta) AS e, min(d) AS d FROM b WHERE k % 4 < 2 GROUP BY 1), now AS (SELECT nombre, min(etiqueta) AS e, min(d) AS d FROM b WHERE k % 4 > 0 GROUP BY 1),
+x AS (SELECT nombre, was.e AS e1, now.e AS e2, was.d AS d1, now.d AS d2 FROM was FULL JOIN now USING (nombre))
+SELECT 'critico' AS severidad, 'base_documento_ausente' AS tipo, nombre AS detalle, '' AS evidencia FROM x WHERE e2 IS NULL
+UNION ALL SELECT 'info', 'base_revision_en_referencia', nombre, '' FROM x WHERE e1 IS NULL
+UNION ALL SELECT 'advertencia', 'base_etiqueta_distinta', nombre, e1 || ' -> ' || e2 FROM x WHERE e1 <> e2
+UNION ALL SELECT 'advertencia', 'base_fecha_publicacion_distinta', nombre, d1 || ' -> ' || d2 FROM x WHERE d1 <> d2""")
+def documentos_de_referencia(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known documents against those found: gone, changed, new."""
+    o = table(spark, sf_dir, "orders").withColumn("nombre", F.concat(F.lit("f"), F.floor(F.col("o_orderkey") / 4).cast("string")))
+    of = lambda held, day: held.groupBy("nombre").agg(F.min("o_orderpriority").alias("etiqueta"), F.min(F.to_date("o_orderdate")).alias(day))
+    return watch.compare_documents(of(o.where("o_orderkey % 4 > 0"), "fecha_publicacion"), of(o.where("o_orderkey % 4 < 2"), "publicado"))
+
+
+@query("""SELECT o_orderkey AS id, CASE o_custkey % 3 WHEN 0 THEN 'Preliminar' WHEN 1 THEN 'Definitivo' ELSE 'otro' END AS "Origen", CASE o_custkey % 4 WHEN 0 THEN '' ELSE 'Maestro (historico)' END AS "Antes",
+round(o_totalprice, 2) AS "CMg [USD/MWh]" FROM orders""")
+def encabezados(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headers and origins in words."""
+    c = F.col("o_custkey")
+    held = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.when(c % 3 == 0, "pagina_cen_pre").when(c % 3 == 1, "pagina_cen_def").otherwise("otro").alias("origen"), F.when(c % 4 > 0, "maestro_cmg_db").alias("antes"), F.round(F.col("o_totalprice").cast("double"), 2).alias("cmg_usd_mwh"))
+    return reports.readable(held)
+
+
+@query("SELECT o_orderkey AS id, replace(format('{:,}', o_custkey::BIGINT * 9973), ',', '.') AS miles FROM orders")
+def miles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), domain.thousands(F.col("o_custkey").cast("long") * 9973).alias("miles"))
+
+
+@query(f"""WITH {DATED_SQL}, v AS (SELECT fecha, min(origen) AS o, max(usd_clp) AS t FROM s GROUP BY 1), a AS (SELECT * FROM s WHERE barra = 'R.F'), b AS (SELECT * FROM s WHERE barra = 'A.F')
+SELECT a.fecha::VARCHAR AS fecha, a.hora, a.minuto, a.cmg_usd_mwh AS cmg_referencia, b.cmg_usd_mwh AS cmg_comparada, round(b.cmg_usd_mwh - a.cmg_usd_mwh, 6) AS riesgo_usd_mwh,
+CASE o WHEN 'pagina_cen_def' THEN 'Definitivo' WHEN 'pagina_cen_pre' THEN 'Preliminar' ELSE 'Maestro (historico)' END AS version, t AS usd_clp
+FROM a JOIN b USING (fecha, hora, minuto) JOIN v USING (fecha) WHERE a.fecha BETWEEN DATE '1993-11-20' AND DATE '1994-02-03'""")
+def riesgo_por_dias(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Risk by quarter over a range of days that crosses a year, with each day's version and rate."""
+    s = dated_series(spark, sf_dir)
+    documents = spark.createDataFrame([], "fecha_operacion date, tipo string, version int, reemision int")
+    by_day = publish.versions_by_day(publish.day_inventory(s), documents)
+    out = reports.range_risk_series(s, "R.F", "A.F", date(1993, 11, 20), date(1994, 2, 3), by_day)
+    return out.select("fecha", "hora", "minuto", "cmg_referencia", "cmg_comparada", "riesgo_usd_mwh", "version", "usd_clp")
+
+
+@query("""WITH m AS (SELECT o_orderdate::DATE AS d, CASE o_orderstatus WHEN 'O' THEN 2 WHEN 'F' THEN 1 ELSE 0 END AS r, substr(o_orderpriority, 1, 1)::INT AS v, (o_custkey % 3)::INT AS i, (o_orderdate::DATE + (o_orderkey % 10)::INT)::VARCHAR AS p, 'f' || o_orderkey AS n FROM orders)
+SELECT n AS nombre, d::VARCHAR AS fecha_operacion FROM m ORDER BY m.d DESC, r DESC, v DESC, i DESC, p DESC, n DESC LIMIT 1""")
+def ultimo_archivo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The greatest version of the latest day."""
+    return watch.latest_file(orders_manifest(spark, sf_dir))
