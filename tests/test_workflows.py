@@ -165,3 +165,16 @@ def test_removal_of_earlier_months(spark, tmp_path):
     with pytest.raises(Exception, match="twice"):
         silver.write_month(month(spark, 2024, 7).unionByName(month(spark, 2024, 7)), base, (2024, 7))
         publishing.publish_changed(spark, base, serving, NOW)
+
+
+def test_commands(spark, tmp_path, capsys):
+    from quarterlake.cli import main
+
+    (tmp_path / "bronze").mkdir()
+    folder, base, serving = f"file://{tmp_path}/bronze", f"file://{tmp_path}/silver", f"file://{tmp_path}/serving"
+    assert main(["ingerir-pagina", base, folder], spark) == 1
+    manifest(spark, folder, day_file(str(tmp_path / "bronze"), date(2025, 9, 9)))
+    assert main(["ingerir-pagina", base, folder], spark) == 0 and main(["publicar", base, serving, "--bronze", folder], spark) == 0
+    assert "filas=192" in capsys.readouterr().out
+    assert main(["exportar-cmg", base, "BARRA_1", str(tmp_path / "out")], spark) == 0 and (tmp_path / "out" / "CMg_BARRA_1_2025-09_a_2025-09.csv").exists()
+    assert main(["exportar-cmg", base, "NONE", str(tmp_path / "out")], spark) == 1 and main(["exportar-cmg", base, "BARRA_1", "x", "--formatos", "pdf"], spark) == 2
