@@ -302,7 +302,8 @@ def test_local_search_empties_a_bin():
 @pytest.mark.parametrize("name", list(oracle_sql()))
 def test_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    for name_ in ("documents", "embeddings", "clients", "vendors"):
+        con.execute(f"CREATE VIEW {name_} AS SELECT * FROM '{sf_dir}/{name_}.parquet'")
     got = queries()[name](spark, sf_dir)
     want = con.execute(oracle_sql()[name])
     columns = [d[0] for d in want.description]
@@ -358,7 +359,7 @@ def test_pipeline_stages_on_odd_tables(spark, sf_dir):
     assert p.redact(spark, docs, sf_dir).where("doc_id = 2").first().text is None
 
 
-@pytest.mark.parametrize("name", ["op1_ngram_join", "op2_mix_sources", "op3_token_counts", "op4_media_columns", "op5_toxicity", "op6_secret_scan", "op7_quality_rules", "op8_lm_scoring", "op9_license_scan", "op10_pack_documents", "pipeline"])
+@pytest.mark.parametrize("name", ["op1_ngram_join", "op2_mix_sources", "op3_token_counts", "op4_media_columns", "op5_toxicity", "op6_secret_scan", "op7_quality_rules", "op8_lm_scoring", "op9_license_scan", "op10_pack_documents", "op13_language_id", "pipeline"])
 def test_queries_on_empty_and_odd_tables(spark, tmp_path, name):
     """Every query runs on an empty table and on one of nulls, empty texts and repeated rows, with more columns of clashing names."""
     import corpus_pipeline
