@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
+import uuid
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,20 +41,41 @@ def read_bytes(spark: SparkSession, path: str) -> bytes:
         stream.close()
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Readers see the old text or the new one."""
+def _rename(spark: SparkSession, aside, path: str, how: str) -> None:
     jvm = spark.sparkContext._jvm
-    fs, aside = file_system(spark, path + ".tmp")
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = getattr(rename, how)
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(aside.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(aside, jvm.org.apache.hadoop.fs.Path(path), options)
+
+
+def _write_aside(spark: SparkSession, path: str, text: str):
+    fs, aside = file_system(spark, f"{path}.{uuid.uuid4().hex}.tmp")
     out = fs.create(aside, True)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
-    how = spark.sparkContext._gateway.new_array(rename, 1)
-    how[0] = rename.OVERWRITE
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    jvm.org.apache.hadoop.fs.FileContext.getFileContext(aside.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(aside, target, how)
+    return fs, aside
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Readers see the old text or the new one."""
+    _, aside = _write_aside(spark, path, text)
+    _rename(spark, aside, path, "OVERWRITE")
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """The same for a file that must not be there yet: of several writers one gets True."""
+    fs, aside = _write_aside(spark, path, text)
+    try:
+        _rename(spark, aside, path, "NONE")
+    except Py4JJavaError as e:
+        fs.delete(aside, False)
+        if "FileAlreadyExistsException" in str(e.java_exception):
+            return False
+        raise
+    return True
 
 
 def read_json(spark: SparkSession, path: str, default: Any) -> Any:
