@@ -10,6 +10,7 @@ Merging is by sorted runs in numpy, one shard of lists at a time; shards are as
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -24,12 +25,14 @@ from quarterlake.llm.lm_scoring import merged
 N = 5
 #: T - L: in so many short lists two documents must meet (all, if a set has fewer shingles).
 SHARED = 3
-#: Share of documents (by hash) whose lists tell which shingles are frequent. That only orders the lists; any order gives the same links.
+#: Share of distinct sets (by hash) whose lists tell which shingles are frequent. That only orders the lists; any order gives the same links.
 RATE = 16
 #: A list is long if it is seen so often in that share; at most LONG lists count as long, the longest.
 SEEN, LONG = 2, 1 << 18
-#: Postings that a shard of lists holds, about, and members of a list that meet in one place.
+#: Postings that a shard of lists holds, about, and members of a list that are sorted in one shard: a longer list is dealt over several.
 SHARD, PART = 1 << 20, 50_000
+#: Sets that more than one row in HOT has are sent to the rows rather than met by a shuffle; there are fewer than HOT of them.
+HOT = 1000
 FLUSH = 1_000_000
 #: Each document gathers with the leaders of so many of its short lists (those of least hash).
 GATHER = 6
@@ -93,23 +96,25 @@ def probed_overlap(x: np.ndarray, y: np.ndarray) -> int:
     return int((y[at] == x).sum())
 
 
-def long_lists(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles (48 bits) with long lists in order, and their estimated lengths, LONG at most."""
+def long_lists(signed: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles (48 bits) with long lists in order, and their estimated lengths, LONG at most. Each distinct set of the sample counts
+    once, as only one document of a set posts."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
 
         def chunks() -> pa.RecordBatch:
             keys, counts = np.unique(np.concatenate(held), return_counts=True)
-            cuts = np.searchsorted(keys, np.arange(1, 64, dtype=np.uint64) << np.uint64(58))
-            rows = [(i, packed(k), c.astype("<u4").tobytes()) for i, (k, c) in enumerate(zip(np.split(keys, cuts), np.split(counts, cuts), strict=True)) if len(k)]
+            cuts = np.searchsorted(keys, np.arange(1, 64, dtype=np.uint64) << np.uint64(42))
+            rows = [(i, packed(k << np.uint64(16)), c.astype("<u4").tobytes()) for i, (k, c) in enumerate(zip(np.split(keys, cuts), np.split(counts, cuts), strict=True)) if len(k)]
             return _batch(rows, (pa.int32(), pa.binary(), pa.binary()), ["shard", "keys", "vals"])
 
-        for _, texts in slices(batches):
-            held += [s for s in shingle_sets(texts) if len(s)]
-            if sum(map(len, held)) > FLUSH:
-                yield chunks()
-                held = []
+        for batch in batches:
+            for raw in batch.column("sample").to_pylist():
+                held.append(unpacked(raw))
+                if sum(map(len, held)) > FLUSH:
+                    yield chunks()
+                    held = []
         if held:
             yield chunks()
 
@@ -118,8 +123,8 @@ def long_lists(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         keep = counts >= SEEN
         return pd.DataFrame({"key": keys[keep].astype(np.int64), "seen": counts[keep]})
 
-    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(RATE)) == 0).select("text")
-    found = sample.mapInArrow(gather, "shard int, keys binary, vals binary").groupBy("shard").applyInPandas(frequent, "key long, seen long")
+    once = signed.where("sample IS NOT NULL").groupBy("sig").agg(F.first("sample").alias("sample")).select("sample")
+    found = once.mapInArrow(gather, "shard int, keys binary, vals binary").groupBy("shard").applyInPandas(frequent, "key long, seen long")
     rows = found.orderBy(F.desc("seen"), "key").limit(LONG).toPandas()
     keys = rows["key"].to_numpy(np.int64).astype(np.uint64)
     order = np.argsort(keys)
@@ -146,14 +151,23 @@ def signature(shingles: np.ndarray) -> bytes | None:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, sig): size of each set, and a 128-bit signature of it."""
+    """(doc_id, n, sig, sample): size of each set, a 128-bit signature of it, and for one set in RATE its shingles (48 bits), once a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told: set[bytes] = set()
         for batch, texts in slices(batches):
             sets = shingle_sets(texts)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(list(map(len, sets)), pa.int64()), pa.array(list(map(signature, sets)), pa.binary())], ["doc_id", "n", "sig"])
+            sigs = list(map(signature, sets))
+            samples: list[bytes | None] = []
+            for s, sig in zip(sets, sigs, strict=True):
+                new = sig is not None and int.from_bytes(sig[:8], "little") % RATE == 0 and sig not in told
+                samples.append(packed(s) if new else None)
+                if new:
+                    told.add(sig)
+            columns = [batch.column("doc_id"), pa.array(list(map(len, sets)), pa.int64()), pa.array(sigs, pa.binary()), pa.array(samples, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "sig", "sample"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, sig binary")
+    return docs.mapInArrow(run, "doc_id long, n long, sig binary, sample binary")
 
 
 def short_lists(shingles: np.ndarray, long: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -187,7 +201,8 @@ def classes(docs: DataFrame, long: np.ndarray, length: np.ndarray) -> DataFrame:
 def met(reps: DataFrame, long: np.ndarray, length: np.ndarray, bits: int) -> DataFrame:
     """What the merged lists tell: the lists of two or more members (list, a = document, n << 1 | small, b = null), where small tells that
     the document may be the smaller of a pair that meets here; and in how many lists (n) a document ``a`` meets the leader ``b``, the smallest
-    member that can reach 3/4 with it."""
+    member that can reach 3/4 with it. A list of more than PART members is dealt over several shards: there a member alone stays, as
+    others are elsewhere, and leaders are those of a shard."""
     split = length > PART
     keys48, parts48 = long[split], -(-length[split] // PART)
 
@@ -204,19 +219,19 @@ def met(reps: DataFrame, long: np.ndarray, length: np.ndarray, bits: int) -> Dat
                 by_hash = np.lexsort((mix64(keys), start))
                 flag = np.zeros(len(keys), bool)
                 flag[by_hash] = np.arange(len(keys)) - start < GATHER
-                shard = keys >> np.uint64(48 - bits)
+                shard, dealt = keys >> np.uint64(48 - bits), np.zeros(len(keys), bool)
                 if len(keys48):
                     at = np.minimum(np.searchsorted(keys48, keys), len(keys48) - 1)
+                    dealt = keys48[at] == keys
                     part = mix64(doc.astype(np.uint64)) % parts48[at].astype(np.uint64)
-                    shard = np.where(keys48[at] == keys, mix64(keys * np.uint64(0x9E3779B97F4A7C15) + part) >> np.uint64(64 - bits), shard)
+                    shard = np.where(dealt, mix64(keys * np.uint64(0x9E3779B97F4A7C15) + part) >> np.uint64(64 - bits), shard)
                 order = np.argsort(shard, kind="stable")
-                cuts = np.searchsorted(shard[order], np.arange(1, 1 << bits, dtype=np.uint64))
                 rows = []
-                for s, i in enumerate(np.split(order, cuts)):
-                    if len(i):
-                        step = np.diff(doc[i], prepend=doc[i[0]])
-                        step = step.astype("<i4") if len(i) == 1 or np.abs(step).max() < 1 << 31 else step.astype("<i8")
-                        rows.append((s, int(doc[i[0]]), step.tobytes(), (keys[i] & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes(), (keys[i] >> np.uint64(32)).astype("<u2").tobytes(), (n[i] << 2 | flag[i] << 1 | small[i]).astype("<u4").tobytes()))
+                for i in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1) if len(order) else []:
+                    step = np.diff(doc[i], prepend=doc[i[0]])
+                    step = step.astype("<i4") if len(i) == 1 or np.abs(step).max() < 1 << 31 else step.astype("<i8")
+                    sizes_ = (n[i] << 3 | dealt[i] << 2 | flag[i] << 1 | small[i]).astype("<u4").tobytes()
+                    rows.append((int(shard[i[0]]), int(doc[i[0]]), step.tobytes(), (keys[i] & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes(), (keys[i] >> np.uint64(32)).astype("<u2").tobytes(), sizes_))
                 if rows:
                     yield _batch(rows, (pa.int32(), pa.int64(), *[pa.binary()] * 4), ["shard", "first", "steps", "low", "high", "sizes"])
 
@@ -230,11 +245,11 @@ def met(reps: DataFrame, long: np.ndarray, length: np.ndarray, bits: int) -> Dat
         order = np.argsort(key, kind="stable")
         k = key[order]
         same = k[1:] == k[:-1]
-        order = order[np.concatenate([same, [False]]) | np.concatenate([[False], same])]
+        order = order[np.concatenate([same, [False]]) | np.concatenate([[False], same]) | (size[order] & 4 > 0)]
         key, doc, size = key[order], doc[order], size[order]
-        own = pd.DataFrame({"list": key, "a": doc, "b": pd.array([pd.NA] * len(key), "Int64"), "n": size >> 2 << 1 | size & 1})
+        own = pd.DataFrame({"list": key, "a": doc, "b": pd.array([pd.NA] * len(key), "Int64"), "n": size >> 3 << 1 | size & 1})
         gathering = size & 2 > 0
-        a, b = leaders(key[gathering], doc[gathering], size[gathering] >> 2)
+        a, b = leaders(key[gathering], doc[gathering], size[gathering] >> 3)
         if not len(a):
             return own
         pairs, times = np.unique(np.stack([a, b], 1), axis=0, return_counts=True)
@@ -424,8 +439,12 @@ def links(pairs: DataFrame, docs: DataFrame, reps: DataFrame, scratch: Scratch)
     homes = hubs.select(F.col("b").alias("doc_id"), F.col("b").alias("home"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("guest"))
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, bytes]] = set()  # rows that repeat an id and its text go once from here
         for batch in batches:
-            yield batch.filter(pa.array(wanted(batch.column("p").to_numpy()), pa.bool_())).select(["doc_id", "text"])
+            batch = batch.filter(pa.array(wanted(batch.column("p").to_numpy()), pa.bool_())).select(["doc_id", "text"])
+            rows = [(i, hashlib.md5((t or "").encode("utf-8", "surrogatepass")).digest()) for i, t in zip(*batch.to_pydict().values(), strict=True)]
+            new = [x not in seen and not seen.add(x) for x in rows]
+            yield batch.filter(pa.array(new, pa.bool_()))
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, hosts = None, []
@@ -436,7 +455,8 @@ def links(pairs: DataFrame, docs: DataFrame, reps: DataFrame, scratch: Scratch)
                 if (home, salt) != place:
                     place, hosts = (home, salt), []
                 if not guest:
-                    hosts.append(s)
+                    if not any(np.array_equal(s, h) for h in hosts):
+                        hosts.append(s)
                 elif any(7 * probed_overlap(s, h) >= 3 * (len(s) + len(h)) for h in hosts if len(s) and len(h)):
                     found.append((doc, home))
             if found:
@@ -504,6 +524,20 @@ def crossing_links(lists: DataFrame, found: DataFrame, docs: DataFrame, reps: Da
     return more.unionByName(found.select(F.col("doc_id").alias("a"), F.col("label").alias("b")))
 
 
+def class_members(signed: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """The sets with more than one row in HOT (sig, rep), and (doc_id, n_shingles, rep, hot) of all rows: rep is the least id with the same
+    set. Rows of hot sets, and rows without shingles, meet nothing by a shuffle."""
+    each = signed.where("n > 0 AND doc_id IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("c"))
+    each = scratch.write(each, "classes")
+    total = each.agg(F.sum("c")).first()[0] or 0
+    hot = scratch.write(each.where(F.col("c") * HOT > total).select("sig", "rep"), "hot")
+    marked = signed.select("doc_id", F.col("n").alias("n_shingles"), "sig").join(F.broadcast(hot), "sig", "left")
+    columns = ["doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep")]
+    near = marked.where("rep IS NOT NULL OR sig IS NULL").select(*columns, F.col("rep").isNotNull().alias("hot"))
+    far = marked.where("rep IS NULL AND sig IS NOT NULL").drop("rep").join(each.select("sig", "rep"), "sig", "left").select(*columns, F.lit(False).alias("hot"))
+    return hot, scratch.write(near.unionByName(far), "members")
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row: the smallest id that a document reaches over links of Jaccard >= 3/4 of
     5-word shingle sets (64-bit hashes).
@@ -521,11 +555,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     scratch = Scratch(docs.sparkSession, "join")
     signed = scratch.write(signatures(docs), "signed")
     volume = signed.agg(F.sum(F.col("n") / 4 + SHARED + 1)).first()[0] or 0
-    bits = min(16, max(4, int(volume / SHARD).bit_length()))
-    sig_reps = signed.where("n > 0 AND doc_id IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("rep"))
-    members = signed.join(sig_reps, "sig", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("rep", "doc_id").alias("rep"))
-    members = materialize(members, "join-members")
-    long, length = long_lists(docs)
+    bits = min(24, max(4, int(volume / SHARD).bit_length()))
+    hot, members = class_members(signed, scratch)
+    long, length = long_lists(signed)
     reps = scratch.write(classes(docs, long, length), "reps")
     merged_lists = scratch.write(met(reps, long, length, bits), "met")
     led = merged_lists.where("b IS NOT NULL").groupBy("a", "b").agg(F.sum("n").alias("n")).groupBy("a").agg(F.max(F.struct("n", "b"))["b"].alias("b"))
@@ -534,11 +566,13 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     more = crossing_links(lists, found, docs, reps, scratch)
     several = members.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("rep").alias("x"), F.max("rep").alias("y")).where("x <> y").select("doc_id")
     same_id = members.join(several, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    labels = components(more.unionByName(same_id), scratch)
-    labels = materialize(labels, "join-labels")
+    labels = components(more.unionByName(same_id), scratch).withColumnRenamed("doc_id", "rep")
+    hot_labels = scratch.write(hot.select("rep").join(labels, "rep"), "hot-labels")
+    each = members.where("hot").join(F.broadcast(hot_labels), "rep", "left").unionByName(members.where("NOT hot").join(labels, "rep", "left"))
+    out = each.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "rep")).alias("component_id"))
+    out = materialize(out, "join")
     scratch.close()
-    out = members.join(labels.withColumnRenamed("doc_id", "rep"), "rep", "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "rep")).alias("component_id"))
+    return out
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -65,15 +65,37 @@ def brute_components(rows):
     return sorted(((i, len(s), None if i is None else find(i)) for i, ss in sets.items() for s in ss), key=str)
 
 
-@pytest.mark.parametrize(("short", "block", "seen", "salt", "shard"), [(32, 2000, 3, 200, 1 << 20), (2, 4, 1, 3, 100), (0, 1, 1, 1, 30)])
-def test_near_duplicates(spark, monkeypatch, short, block, seen, salt, shard):
-    for name, x in {"SHORT": short, "BLOCK": block, "SEEN": seen, "RATE": 1, "SALT": salt, "SHARD": shard}.items():
+@pytest.mark.parametrize(("short", "block", "seen", "salt", "shard", "part", "hot"), [(32, 2000, 3, 200, 1 << 20, 50_000, 1000), (2, 4, 1, 3, 100, 2, 20), (0, 1, 1, 1, 30, 1, 3)])
+def test_near_duplicates(spark, monkeypatch, short, block, seen, salt, shard, part, hot):
+    for name, x in {"SHORT": short, "BLOCK": block, "SEEN": seen, "RATE": 1, "SALT": salt, "SHARD": shard, "PART": part, "HOT": hot}.items():
         monkeypatch.setattr(ngram_join, name, x)
     rows = near_copies()
     got = ngram_join.near_duplicates(table(spark, rows))
     assert sorted((tuple(r) for r in got.select("doc_id", "n_shingles", "component_id").collect()), key=str) == brute_components(rows)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_links_between_much_copied_texts_are_kept(spark, monkeypatch, seed):
+    """Four pairs of near copies, each with a thousand exact copies: four components, also where lists count as long."""
+    monkeypatch.setattr(ngram_join, "PART", 100)
+    r = random.Random(seed)
+    rows = []
+    for pair in range(4):
+        base = [word(r) + str(r.randrange(1000)) for _ in range(41)]
+        other = [*base[:-1], "other"]
+        rows += [(pair * 2 + side + 8 * k, " ".join(text)) for side, text in enumerate((base, other)) for k in range(1000)]
+    got = ngram_join.near_duplicates(table(spark, rows).repartition(7)).groupBy("component_id").count().collect()
+    assert sorted(map(tuple, got)) == [(0, 2000), (2, 2000), (4, 2000), (6, 2000)]
+
+
+def test_rows_of_one_id_repeat(spark):
+    """An id with many rows of two texts is one node; its rows cost no more than themselves."""
+    a, b = ("one two three four five six seven eight nine ten", "x y z u v w")
+    rows = [(3, a)] * 400 + [(3, b)] * 300 + [(4, a + " eleven")] * 200 + [(5, b)] * 2
+    got = ngram_join.near_duplicates(table(spark, rows).repartition(5)).groupBy("doc_id", "component_id").count().collect()
+    assert sorted(map(tuple, got)) == [(3, 3, 700), (4, 3, 200), (5, 3, 2)]
+
+
 def test_all_pairs_are_found_without_gathering(spark, monkeypatch):
     """No star finds a link: the last step alone must find them all."""
     real, steps = ngram_join.links, []
