@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 import io
 import re
 import zipfile
@@ -39,13 +40,6 @@ def zip_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
 
 
-def decode(raw: bytes) -> str:
-    try:
-        return raw.decode("utf-8-sig")
-    except UnicodeDecodeError:
-        return raw.decode("latin-1")
-
-
 def price_column(header: list[str], kind: str) -> str:
     found = [c for c in header if PRICE_COLUMN[kind].match(c.strip())]
     if not found:
@@ -73,15 +67,48 @@ def averages_header(header: list[str]) -> tuple[list[str], list[str]]:
     return [*AVERAGES, *prices, "INTERVALO", "REPORTE"], ["BARRA", "FECHA", "HORA", "MINUTO", prices[1]]
 
 
-def comparativo_member(content: bytes) -> tuple[str, list[str], Iterator[list[str]]]:
-    """(member, header, rows) of the first comparison CSV anywhere in the ZIP; all-empty lines are skipped."""
-    with zipfile.ZipFile(io.BytesIO(content)) as z:
-        member = next((n for n in z.namelist() if MEMBER.search(n)), None)
-        if member is None:
-            raise ValueError("no comparison CSV in the ZIP")
-        lines = decode(z.read(member)).splitlines()
-    header = [c.strip() for c in lines[0].split(";")] if lines else []
-    return member, header, (x.split(";") for x in lines[1:] if x.strip("; \t"))
+def find_member(z: zipfile.ZipFile) -> str:
+    """The first comparison CSV, in whatever folder."""
+    member = next((n for n in z.namelist() if MEMBER.search(n)), None)
+    if member is None:
+        raise ValueError("no comparison CSV in the ZIP")
+    return member
+
+
+class MemberLines:
+    """A member's header, and its lines with something in them as (number, cells), inflated and decoded as they are asked for. ``empty``
+    counts the lines of separators alone that were passed over."""
+
+    def __init__(self, z: zipfile.ZipFile, member: str) -> None:
+        self.z, self.member, self.empty = z, member, 0
+        self.encoding = self._encoding()
+        with self._text() as text:
+            self.header = [c.strip() for c in text.readline().rstrip("\n").split(";")]
+
+    def _encoding(self) -> str:
+        """UTF-8 if the whole member is; one pass without keeping anything."""
+        decoder = codecs.getincrementaldecoder("utf-8-sig")()
+        try:
+            with self.z.open(self.member) as raw:
+                while chunk := raw.read(1 << 20):
+                    decoder.decode(chunk)
+                decoder.decode(b"", True)
+        except UnicodeDecodeError:
+            return "latin-1"
+        return "utf-8-sig"
+
+    def _text(self) -> io.TextIOWrapper:
+        return io.TextIOWrapper(self.z.open(self.member), self.encoding)
+
+    def __iter__(self) -> Iterator[tuple[int, list[str]]]:
+        self.empty = 0
+        with self._text() as text:
+            text.readline()
+            for n, line in enumerate(text, 2):
+                if line.strip("; \t\r\n"):
+                    yield n, line.rstrip("\r\n").split(";")
+                else:
+                    self.empty += 1
 
 
 def comparativo_rows(zips: DataFrame, kind: str) -> DataFrame:
@@ -91,10 +118,12 @@ def comparativo_rows(zips: DataFrame, kind: str) -> DataFrame:
     def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in pdfs:
             for path, content in zip(pdf["path"], pdf["content"], strict=True):
-                _, header, rows = comparativo_member(content)
+                z = zipfile.ZipFile(io.BytesIO(content))
+                lines = MemberLines(z, find_member(z))
+                header = lines.header
                 at = [header.index(c) for c in (*REQUIRED, price_column(header, kind))] + [header.index("USD") if "USD" in header else -1]
                 held: list[list[str | None]] = []
-                for r in rows:
+                for _, r in lines:
                     held.append([path, *((r[i].strip() or None) if 0 <= i < len(r) else None for i in at)])
                     if len(held) == ROWS:
                         yield pd.DataFrame(held, columns=["archivo", *REQUIRED, "valor", "USD"])
@@ -127,7 +156,8 @@ def zip_findings(zips: DataFrame, expected: list[str] | None = None) -> DataFram
             with zipfile.ZipFile(io.BytesIO(content)) as z:
                 if bad := z.testzip():
                     return [finding("critico", "zip_corrupto", bad, file=path)]
-            member, header, _ = comparativo_member(content)
+                member = find_member(z)
+                header = MemberLines(z, member).header
         except zipfile.BadZipFile as e:
             return [finding("critico", "zip_corrupto", str(e), file=path)]
         except ValueError as e:

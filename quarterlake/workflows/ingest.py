@@ -13,7 +13,7 @@ from quarterlake.functions.calendar import calendar
 from quarterlake.functions.domain import Month, format_month
 from quarterlake.operators import drift, quality, versions
 from quarterlake.schema import ORIGIN_DEFINITIVE, ORIGIN_PRELIMINARY
-from quarterlake.sources import bronze, control, silver
+from quarterlake.sources import bronze, control, dayfiles, silver
 from quarterlake.streaming.ingest import month_fingerprint
 
 ORIGIN = {"def": ORIGIN_DEFINITIVE, "pre": ORIGIN_PRELIMINARY}
@@ -38,11 +38,15 @@ def chosen_files(manifest: DataFrame, start: date | None = versions.SOURCE_START
 
 def file_findings(spark: SparkSession, folder: str, entries: list[dict]) -> DataFrame:
     """(nombre, severidad, tipo, detalle) of day files: damage and headers, members, and the shape of their day."""
-    zips = spark.read.format("binaryFile").load([f"{folder}/{e['nombre']}" for e in entries])
+    paths = [f"{folder}/{e['nombre']}" for e in entries]
+    zips = spark.read.format("binaryFile").load(paths)
     name = drift.basename(F.col("archivo")).alias("nombre")
     whole = bronze.zip_findings(zips).select(name, "severidad", "tipo", "detalle")
     members = drift.member_findings(bronze.zip_members(zips)).select(name, "severidad", "tipo", "detalle")
-    return whole.unionByName(members)
+    out = whole.unionByName(members)
+    if dayfiles.reachable(folder):
+        out = out.unionByName(dayfiles.empty_line_findings(dayfiles.member_table(spark, paths)).select(name, "severidad", "tipo", "detalle"))
+    return out
 
 
 def shape_findings(raw: DataFrame, days: DataFrame) -> DataFrame:
@@ -109,7 +113,11 @@ def ingest_month(spark: SparkSession, folder: str, base: str, month: Month, days
 
 
 def _raw(spark: SparkSession, folder: str, entries: list[dict], kind: str) -> DataFrame:
-    return bronze.comparativo_rows(spark.read.format("binaryFile").load([f"{folder}/{e['nombre']}" for e in entries]), kind)
+    """Raw rows of day files, as a stream where Arrow reaches the folder, else from files that Spark loads whole."""
+    paths = [f"{folder}/{e['nombre']}" for e in entries]
+    if dayfiles.reachable(folder):
+        return dayfiles.day_rows(spark, paths, kind).drop("dia", "linea")
+    return bronze.comparativo_rows(spark.read.format("binaryFile").load(paths), kind)
 
 
 def ingest(spark: SparkSession, folder: str, base: str, now: datetime, months: list[Month] | None = None, force: bool = False, keep_files: bool = True, start: date = versions.SOURCE_START) -> tuple[list[dict], list[dict]]:

@@ -96,7 +96,16 @@ def test_zip_findings_and_dialects(spark, tmp_path):
         assert bronze.price_column(["CMG_REAL_PRE v2[USD/MWh]", *header, "CMG_REAL_DEF[USD/MWh] old"], "def") == header[-1]
     with pytest.raises(ValueError):
         bronze.price_column(["A"], "def")
-    assert bronze.decode("ñ".encode("latin-1")) == "ñ" and io.BytesIO
+
+
+@pytest.mark.parametrize("encoding", ["utf-8", "utf-8-sig", "latin-1"])
+def test_members_are_streamed_by_their_encoding(encoding):
+    raw = io.BytesIO()
+    with zipfile.ZipFile(raw, "w") as z:
+        z.writestr("x/CmgBarrasComparativo_20250907_20250907_15.csv", "BARRA;FECHA\r\nCAÑETE;1\r\n;;\r\n \n;2".encode(encoding))
+    with zipfile.ZipFile(raw) as z:
+        lines = bronze.MemberLines(z, bronze.find_member(z))
+        assert lines.header == ["BARRA", "FECHA"] and list(lines) == [(2, ["CAÑETE", "1"]), (5, ["", "2"])] and lines.empty == 2
 
 
 def test_pages_and_sitemaps(spark):
