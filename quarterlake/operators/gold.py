@@ -54,10 +54,13 @@ def compare_buses(series: DataFrame, buses: Sequence[str], first: Month | None =
 
 
 def _pair(series: DataFrame, reference: str, compared: str) -> DataFrame:
-    """Only quarters that both buses have: an outer join's half-empty rows would read as no risk."""
-    ref = series.where(F.col("barra") == reference).withColumnRenamed(PRICE, "cmg_referencia").drop("barra")
-    comp = series.where(F.col("barra") == compared).select(*ORDER, F.col(PRICE).alias("cmg_comparada"))
-    return ref.join(comp, list(ORDER), "inner")
+    """Only quarters that both buses have: half-empty rows would read as no risk. One scan of both buses; a quarter occurs once a bus."""
+    is_ref, is_comp = F.col("barra") == reference, F.col("barra") == compared
+    others = [c for c in series.columns if c not in (*ORDER, "barra", PRICE)]
+    of_ref = [F.max(F.when(is_ref, F.col(c))).alias(c) for c in others]
+    prices = [F.max(F.when(x, F.col(PRICE))).alias(c) for x, c in ((is_ref, "cmg_referencia"), (is_comp, "cmg_comparada"))]
+    held = series.where(F.col("barra").isin(reference, compared)).groupBy(*ORDER).agg(*of_ref, *prices, F.bool_or(is_ref).alias("a"), F.bool_or(is_comp).alias("b"))
+    return held.where("a AND b").drop("a", "b")
 
 
 def risk_series(series: DataFrame, reference: str, compared: str, first: Month | None = None, last: Month | None = None) -> DataFrame:

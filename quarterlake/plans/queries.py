@@ -6,6 +6,7 @@ from collections.abc import Callable
 from datetime import date, datetime, timedelta
 from zoneinfo import ZoneInfo
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,8 +14,9 @@ from quarterlake.functions import calendar, domain, names, search
 from quarterlake.operators import gold, publish, quality, versions
 from quarterlake.plans.adapters import BLOCK_SQL, EVENTS_SQL, ITEMS_SQL, MANIFEST_SQL, events_series, items_series, orders_manifest, table
 from quarterlake.schema import domain_violations
-from quarterlake.sources import bronze, silver
+from quarterlake.sources import bronze, dayfiles, silver, snapshots
 from quarterlake.streaming import ingest
+from quarterlake.streaming import versions as day_versions
 from quarterlake.workflows import publishing, reports, watch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -175,27 +177,37 @@ def periodo_filtro(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Calendar ----------------------------------------------------------------------------------------------------------------------
 
-_DAYS_SQL = "dias AS (SELECT d::DATE AS fecha FROM generate_series(DATE '2021-01-01', DATE '2030-12-31', INTERVAL 1 DAY) t(d))"
+_DAYS_SQL = """dias AS (SELECT unnest(generate_series(a, z, INTERVAL 1 DAY))::DATE AS fecha
+  FROM (SELECT min(l_shipdate::DATE)::TIMESTAMP AS a, max(l_shipdate::DATE)::TIMESTAMP AS z FROM lineitem))"""
 _HOURS_SQL = "((epoch(timezone('America/Santiago', (fecha + 1)::TIMESTAMP)) - epoch(timezone('America/Santiago', fecha::TIMESTAMP))) / 3600)::INT"
 
 
 @query(f"WITH {_DAYS_SQL}, h AS (SELECT fecha, {_HOURS_SQL} AS horas FROM dias) SELECT fecha::VARCHAR AS fecha, horas, horas * 4 AS cuartos_esperados, horas = 25 AS es_dia_largo, horas = 23 AS es_dia_corto FROM h")
 def calendario_horas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return calendar.calendar(spark, date(2021, 1, 1), date(2030, 12, 31))
+    """The calendar of the span that the table has."""
+    return calendar.calendar(spark, *_span(spark, sf_dir))
+
+
+def _span(spark: SparkSession, sf_dir: str) -> tuple[date, date]:
+    day = F.to_date("l_shipdate")
+    return tuple(table(spark, sf_dir, "lineitem").agg(F.min(day), F.max(day)).first())
 
 
 @query(f"""WITH {_DAYS_SQL}, e AS (SELECT fecha, h::INT AS hora, timezone('America/Santiago', timezone('America/Santiago', fecha::TIMESTAMP + to_hours(h))) AS back FROM dias, range(0, 24) t(h))
 SELECT fecha::VARCHAR AS fecha, hora FROM e WHERE hour(back) <> hora""")
 def horas_inexistentes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return calendar.days(spark, date(2021, 1, 1), date(2030, 12, 31)).select("fecha", F.explode(calendar.missing_hours(F.col("fecha"))).alias("hora"))
-
-
-_LONG_DAYS_SQL = "horas_dia AS (SELECT d::DATE AS fecha FROM generate_series(DATE '2025-01-01', DATE '2025-12-31', INTERVAL 1 DAY) t(d))"
+    return calendar.days(spark, *_span(spark, sf_dir)).select("fecha", F.explode(calendar.missing_hours(F.col("fecha"))).alias("hora"))
 
 
-@query(f"WITH {_LONG_DAYS_SQL}, h AS (SELECT fecha, {_HOURS_SQL} AS horas FROM horas_dia) SELECT fecha::VARCHAR AS fecha, horas::BIGINT AS n FROM h")
+@query(f"""WITH {ITEMS_SQL}, {_DAYS_SQL}, h AS (SELECT fecha, {_HOURS_SQL} AS horas FROM dias),
+e AS (SELECT fecha, n::INT AS hora FROM h, range(0, 25) t(n)
+  WHERE n = 24 AND horas = 25 OR n < 24 AND hour(timezone('America/Santiago', timezone('America/Santiago', fecha::TIMESTAMP + to_hours(n)))) = n)
+SELECT e.fecha::VARCHAR AS fecha, e.hora, count(li.barra) AS cuartos FROM e LEFT JOIN li ON li.fecha = e.fecha AND li.hora = e.hora GROUP BY 1, 2""")
 def horas_esperadas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return calendar.days(spark, date(2025, 1, 1), date(2025, 12, 31)).select("fecha", F.size(calendar.expected_hours(F.col("fecha"))).cast("long").alias("n"))
+    """Each hour that the clock shows in the table's span, and the quarters of the series in it."""
+    hours = calendar.days(spark, *_span(spark, sf_dir)).select("fecha", F.explode(calendar.expected_hours(F.col("fecha"))).alias("hora")).withColumn("hora", F.col("hora").cast("int"))
+    held = items_series(spark, sf_dir).groupBy("fecha", "hora").agg(F.count(F.lit(1)).alias("c"))
+    return hours.join(held, ["fecha", "hora"], "left").select("fecha", "hora", F.coalesce("c", F.lit(0)).cast("long").alias("cuartos"))
 
 
 @query(f"""WITH t AS (SELECT DISTINCT fecha, (o_orderkey % 26)::INT AS hora, (o_custkey % 4 * 15)::INT AS minuto FROM (SELECT o_orderdate::DATE AS fecha, o_orderkey, o_custkey FROM orders))
@@ -311,12 +323,13 @@ def rangos_dias(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versions.day_islands(_final_days(spark, sf_dir))
 
 
-@query("""WITH m AS (SELECT DISTINCT year(o_orderdate) * 12 + month(o_orderdate) - 1 AS i FROM orders WHERE o_custkey % 97 = 1), g AS (SELECT i, i - row_number() OVER (ORDER BY i) AS k FROM m),
-r AS (SELECT min(i) AS a, max(i) AS b, count(*) AS meses FROM g GROUP BY k)
+@query("""WITH m AS (SELECT year(o_orderdate) * 12 + month(o_orderdate) - 1 AS i FROM orders GROUP BY 1 HAVING count(*) % 2 = 1),
+g AS (SELECT i, i - row_number() OVER (ORDER BY i) AS k FROM m), r AS (SELECT min(i) AS a, max(i) AS b, count(*) AS meses FROM g GROUP BY k)
 SELECT printf('%04d-%02d', (a // 12)::INT, (a % 12 + 1)::INT) AS desde, printf('%04d-%02d', (b // 12)::INT, (b % 12 + 1)::INT) AS hasta, meses FROM r""")
 def rangos_meses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders").where("o_custkey % 97 = 1")
-    return versions.month_islands(o.select(F.year("o_orderdate").alias("anio"), F.month("o_orderdate").alias("mes")))
+    """Runs of months with an odd number of orders."""
+    months = table(spark, sf_dir, "orders").groupBy(F.year("o_orderdate").alias("anio"), F.month("o_orderdate").alias("mes")).agg(F.count(F.lit(1)).alias("n"))
+    return versions.month_islands(months.where("n % 2 = 1").select("anio", "mes"))
 
 
 _SPAN = (date(1996, 1, 1), date(1996, 12, 31))
@@ -427,13 +440,13 @@ def mes_bloque(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish.monthly_tables(items_series(spark, sf_dir).drop("mes"))[1]
 
 
-@query("""WITH reg AS (SELECT o_orderkey AS k, o_orderstatus AS tipo FROM orders WHERE o_custkey % 2 = 0), fnd AS (SELECT o_orderkey AS k, o_orderpriority AS tipo FROM orders WHERE o_custkey % 3 = 0)
+@query("""WITH reg AS (SELECT o_orderkey AS k, o_orderstatus AS tipo FROM orders WHERE o_orderstatus <> 'F'), fnd AS (SELECT o_orderkey AS k, o_orderpriority AS tipo FROM orders WHERE o_orderpriority <> '1-URGENT')
 SELECT 'u' || coalesce(reg.k, fnd.k) AS url, coalesce(fnd.tipo, reg.tipo) AS tipo, CASE WHEN reg.k IS NULL THEN '2026-02-01' ELSE '2026-01-01' END AS primera, CASE WHEN fnd.k IS NULL THEN '2026-01-01' ELSE '2026-02-01' END AS ultima,
 (CASE WHEN reg.k IS NULL THEN 0 ELSE 2 END + CASE WHEN fnd.k IS NULL THEN 0 ELSE 1 END)::BIGINT AS veces FROM reg FULL JOIN fnd ON reg.k = fnd.k""")
 def nombres_no_reconocidos(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").withColumn("url", F.concat(F.lit("u"), F.col("o_orderkey").cast("string")))
-    reg = o.where("o_custkey % 2 = 0").select("url", F.col("o_orderstatus").alias("tipo"), F.lit("2026-01-01").alias("primera"), F.lit("2026-01-01").alias("ultima"), F.lit(2).alias("veces"))
-    return publish.seen_names(reg, o.where("o_custkey % 3 = 0").select("url", F.col("o_orderpriority").alias("tipo"), F.lit("2026-02-01").alias("visto")))
+    reg = o.where("o_orderstatus <> 'F'").select("url", F.col("o_orderstatus").alias("tipo"), F.lit("2026-01-01").alias("primera"), F.lit("2026-01-01").alias("ultima"), F.lit(2).alias("veces"))
+    return publish.seen_names(reg, o.where("o_orderpriority <> '1-URGENT'").select("url", F.col("o_orderpriority").alias("tipo"), F.lit("2026-02-01").alias("visto")))
 
 
 @query(f"WITH {MANIFEST_SQL}, h AS (SELECT strftime(fecha_operacion, '%Y-%m') AS mes, 'reglas:2024-08-01,' || array_to_string(list_sort(list(sha256)), ',') AS huella FROM man GROUP BY 1) SELECT mes, huella FROM h WHERE mes >= '1998-01'")
@@ -487,9 +500,11 @@ def fecha_del_nombre(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.withColumn("fecha", names.date_of_digits(F.col("digitos")))
 
 
-@query("SELECT page_id, unnest(list_distinct(regexp_extract_all(html, '<a\\s[^>]*href=\"([^\"]*)\"', 1))) AS href FROM pages")
+@query(r"""SELECT DISTINCT page_id, CASE WHEN x[1] IN ('"', chr(39)) THEN x[2:-2] ELSE x END AS href
+FROM (SELECT page_id, unnest(regexp_extract_all(html, '<[aA]\s(?:[^>]*\s)?[hH][rR][eE][fF]\s*=\s*("[^"]*"|\x27[^\x27]*\x27|[^\s"\x27>]+)', 1)) AS x FROM pages)""")
 def enlaces_html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", F.explode(bronze.hrefs(F.col("html"))).alias("href"))
+    """Link targets as a parser reads them, quoted or not."""
+    return bronze.links(table(spark, sf_dir, "pages"), "page_id").select("page_id", "href")
 
 
 @query("SELECT DISTINCT p_name AS nombre, trim(regexp_replace(translate(upper(p_name || ' Ñandú_é'), 'ÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÑÇÝ', 'AAAAAAEEEEIIIIOOOOOUUUUNCY'), '[^0-9A-Z]+', ' ', 'g')) AS normalizado FROM part")
@@ -562,9 +577,9 @@ def serie_almacenada(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {ITEMS_SQL} SELECT barra, fecha::VARCHAR AS fecha, hora, minuto, bloque, round(cmg_usd_mwh::FLOAT::DOUBLE, 4) AS cmg_usd_mwh, es_hora_extra, strftime(fecha_hora, '%Y-%m-%d %H:%M:%S') AS fecha_hora,
-'maestro_cmg_db' AS origen FROM li WHERE barra = 'A.F' AND anio = 1994""")
+'maestro_cmg_db' AS origen FROM li""")
 def historia_normalizada(spark: SparkSession, sf_dir: str) -> DataFrame:
-    old = items_series(spark, sf_dir).where("barra = 'A.F' AND anio = 1994").withColumn("cmg_usd_mwh", F.col("cmg_usd_mwh").cast("float"))
+    old = items_series(spark, sf_dir).withColumn("cmg_usd_mwh", F.col("cmg_usd_mwh").cast("float"))
     return silver.from_history(old).drop("ingerido_en").withColumn("cmg_usd_mwh", F.round("cmg_usd_mwh", 4))
 
 
@@ -585,10 +600,14 @@ def meses_del_rango(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "periodo string, desde date, hasta date")
 
 
-@query("""WITH m AS (SELECT unnest(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '1997-04-01', INTERVAL 1 MONTH))::DATE AS d)
-SELECT greatest(d, DATE '1995-01-17')::VARCHAR AS desde, least((d + INTERVAL 1 MONTH)::DATE - 1, DATE '1997-04-09')::VARCHAR AS hasta FROM m""")
+@query("""WITH o AS (SELECT o_orderdate::DATE AS f FROM orders), b AS (SELECT min(f) AS a, max(f) AS z FROM o)
+SELECT max(greatest(date_trunc('month', f)::DATE, a))::VARCHAR AS desde, min(least(last_day(f), z))::VARCHAR AS hasta, count(*) AS filas FROM o, b GROUP BY date_trunc('month', f)""")
 def tramos_por_mes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.createDataFrame(domain.month_tranches(date(1995, 1, 17), date(1997, 4, 9)), "desde date, hasta date")
+    """The orders' span cut by month, with the orders of each piece."""
+    held = table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("f"))
+    pieces = spark.createDataFrame(domain.month_tranches(*held.agg(F.min("f"), F.max("f")).first()), "desde date, hasta date")
+    counts = held.groupBy(F.trunc("f", "month").alias("m")).agg(F.count(F.lit(1)).alias("filas"))
+    return pieces.join(counts, F.trunc("desde", "month") == F.col("m")).select("desde", "hasta", "filas")
 
 
 @query(f"WITH {DATED_SQL} SELECT barra, fecha::VARCHAR AS fecha, hora, minuto, bloque, round(cmg_usd_mwh, 6) AS cmg_usd_mwh, origen FROM s WHERE anio = 1997")
@@ -761,20 +780,92 @@ def publicado(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publishing.monthly_view(*(publishing.read(spark, serving, t) for t in ("mes_barra", "barra", "carga_mes")))
 
 
-CAUSES_SQL = """have AS (SELECT DISTINCT fecha FROM li WHERE day(fecha) % 7 <> 0), e AS (SELECT unnest(generate_series(TIMESTAMP '1994-01-01', TIMESTAMP '1998-12-31', INTERVAL 1 DAY))::DATE AS f),
-c AS (SELECT f, CASE WHEN f < DATE '1996-01-01' THEN 'maestro' WHEN f IN (SELECT o_orderdate::DATE FROM orders WHERE o_custkey % 10 = 1) THEN 'sin_ingerir' ELSE 'sin_descargar' END AS causa FROM e WHERE f NOT IN (SELECT fecha FROM have)),
+@query(f"""WITH {EVENTS_SQL}, b AS (SELECT *, CASE WHEN day(fecha) % 5 = 0 THEN cmg_usd_mwh * 2 ELSE cmg_usd_mwh END AS doble FROM ev)
+SELECT v::INT AS carga, barra, fecha::VARCHAR AS fecha, count(*) AS cuartos, {R6("avg(CASE v WHEN 1 THEN cmg_usd_mwh ELSE doble END)")} AS promedio,
+CASE WHEN v = 2 AND day(fecha) % 5 = 0 THEN (SELECT count(*) FROM ev e WHERE e.fecha = b.fecha) END AS cuartos_revisados FROM b, range(1, 3) AS r(v) GROUP BY v, barra, b.fecha""")
+def publicado_instantaneas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of the events' month: the second doubles every fifth day. Each is read at its own snapshot."""
+    base, serving = silver.scratch_base(spark), silver.scratch_base(spark)
+    series = events_series(spark, sf_dir).withColumn("origen", F.lit("pagina_cen_def")).withColumn("ingerido_en", F.localtimestamp())
+    twice = F.when(F.dayofmonth("fecha") % 5 == 0, 2).otherwise(1)
+    reads = []
+    for load in (1, 2):
+        silver.write_months(series if load == 1 else series.withColumn("cmg_usd_mwh", F.col("cmg_usd_mwh") * twice), base)
+        publishing.publish_changed(spark, base, serving, datetime(2026, 1, load))
+    for load in (1, 2):
+        at = snapshots.as_of(spark, serving, datetime(2026, 1, load))
+        held = publishing.read(spark, serving, "cuarto", at).join(F.broadcast(publishing.read(spark, serving, "barra", at)), "barra_id")
+        by_day = held.groupBy(F.lit(load).alias("carga"), F.col("nombre").alias("barra"), "fecha").agg(F.count(F.lit(1)).alias("cuartos"), F.avg("cmg_usd_mwh").alias("promedio"))
+        revised = publishing.read(spark, serving, "revision", at).select("fecha", F.col("cuartos_distintos").alias("cuartos_revisados"))
+        reads.append(by_day.join(F.broadcast(revised), "fecha", "left"))
+    return reads[0].unionByName(reads[1]).select("carga", "barra", "fecha", "cuartos", "promedio", "cuartos_revisados")
+
+
+@query(f"""WITH {EVENTS_SQL} SELECT barra, fecha::VARCHAR AS fecha, hora, minuto, bloque, round(cmg_usd_mwh, 6) AS cmg_usd_mwh, day(fecha)::DOUBLE AS usd_clp, 'pagina_cen_def' AS origen,
+(row_number() OVER (PARTITION BY fecha ORDER BY barra, hora, minuto) * 2)::BIGINT AS linea FROM ev WHERE fecha BETWEEN DATE '2024-01-05' AND DATE '2024-01-25'""")
+def series_de_archivos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as day files, which tasks write to the shared folder, and a range of days read back by the data source. Every other line of a
+    file is one of separators alone."""
+    folder = silver.scratch_base(spark)
+    series = events_series(spark, sf_dir).select("barra", "fecha", "hora", "minuto", F.col("cmg_usd_mwh").alias("p"))
+    series.groupBy("fecha").applyInPandas(_day_file(folder), "archivo string").collect()  # names, one a day
+    first, last = date(2024, 1, 5), date(2024, 1, 25)
+    raw = dayfiles.day_rows(spark, folder, "def", first, last)
+    read = bronze.to_series(raw, "def").select("barra", "fecha", "hora", "minuto", "bloque", "cmg_usd_mwh", "usd_clp", "origen")
+    lines = raw.select(F.col("BARRA").alias("barra"), F.col("dia").alias("fecha"), F.col("HORA").cast("short").alias("hora"), F.col("MINUTO").cast("short").alias("minuto"), (F.col("linea") - 1).alias("linea"))
+    return read.join(lines, ["barra", "fecha", "hora", "minuto"]).withColumn("hora", F.col("hora").cast("int")).withColumn("minuto", F.col("minuto").cast("int"))
+
+
+def _day_file(folder: str) -> Callable:
+    def write(pdf):
+        day = pdf["fecha"].iloc[0].strftime("%Y%m%d")
+        rows = pdf.sort_values(["barra", "hora", "minuto"], kind="stable")
+        text = "FECHA;HORA;MINUTO;BARRA;CMG_REAL_DEF[USD/MWh];USD\n" + "".join(f";;;;;\n{day};{h};{m};{b};{p!r};{int(day[6:])}\n" for b, h, m, p in zip(rows["barra"], rows["hora"], rows["minuto"], rows["p"].astype(float), strict=True))
+        where, path = dayfiles.opened(f"{folder}/Antecedentes_CMG_Real_def_{day[2:]}.zip")
+        where.create_dir(path.rpartition("/")[0], recursive=True)
+        with where.open_output_stream(path) as out:
+            out.write(dayfiles.zipped(f"CmgBarrasComparativo_{day}_{day}_15.csv", text))
+        return pd.DataFrame({"archivo": [path]})
+
+    return write
+
+
+@query(f"""WITH {MANIFEST_SQL}, lim AS (SELECT min(fecha_operacion) AS a, max(fecha_operacion) AS z FROM man),
+dias AS (SELECT unnest(generate_series(a::TIMESTAMP, z::TIMESTAMP, INTERVAL 1 DAY))::DATE AS f FROM lim),
+k AS (SELECT *, row_number() OVER (PARTITION BY fecha_operacion ORDER BY CASE tipo WHEN 'def' THEN 2 WHEN 'pre' THEN 1 ELSE 0 END DESC, version DESC, reemision DESC, fecha_publicacion DESC, nombre DESC) AS r FROM man),
+d AS (SELECT f, bool_or(tipo NOT IN ('def', 'pre')) AS dudoso, count(nombre) AS n, coalesce(bool_or(tipo = 'def'), false) AS final FROM dias LEFT JOIN man ON fecha_operacion = f GROUP BY 1)
+SELECT f::VARCHAR AS fecha_operacion, CASE WHEN NOT dudoso THEN nombre END AS nombre, coalesce(dudoso, false) AS dudoso,
+CASE WHEN n = 0 AND z - f > 3 THEN 'sin_archivo' WHEN n > 0 AND NOT final AND z - f > 25 THEN 'pre_sin_definitivo' END AS alarma FROM d, lim LEFT JOIN k ON fecha_operacion = f AND r = 1""")
+def versiones_en_flujo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All published files in an order of arrival that their days and versions do not have, as a stream in three parts on one checkpoint."""
+    root, source = silver.scratch_base(spark), silver.scratch_base(spark)
+    man = orders_manifest(spark, sf_dir)
+    first, last = man.agg(F.min("fecha_operacion"), F.max("fecha_operacion")).first()
+    part = F.pmod(F.xxhash64("nombre"), F.lit(3))
+    columns = [x.split(" ")[0] for x in day_versions.EVENTS.split(", ")]
+    day_versions.ticks(spark, first, last, datetime(first.year, first.month, first.day)).write.mode("append").parquet(source)
+    for i in range(3):
+        seen = datetime(last.year, last.month, last.day) - timedelta(days=2 - i)
+        man.where(part == i).withColumn("visto", F.lit(seen).cast("timestamp")).select(*columns).write.mode("append").parquet(source)
+        day_versions.track(spark.readStream.schema(day_versions.EVENTS).parquet(source), root, f"{root}/_control")
+    return day_versions.known_days(spark, root).select("fecha_operacion", "nombre", "dudoso", "alarma")
+
+
+CAUSES_SQL = """have AS (SELECT fecha FROM li GROUP BY 1 HAVING count(*) % 7 <> 0), e AS (SELECT unnest(generate_series(TIMESTAMP '1994-01-01', TIMESTAMP '1998-12-31', INTERVAL 1 DAY))::DATE AS f),
+c AS (SELECT f, CASE WHEN f < DATE '1996-01-01' THEN 'maestro' WHEN f IN (SELECT o_orderdate::DATE FROM orders GROUP BY 1 HAVING count(*) % 2 = 1) THEN 'sin_ingerir' ELSE 'sin_descargar' END AS causa FROM e WHERE f NOT IN (SELECT fecha FROM have)),
 g AS (SELECT *, f - (row_number() OVER (PARTITION BY causa ORDER BY f))::INT AS k FROM c), runs AS (SELECT causa, min(f) AS desde, max(f) AS hasta, count(*) AS dias FROM g GROUP BY causa, k)"""
 
 
 def _gaps(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    present = items_series(spark, sf_dir).where(F.dayofmonth("fecha") % 7 != 0)
-    manifest = table(spark, sf_dir, "orders").where(F.col("o_custkey") % 10 == 1).select(F.to_date("o_orderdate").alias("fecha_operacion"))
-    return present, manifest
+    """Days of the series whose quarters are no multiple of seven, and files of the days with an odd number of orders."""
+    present = items_series(spark, sf_dir).groupBy("fecha").agg(F.count(F.lit(1)).alias("n")).where("n % 7 <> 0")
+    manifest = table(spark, sf_dir, "orders").groupBy(F.to_date("o_orderdate").alias("fecha_operacion")).agg(F.count(F.lit(1)).alias("n")).where("n % 2 = 1")
+    return present.select("fecha"), manifest.select("fecha_operacion")
 
 
 @query(f"WITH {ITEMS_SQL}, {CAUSES_SQL} SELECT causa, desde::VARCHAR AS desde, hasta::VARCHAR AS hasta, dias FROM runs")
 def tramos_faltantes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Runs of missing days by cause; the gaps are those of days 7, 14, 21 and 28 and of the data."""
+    """Runs of missing days by cause."""
     return watch.missing_by_cause(*_gaps(spark, sf_dir), date(1994, 1, 1), date(1998, 12, 31), date(1996, 1, 1))
 
 
@@ -784,7 +875,7 @@ def hallazgos_cobertura(spark: SparkSession, sf_dir: str) -> DataFrame:
     return watch.coverage_findings(watch.missing_by_cause(*_gaps(spark, sf_dir), date(1994, 1, 1), date(1998, 12, 31), date(1996, 1, 1)))
 
 
-@query(f"""WITH {ITEMS_SQL}, have AS (SELECT DISTINCT fecha FROM li WHERE day(fecha) % 7 <> 0), e AS (SELECT unnest(generate_series(TIMESTAMP '1991-06-01', TIMESTAMP '1998-12-31', INTERVAL 1 DAY))::DATE AS f)
+@query(f"""WITH {ITEMS_SQL}, have AS (SELECT fecha FROM li GROUP BY 1 HAVING count(*) % 7 <> 0), e AS (SELECT unnest(generate_series(TIMESTAMP '1991-06-01', TIMESTAMP '1998-12-31', INTERVAL 1 DAY))::DATE AS f)
 SELECT * FROM (SELECT strftime(f, '%Y-%m') AS periodo, CASE WHEN count(fecha) = 0 THEN 'vacio' WHEN count(fecha) < count(*) THEN 'incompleto' END AS estado, count(fecha) AS con_datos, count(*) AS esperados
 FROM e LEFT JOIN have ON f = fecha GROUP BY 1) WHERE estado IS NOT NULL""")
 def meses_con_huecos(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -823,13 +914,13 @@ def miles(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {DATED_SQL}, v AS (SELECT fecha, min(origen) AS o, max(usd_clp) AS t FROM s GROUP BY 1), a AS (SELECT * FROM s WHERE barra = 'R.F'), b AS (SELECT * FROM s WHERE barra = 'A.F')
 SELECT a.fecha::VARCHAR AS fecha, a.hora, a.minuto, a.cmg_usd_mwh AS cmg_referencia, b.cmg_usd_mwh AS cmg_comparada, round(b.cmg_usd_mwh - a.cmg_usd_mwh, 6) AS riesgo_usd_mwh,
 CASE o WHEN 'pagina_cen_def' THEN 'Definitivo' WHEN 'pagina_cen_pre' THEN 'Preliminar' ELSE 'Maestro (historico)' END AS version, t AS usd_clp
-FROM a JOIN b USING (fecha, hora, minuto) JOIN v USING (fecha) WHERE a.fecha BETWEEN DATE '1993-11-20' AND DATE '1994-02-03'""")
+FROM a JOIN b USING (fecha, hora, minuto) JOIN v USING (fecha) WHERE a.fecha BETWEEN DATE '1995-11-20' AND DATE '1996-02-03'""")
 def riesgo_por_dias(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Risk by quarter over a range of days that crosses a year, with each day's version and rate."""
     s = dated_series(spark, sf_dir)
     documents = spark.createDataFrame([], "fecha_operacion date, tipo string, version int, reemision int")
     by_day = publish.versions_by_day(publish.day_inventory(s), documents)
-    out = reports.range_risk_series(s, "R.F", "A.F", date(1993, 11, 20), date(1994, 2, 3), by_day)
+    out = reports.range_risk_series(s, "R.F", "A.F", date(1995, 11, 20), date(1996, 2, 3), by_day)
     return out.select("fecha", "hora", "minuto", "cmg_referencia", "cmg_comparada", "riesgo_usd_mwh", "version", "usd_clp")
 
 

@@ -266,11 +266,6 @@ def documents_of_pages(pages: DataFrame, base_url: str = "") -> DataFrame:
     return held.select(F.col("dia").alias("fecha_operacion"), F.when(F.col("titulo") != "", F.col("titulo")).otherwise(F.substring("texto", 1, 120)).alias("etiqueta"), kind["tipo"].alias("tipo"), kind["version"].alias("version"), kind["reemision"].alias("reemision"), published.alias("fecha_publicacion"), F.when(F.col("href").startswith("http"), F.col("href")).otherwise(F.concat(F.lit(base_url), F.col("href"))).alias("url"), name.alias("nombre"))
 
 
-def hrefs(html: Column) -> Column:
-    """Distinct link targets of a page, in order, without a parser."""
-    return F.array_distinct(F.regexp_extract_all(html, F.lit(r'<a\s[^>]*href="([^"]*)"'), F.lit(1)))
-
-
 def sitemap_entries(pages: DataFrame, xml: str = "xml") -> DataFrame:
     """(loc, lastmod) of site maps, CDATA or not; entries with unreadable dates are left out."""
     block = F.explode(F.regexp_extract_all(F.col(xml), F.lit(r"(?s)<(?:url|sitemap)>(.*?)</(?:url|sitemap)>"), F.lit(1)))

@@ -7,6 +7,7 @@ some of the columns only makes those. Files are opened by Arrow's file systems,
 
 from __future__ import annotations
 
+import io
 import json
 import re
 import zipfile
@@ -38,6 +39,14 @@ def opened(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path if "://" in path else re.sub(r"^file:/*", "/", path))
 
 
+def zipped(member: str, text: str) -> bytes:
+    """A day file with one member."""
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr(member, text)
+    return out.getvalue()
+
+
 def reachable(path: str) -> bool:
     """Whether Arrow can open the address; else files come through ``binaryFile``."""
     try:
