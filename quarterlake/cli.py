@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 import argparse
-from datetime import datetime
+from datetime import date, datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from quarterlake.functions import search
 from quarterlake.functions.calendar import calendar
 from quarterlake.functions.domain import format_month, parse_period
-from quarterlake.operators import gold, quality
-from quarterlake.sources import silver
-from quarterlake.workflows import ingest, publishing, reports
+from quarterlake.operators import gold, quality, versions
+from quarterlake.sources import control, silver
+from quarterlake.workflows import ingest, publishing, reports, sync, watch
 
 OK, FAILED, USAGE, LOOK = 0, 1, 2, 3
 WORKFLOWS = (("ingerir-pagina", ("carpeta",)), ("publicar", ("servicio",)), ("migrar-historico", ("historia",)), ("exportar-cmg", ("barra", "carpeta")), ("exportar-riesgo", ("referencia", "comparada", "carpeta")))
@@ -21,7 +21,7 @@ WORKFLOWS = (("ingerir-pagina", ("carpeta",)), ("publicar", ("servicio",)), ("mi
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     p = argparse.ArgumentParser(prog="quarterlake")
     sub = p.add_subparsers(dest="command", required=True)
-    for name, extra in (("estado", ()), ("barras", ("texto",)), ("buscar", ("texto",)), ("bloques", ("barra",)), ("riesgo", ("referencia", "comparada")), ("revisar", ()), *WORKFLOWS):
+    for name, extra in (("estado", ()), ("barras", ("texto",)), ("buscar", ("texto",)), ("bloques", ("barra",)), ("riesgo", ("referencia", "comparada")), ("revisar", ()), ("vigilar", ("paginas", "registro")), *WORKFLOWS):
         c = sub.add_parser(name)
         c.add_argument("base")
         for e in extra:
@@ -46,6 +46,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if a.command == "estado":
         print(f"{format_month(first)} .. {format_month(last)}")
         gold.base_summary(series).show()
+        print("\n".join(_coverage(spark, a.bronze, series)))
+    elif a.command == "vigilar":
+        found = sync.watch_source(spark, a.paginas, a.registro, a.bronze or a.registro, series, *_span(series))
+        print("\n".join([*found["lines"], f"documentos: {found['documents']}, por descargar: {len(found['new'])}", *found["new"][:40]]))
+        return LOOK if found["findings"] or found["new"] else OK
     elif a.command == "barras":
         gold.find_buses(series, a.texto).show(40, False)
     elif a.command == "buscar":
@@ -75,6 +80,17 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     return OK
 
 
+def _span(series: DataFrame) -> tuple[date, date]:
+    return tuple(series.selectExpr("min(fecha)", "max(fecha)").first())
+
+
+def _coverage(spark: SparkSession, folder: str | None, series: DataFrame) -> list[str]:
+    """Expected days against those of the series, and the missing ones by cause."""
+    first, last = _span(series)
+    manifest = control.read_manifest(spark, folder) if folder else spark.createDataFrame([], control.MANIFEST)
+    return watch.status_lines(versions.coverage(series, manifest, first, last), watch.missing_by_cause(series, manifest, first, last), first, last)
+
+
 def _write(spark: SparkSession, a: argparse.Namespace) -> int:
     """Commands that change the series or the serving tables; days left out ask to be looked at."""
     now = datetime.now()

@@ -8,6 +8,7 @@ import re
 import zipfile
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,24 +48,34 @@ def price_column(header: list[str], kind: str) -> str:
     return found[-1]
 
 
-def comparativo_header(header: list[str]) -> tuple[list[str], list[str]]:
-    """(known, required) columns of the dialect that a comparison's header speaks. One dialect mixes the first price column of the newer
-    with the others of the older. Columns of revisions are known wherever they stand."""
-    prices, required = list(PRICES_NOW), PRICES_NOW[1:]
-    if PRICES_2024[2] in header:
-        required = PRICES_2024[1:]
-        prices = [PRICES_NOW[0] if PRICES_NOW[0] in header else PRICES_2024[0], *required]
-    known = [*LEADING, *prices, *TRAILING]
-    if any(c in REVISED for c in header):
-        here = [c for c in header if c in known or c in REVISED]
-        known = here + [c for c in known if c not in here]
-    return known, [*REQUIRED, *required]
+class Dialect(NamedTuple):
+    """A header's columns in order, those that must be there, and those that tell this dialect from others of its table."""
 
+    marks: tuple[str, ...]
+    columns: tuple[str, ...]
+    required: tuple[str, ...]
 
-def averages_header(header: list[str]) -> tuple[list[str], list[str]]:
-    """(known, required) columns of the averages' dialect."""
-    prices = AVERAGES_2024 if AVERAGES_2024[1] in header else AVERAGES_NOW
-    return [*AVERAGES, *prices, "INTERVALO", "REPORTE"], ["BARRA", "FECHA", "HORA", "MINUTO", prices[1]]
+
+def _comparison(prices: tuple[str, ...], *marks: str) -> Dialect:
+    return Dialect(marks, (*LEADING, *prices, *TRAILING), (*REQUIRED, *prices[1:]))
+
+
+def _averages(prices: tuple[str, ...], *marks: str) -> Dialect:
+    return Dialect(marks, (*AVERAGES, *prices, "INTERVALO", "REPORTE"), ("BARRA", "FECHA", "HORA", "MINUTO", prices[1]))
+
+
+#: The dialects of each member; the last comparison mixes the first price column of the newer with the others of the older.
+COMPARISONS = (_comparison(PRICES_NOW), _comparison(PRICES_2024, PRICES_2024[2]), _comparison((PRICES_NOW[0], *PRICES_2024[1:]), PRICES_2024[2], PRICES_NOW[0]))
+AVERAGE_DIALECTS = (_averages(AVERAGES_NOW), _averages(AVERAGES_2024, AVERAGES_2024[1]))
+
+
+def spoken(header: list[str], dialects: tuple[Dialect, ...], revised: tuple[str, ...] = ()) -> tuple[list[str], list[str]]:
+    """(known, required) columns of the dialect most of whose marks a header has. Columns of revisions are known wherever they stand; a
+    header with any of them may order its columns as it likes."""
+    best = max((d for d in dialects if set(d.marks) <= set(header)), key=lambda d: len(d.marks))
+    extra = [c for c in revised if c in header]
+    known = sorted([*best.columns, *extra], key=lambda c: header.index(c) if c in header else len(header)) if extra else list(best.columns)
+    return known, list(best.required)
 
 
 def find_member(z: zipfile.ZipFile) -> str:
@@ -162,7 +173,7 @@ def zip_findings(zips: DataFrame, expected: list[str] | None = None) -> DataFram
             return [finding("critico", "zip_corrupto", str(e), file=path)]
         except ValueError as e:
             return [finding("critico", "sin_comparativo", str(e), file=path)]
-        known, required = comparativo_header(header) if expected is None else (expected, list(REQUIRED))
+        known, required = spoken(header, COMPARISONS, REVISED) if expected is None else (expected, list(REQUIRED))
         return [x | {"archivo": path} for x in header_findings(member, header, known, required)]
 
     def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

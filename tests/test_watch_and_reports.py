@@ -43,7 +43,7 @@ def test_the_source_as_it_was(spark):
     assert sorted(kinds(fetch_of(i=(200, INDEX), d=(200, PAGE), s=(200, "<x/>")), changed)) == sorted(["base_indice_sin_anio", "base_marcador_ausente", "base_documento_ausente", "base_etiqueta_distinta", "base_fecha_publicacion_distinta", "base_sitemap_cambiado"])
     new = watch.preflight(spark, fetch, BASE | {"documentos": []})
     assert [x["tipo"] for x in new] == ["base_revision_en_referencia"] and not watch.stops_download(new)
-    assert watch.stops_download(watch.compare_index([], [2024]))
+    assert watch.stops_download(watch.structure_findings(spark, "anio", "", {"2024": "2024"}, []))
     with pytest.raises(OSError):
         watch.preflight(spark, fetch_of(), BASE)
 

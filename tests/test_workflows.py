@@ -43,14 +43,16 @@ def test_control_files(spark, tmp_path):
 
 def test_dialects():
     now, old = HEADER, [*bronze.LEADING, *bronze.PRICES_2024, *bronze.TRAILING]
-    assert bronze.comparativo_header(now) == (now, [*bronze.REQUIRED, *bronze.PRICES_NOW[1:]])
-    assert bronze.comparativo_header(old) == (old, [*bronze.REQUIRED, *bronze.PRICES_2024[1:]])
+    heard = lambda header: bronze.spoken(header, bronze.COMPARISONS, bronze.REVISED)
+    assert heard(now) == (now, [*bronze.REQUIRED, *bronze.PRICES_NOW[1:]])
+    assert heard(old) == (old, [*bronze.REQUIRED, *bronze.PRICES_2024[1:]])
     mixed = [bronze.PRICES_NOW[0] if c == bronze.PRICES_2024[0] else c for c in old]
-    assert bronze.comparativo_header(mixed)[0] == mixed
+    assert heard(mixed)[0] == mixed
     first = now[:7] + list(bronze.REVISED[:2]) + now[7:]
-    assert bronze.comparativo_header(first)[0] == first
-    assert bronze.comparativo_header([c for c in first if c != "USD"])[0] == [c for c in first if c != "USD"] + ["USD"]
-    assert bronze.averages_header(["CMg[mills/kWh]"])[1][-1] == "CMg[mills/kWh]" and bronze.averages_header([])[0][7] == "CMg[USD/MWh]"
+    assert heard(first)[0] == first and heard(first[::-1])[0] == first[::-1]
+    assert heard([c for c in first if c != "USD"])[0] == [c for c in first if c != "USD"] + ["USD"]
+    average = lambda header: bronze.spoken(header, bronze.AVERAGE_DIALECTS)
+    assert average(["CMg[mills/kWh]"])[1][-1] == "CMg[mills/kWh]" and average([])[0][7] == "CMg[USD/MWh]"
 
 
 def test_ingest_chooses_skips_and_keeps(spark, tmp_path):
