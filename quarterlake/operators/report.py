@@ -4,12 +4,22 @@ from __future__ import annotations
 
 import json
 import os
+import re
+import uuid
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField
+
+from quarterlake.sources import control
+from quarterlake.sources.dayfiles import opened
 
 EXCEL_ROWS = 1_048_575
 SHEET_NAME = 31
+#: Bytes that a part is copied by.
+COPY = 8 << 20
 
 
 def comma(column: Column, digits: int = 5) -> Column:
@@ -31,6 +41,103 @@ def write_csv(df: DataFrame, path: str, append: bool = False) -> None:
     regional(df).write.mode("append" if append else "overwrite").option("sep", ";").option("header", True).option("encoding", "UTF-8").csv(path)
 
 
+def _cell(f: StructField, digits: int) -> Column:
+    """A value as text of a wide file: prices of at most so many decimals with a comma, days and times as spreadsheets of the region read them."""
+    c, kind = F.col(f"`{f.name}`"), f.dataType.simpleString()
+    if kind in ("double", "float"):
+        fixed = F.bround(c.try_cast(f"decimal(38,{digits})"), digits).cast("string")
+        text = F.translate(F.regexp_replace(fixed, r"(\.\d+?)0+$", "$1"), ".", ",")
+    elif kind == "date":
+        text = F.date_format(c, "dd-MM-yyyy")
+    elif kind.startswith("timestamp"):
+        text = F.date_format(c, "dd-MM-yyyy HH:mm")
+    else:
+        text = c.cast("string")
+    return F.coalesce(quoted(text), F.lit(""))
+
+
+def quoted(text: Column) -> Column:
+    return F.when(text.rlike('[;"\\n\\r]'), F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(text)
+
+
+def write_one_csv(df: DataFrame, path: str, order: Sequence[str], headers: dict[str, str] | None = None, digits: int = 5) -> int:
+    """One ``;``-separated file in an order, with one header and a byte-order mark; returns its bytes. Rows are sorted by ranges and written as
+    parts by their tasks; then the parts become one file without passing the driver: on a shared disk each is copied to its own place at
+    once, elsewhere one task passes them through in small pieces. The file appears when it is whole."""
+    spark, parts, aside = df.sparkSession, f"{path}.partes-{uuid.uuid4().hex}", f"{path}.tmp"
+    line = F.array_join(F.array(*[_cell(f, digits) for f in df.schema.fields]), ";")
+    df.orderBy(*order).select(line.alias("value")).write.option("compression", "none").text(parts)
+    head = "\ufeff" + ";".join(_quote((headers or {}).get(c, c)) for c in df.columns) + "\n"
+    fs, folder = control.file_system(spark, parts)
+    held = sorted((s.getPath().getName(), s.getLen()) for s in fs.listStatus(folder) if s.getPath().getName().startswith("part-"))
+    pieces, at = [], len(head.encode("utf-8"))
+    for name, size in held:
+        pieces.append((f"{parts}/{name}", at))
+        at += size
+    if fs.getScheme() == "file":
+        joined = _placed(spark, pieces, head, aside, at)
+    else:
+        joined = _passed_through(spark, [p for p, _ in pieces], head, aside)
+    if joined != at:
+        raise OSError(f"{path}: {joined} of {at} bytes were written")
+    fs.delete(folder, True)
+    control.replace(spark, aside, path)
+    return at
+
+
+def _quote(text: str) -> str:
+    return '"' + text.replace('"', '""') + '"' if set(text) & set(';"\n\r') else text
+
+
+def _placed(spark: SparkSession, pieces: list[tuple[str, int]], head: str, aside: str, size: int) -> int:
+    """Each part to its place in a file of the final size, a task each."""
+    target = local_path(aside)
+    with open(target, "wb") as out:
+        out.write(head.encode("utf-8"))
+        out.truncate(size)
+
+    def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in pdfs:
+            done = 0
+            for part, at in zip(pdf["part"], pdf["at"], strict=True):
+                with open(local_path(part), "rb") as f, open(target, "r+b") as out:
+                    out.seek(at)
+                    while chunk := f.read(COPY):
+                        out.write(chunk)
+                        done += len(chunk)
+            yield pd.DataFrame({"n": [done]})
+
+    if not pieces:
+        return size
+    each = spark.createDataFrame(pieces, "part string, at long").repartition(len(pieces), "part")
+    return len(head.encode("utf-8")) + each.mapInPandas(run, "n long").agg(F.sum("n")).first()[0]
+
+
+def _passed_through(spark: SparkSession, parts: list[str], head: str, aside: str) -> int:
+    """All parts through one task, a piece of COPY bytes at a time."""
+
+    def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in pdfs:
+            for target in pdf["target"]:
+                where, p = opened(target)
+                with where.open_output_stream(p) as out:
+                    out.write(head.encode("utf-8"))
+                    done = len(head.encode("utf-8"))
+                    for part in parts:
+                        source, q = opened(part)
+                        with source.open_input_stream(q) as f:
+                            while chunk := f.read(COPY):
+                                out.write(chunk)
+                                done += len(chunk)
+                yield pd.DataFrame({"n": [done]})
+
+    return spark.createDataFrame([(aside,)], "target string").mapInPandas(run, "n long").first()[0]
+
+
+def local_path(path: str) -> str:
+    return re.sub(r"^file:/*", "/", path)
+
+
 def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
 

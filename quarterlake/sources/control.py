@@ -78,6 +78,11 @@ def create_text(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
+def replace(spark: SparkSession, aside: str, path: str) -> None:
+    """A file that was written aside takes the place of another, or of none."""
+    _rename(spark, file_system(spark, aside)[1], path, "OVERWRITE")
+
+
 def read_json(spark: SparkSession, path: str, default: Any) -> Any:
     """The value; the default where the file is absent or cannot be read: work is then done again, never wrongly skipped."""
     if not exists(spark, path):

@@ -151,14 +151,13 @@ def buses_book(series: DataFrame, buses: list[str], first: date, last: date, ver
 
 
 def write_all_buses(series: DataFrame, first: date, last: date, path: str, have: tuple[date, date] | None = None) -> tuple[list[str], DataFrame]:
-    """All buses as wide text, a month at a time under one folder, and their block averages. Returns the columns and the averages."""
+    """All buses as one wide text file, and their block averages. Returns the columns and the averages."""
     check_range(first, last, have)
     held = _between(series, first, last)
     columns = [r["barra"] for r in held.select("barra").distinct().orderBy("barra").collect()]  # a few thousand names
     if not columns:
         raise ValueError("no rows in that range")
-    for a, b in month_tranches(first, last):
-        report.write_csv(gold.wide_series(_between(series, a, b), columns, a, b), f"{path}/{a:%Y-%m}")
+    report.write_one_csv(gold.wide_series(held, columns, first, last), path, gold.ORDER, HEADERS)
     return columns, gold.range_blocks_many(held, None, first, last)
 
 

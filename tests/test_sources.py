@@ -148,6 +148,28 @@ def test_reports(spark, tmp_path):
     assert report.unique_name(str(p)).endswith("a_v2.csv")
 
 
+@pytest.mark.parametrize("placed", [True, False])
+def test_one_file_equals_that_of_one_writer(spark, tmp_path, monkeypatch, placed):
+    if not placed:
+        monkeypatch.setattr(report, "_placed", lambda s, pieces, head, aside, size: report._passed_through(s, [p for p, _ in pieces], head, aside))
+    monkeypatch.setattr(report, "COPY", 64)
+    rows = [(date(2024, 6, 1 + i % 3), i, None if i % 7 == 0 else i / 8 + 0.000004, datetime(2024, 6, 1, i % 24, 15), None if i % 5 else 'ñ;"x"\n') for i in range(200)]
+    rows += [(None, 1000, -0.00001, None, ""), (date(2024, 6, 3), 1001, 1e9, None, "a")]
+    df = spark.createDataFrame(rows, "fecha date, n int, p double, t timestamp_ntz, s string").repartition(6)
+    path = f"file://{tmp_path}/one.csv"
+    assert report.write_one_csv(df, path, ["n"], {"p": "precio; x"}) == report.write_one_csv(df, path, ["n"], {"p": "precio; x"})
+
+    def number(x):
+        return "" if x is None else f"{x:.5f}".rstrip("0").replace(".", ",") + ("0" if f"{x:.5f}".endswith("00000") else "")
+
+    cell = lambda s: "" if s is None else '"' + s.replace('"', '""') + '"' if set(s) & set(';"\n') else s
+    lines = [";".join(("" if d is None else f"{d:%d-%m-%Y}", str(n), number(p), "" if t is None else f"{t:%d-%m-%Y %H:%M}", cell(s))) for d, n, p, t, s in sorted(rows, key=lambda r: r[1])]
+    want = ('\ufefffecha;n;"precio; x";t;s\n' + "".join(x + "\n" for x in lines)).encode()
+    assert (tmp_path / "one.csv").read_bytes() == want and [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["one.csv"]
+    report.write_one_csv(df.where("false"), path, ["n"])
+    assert (tmp_path / "one.csv").read_bytes() == "\ufefffecha;n;p;t;s\n".encode()
+
+
 def test_incremental_stream(spark, tmp_path):
     src, base, ck = (f"file://{tmp_path}/{x}" for x in ("src", "silver", "ck"))
     month(spark, days=2).write.parquet(f"{src}")

@@ -150,8 +150,9 @@ def test_exports(spark, series, tmp_path):
     again = reports.export_series(series, "REF", (2024, 6), (2024, 6), str(tmp_path), ("parquet",))
     assert again[0].endswith("_v2.parquet")
     assert len(reports.export_risk(series, "REF", "COMP", (2024, 6), (2024, 6), str(tmp_path), ("csv",))) == 2
-    columns, blocks = reports.write_all_buses(series, date(2024, 6, 1), date(2024, 6, 3), f"file://{tmp_path}/all")
-    assert columns == ["COMP", "REF"] and spark.read.option("sep", ";").option("header", True).csv(f"file://{tmp_path}/all/2024-06").count() == 288 and blocks.count() == 4
+    columns, blocks = reports.write_all_buses(series, date(2024, 6, 1), date(2024, 6, 3), f"file://{tmp_path}/all.csv")
+    lines = (tmp_path / "all.csv").read_bytes().decode("utf-8-sig").split("\n")
+    assert columns == ["COMP", "REF"] and lines[0] == "Fecha;Hora;Minuto;Bloque;COMP;REF" and len(lines) == 290 and blocks.count() == 4
     with pytest.raises(ValueError):
         reports.export_series(series, "REF", (2024, 6), (2024, 6), str(tmp_path), ("pdf",))
     with pytest.raises(ValueError):
