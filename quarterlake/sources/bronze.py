@@ -277,11 +277,16 @@ def documents_of_pages(pages: DataFrame, base_url: str = "") -> DataFrame:
     return held.select(F.col("dia").alias("fecha_operacion"), F.when(F.col("titulo") != "", F.col("titulo")).otherwise(F.substring("texto", 1, 120)).alias("etiqueta"), kind["tipo"].alias("tipo"), kind["version"].alias("version"), kind["reemision"].alias("reemision"), published.alias("fecha_publicacion"), F.when(F.col("href").startswith("http"), F.col("href")).otherwise(F.concat(F.lit(base_url), F.col("href"))).alias("url"), name.alias("nombre"))
 
 
+#: A map of addresses or of maps; other elements, and those of other name spaces, are not read.
+SITEMAP = "url array<struct<loc:string,lastmod:string>>, sitemap array<struct<loc:string,lastmod:string>>"
+
+
 def sitemap_entries(pages: DataFrame, xml: str = "xml") -> DataFrame:
-    """(loc, lastmod) of site maps, CDATA or not; entries with unreadable dates are left out."""
-    block = F.explode(F.regexp_extract_all(F.col(xml), F.lit(r"(?s)<(?:url|sitemap)>(.*?)</(?:url|sitemap)>"), F.lit(1)))
-    inner = lambda tag: F.trim(F.regexp_extract("e", rf"(?s)<{tag}>\s*(?:<!\[CDATA\[)?(.*?)(?:\]\]>)?\s*</{tag}>", 1))
-    return pages.select(block.alias("e")).select(inner("loc").alias("loc"), F.try_to_timestamp(inner("lastmod")).alias("lastmod")).where("loc <> '' AND lastmod IS NOT NULL")
+    """(loc, lastmod) of site maps, by Spark's XML parser; entries without an address or a readable date, and maps that are no XML, are left out."""
+    parsed = pages.select(F.from_xml(F.col(xml), SITEMAP, {"mode": "PERMISSIVE"}).alias("m"))
+    none = F.array().cast("array<struct<loc:string,lastmod:string>>")
+    each = parsed.select(F.inline(F.concat(F.coalesce("m.url", none), F.coalesce("m.sitemap", none))))
+    return each.select(F.trim("loc").alias("loc"), F.try_to_timestamp(F.trim("lastmod")).alias("lastmod")).where("loc <> '' AND lastmod IS NOT NULL")
 
 
 def revisions_after(entries: DataFrame, cursor: Column) -> DataFrame:

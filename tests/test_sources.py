@@ -121,6 +121,37 @@ def test_pages_and_sitemaps(spark):
     assert bronze.revisions_after(e, F.lit("2026-01-02 03:04:05").cast("timestamp")).count() == 0
 
 
+def test_site_maps_by_the_parser(spark):
+    head = '<?xml version="1.0" encoding="UTF-8"?><?xml-stylesheet type="text/xsl" href="x.xsl"?>\n<!-- <url><loc>https://x/no</loc><lastmod>2026-01-01</lastmod></url> -->\n'
+    urls = head + '<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9" xmlns:image="http://www.google.com/schemas/sitemap-image/1.1"><url><loc><![CDATA[https://x/a?b=1&c=2]]></loc><lastmod><![CDATA[2026-10-08T12:00:00+00:00]]></lastmod><image:image><image:loc>https://x/i</image:loc></image:image></url>\n<url>\n<loc> https://x/d&amp;e </loc><!-- c --><lastmod>2026-10-07</lastmod></url><url><loc>https://x/bad</loc><lastmod>soon</lastmod></url><url><loc>https://x/none</loc></url></urlset>'
+    maps = head + '<sitemapindex xmlns="http://www.sitemaps.org/schemas/sitemap/0.9"><sitemap><loc>https://x/m.xml</loc><lastmod>2026-10-08T01:00:00Z</lastmod></sitemap></sitemapindex>'
+    pages = spark.createDataFrame([(urls,), (maps,), (None,), ("",), ("no xml",), ("<urlset/>",)], "xml string")
+    got = sorted((r.loc, str(r.lastmod)) for r in bronze.sitemap_entries(pages).collect())
+    assert got == [("https://x/a?b=1&c=2", "2026-10-08 12:00:00"), ("https://x/d&e", "2026-10-07 00:00:00"), ("https://x/m.xml", "2026-10-08 01:00:00")]
+
+
+def test_one_bus_skips_the_row_groups_of_others(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(silver, "LOOKUP", silver.LOOKUP | {"parquet.block.size": "4096"})
+    base = f"file://{tmp_path}/silver"
+    rows = month(spark, 2024, 6, "B00")
+    for i in range(1, 12):
+        rows = rows.unionByName(month(spark, 2024, 6, f"B{i:02d}"))
+    assert silver.write_month(rows, base, (2024, 6)) == 12 * 96 and silver.write_month(rows.where("barra < 'B02'"), base, (2024, 7 - 1)) == 192
+    silver.write_month(rows, base, (2024, 6))
+
+    def read(bus):
+        df = silver.scan(spark, base).where(F.col("barra") == bus).select("barra", "cmg_usd_mwh")
+        df.write.format("noop").mode("overwrite").save()
+        n = df.count()
+        plan = df._jdf.queryExecution().executedPlan()
+        df._jdf.queryExecution().toRdd().count()
+        leaves = plan.collectLeaves()
+        return n, leaves.apply(0).metrics().apply("numOutputRows").value()
+
+    all_rows = silver.scan(spark, base).count()
+    assert read("B05")[0] == 96 and read("B05")[1] < all_rows / 2 and read("B05x") == (0, 0)
+
+
 def test_publish(spark):
     s = month(spark, bus="B").unionByName(month(spark, bus="A"))
     known = spark.createDataFrame([(7, "B")], "barra_id int, nombre string")
