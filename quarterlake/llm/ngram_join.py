@@ -30,7 +30,7 @@ RATE = 16
 #: A list is long if it is seen so often in that share; at most LONG lists count as long, the longest.
 SEEN, LONG = 2, 1 << 18
 #: Postings that a shard of lists holds, about, and members of a list that are sorted in one shard: a longer list is dealt over several.
-SHARD, PART = 1 << 20, 50_000
+SHARD, PART = 1 << 19, 50_000
 #: Sets that more than one row in HOT has are sent to the rows rather than met by a shuffle; there are fewer than HOT of them.
 HOT = 1000
 FLUSH = 1_000_000
@@ -205,15 +205,20 @@ def met(reps: DataFrame, long: np.ndarray, length: np.ndarray, bits: int) -> Dat
     others are elsewhere, and leaders are those of a shard."""
     split = length > PART
     keys48, parts48 = long[split], -(-length[split] // PART)
+    room = min(1 << 20, max(1 << 16, 256 << bits))  # postings dealt at a time: a few hundred a shard
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, sizes = batch.column("doc_id").to_numpy(), batch.column("n").to_numpy()
             raw = batch.column("posts").to_pylist()
-            for a in range(0, len(raw), 4000):
-                count = np.array([len(x) // 6 for x in raw[a : a + 4000]])
-                keys = unpacked(b"".join(raw[a : a + 4000]))
-                doc, n = np.repeat(ids[a : a + 4000], count), np.repeat(sizes[a : a + 4000], count)
+            if not raw:
+                continue
+            ends = np.cumsum([len(x) // 6 for x in raw])
+            starts = np.unique(np.searchsorted(ends, np.arange(0, int(ends[-1]), room), "right"))
+            for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(raw)], strict=True):
+                count = np.array([len(x) // 6 for x in raw[a:b]])
+                keys = unpacked(b"".join(raw[a:b]))
+                doc, n = np.repeat(ids[a:b], count), np.repeat(sizes[a:b], count)
                 start = np.repeat(np.cumsum(count) - count, count)
                 small = np.arange(len(keys)) - start < smaller_length(n)
                 by_hash = np.lexsort((mix64(keys), start))
