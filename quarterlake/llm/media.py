@@ -175,7 +175,8 @@ def read_payload(media: bytes) -> bytes:
 
 
 def media_column(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(doc_id, n_bytes, media): each text's UTF-8, padded, as a stored container. Null and empty texts give one row of zeros."""
+    """(doc_id, n_bytes, media): each text's UTF-8, padded, as a stored container. Null and empty texts give one row of zeros;
+    null ids stay; repeated rows are stored each; an empty table gives an empty table; other columns are ignored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches, "text", 1 << 20):

@@ -281,7 +281,8 @@ def find_secrets(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Da
 
 
 def redact_secrets(docs: DataFrame, text: str = "text", mark: str = "<secret>") -> DataFrame:
-    """All rows and columns of ``docs``; in ``text`` every found span, overlapping ones joined, becomes ``mark``. Null texts stay null."""
+    """All rows and columns of ``docs``; in ``text`` every found span, overlapping ones joined, becomes ``mark``. Null texts stay null, empty ones
+    empty; null ids stay; repeated rows are redacted each; an empty table gives an empty table."""
     net = trained()
     columns = docs.columns
 

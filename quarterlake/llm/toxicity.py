@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterlake.llm.common import WordHasher, crc_of_id, materialize, mix64, slices, table
+from quarterlake.llm.common import Scratch, WordHasher, crc_of_id, mix64, slices, table
 
 #: Labelled rows that the machine is fitted to, at most (those of least hash of their id).
 TRAIN_DOCS = 8_000
@@ -22,6 +22,8 @@ PAIR_TERMS, PAIR_CHI, PAIR_FEATURES = 1024, 45.0, 192
 RANK = 8
 #: Word beginnings, in bytes, and how often they must occur.
 PREFIXES, LEVELS = (5, 6, 7, 8), (1, 2, 4)
+#: Beginnings of so many bytes also make terms by their share of the words: one in so many words at least.
+DENSE_PREFIX, DENSE = 6, (192, 128, 80)
 SEED = 977
 
 #: Bytes that end a term: everything in ASCII but letters and digits.
@@ -29,20 +31,30 @@ _GAPS = bytes(b for b in range(128) if not chr(b).isalnum())
 _hashers: list[WordHasher] = []
 
 
+def _leveled(pairs: np.ndarray, n: int, level: int) -> np.ndarray:
+    """The pairs with other terms: those of beginnings of n bytes at a level."""
+    shift, mask = np.uint64(64 - BUCKET_BITS), (1 << BUCKET_BITS) - 1
+    return pairs & ~mask | (mix64((pairs & mask).astype(np.uint64) + np.uint64((n << 32) + (level << 40))) >> shift).astype(np.int64)
+
+
 def document_terms(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (document number, hashed term) pairs of many whole texts, lower-cased in ASCII. Terms are words, and word
-    beginnings of several lengths that occur at least once, twice and four times: they carry over to inflected and joined words."""
+    beginnings of several lengths that occur at least once, twice and four times, or in some share of all words: they carry over to inflected and joined words."""
     if not _hashers:
         _hashers.append(WordHasher(_GAPS))
     hashes, offsets = _hashers[0].prefixes(texts, (None, *PREFIXES))
-    doc = np.repeat(np.arange(len(texts), dtype=np.int64), np.diff(offsets))
+    words = np.diff(offsets)
+    doc = np.repeat(np.arange(len(texts), dtype=np.int64), words)
     shift, mask = np.uint64(64 - BUCKET_BITS), (1 << BUCKET_BITS) - 1
     found = [np.unique(doc << BUCKET_BITS | (hashes[0] >> shift).astype(np.int64))]
     for n, h in zip(PREFIXES, hashes[1:], strict=True):
         pairs, count = np.unique(doc << BUCKET_BITS | (h >> shift).astype(np.int64), return_counts=True)
         for least in LEVELS:
             part = pairs[count >= least]
-            found.append(part & ~mask | (mix64((part & mask).astype(np.uint64) + np.uint64((n << 32) + (least << 40))) >> shift).astype(np.int64))
+            found.append(_leveled(part, n, least))
+        if n == DENSE_PREFIX:
+            size = words[pairs >> BUCKET_BITS]
+            found += [_leveled(pairs[count * one_in >= size], n, one_in << 8) for one_in in DENSE]
     pairs = np.unique(np.concatenate(found))
     return pairs >> BUCKET_BITS, pairs & mask
 
@@ -121,7 +133,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", key: st
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).select(F.col("doc_id").alias("tox_id"), "toxic")
     picked = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(sample), F.col("doc_id") == F.col("tox_id"))
     least = F.min(F.struct(F.xxhash64("text").alias("h"), "text", "toxic")).alias("t")
-    picked = materialize(picked.groupBy("doc_id").agg(least).select(F.col("doc_id").cast("long").alias("doc_id"), "t.text", F.col("t.toxic").cast("long").alias("toxic")), "toxic-sample")
+    scratch = Scratch(docs.sparkSession, "toxic")
+    picked = scratch.write(picked.groupBy("doc_id").agg(least).select(F.col("doc_id").cast("long").alias("doc_id"), "t.text", F.col("t.toxic").cast("long").alias("toxic")), "sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches):
@@ -133,8 +146,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", key: st
 
     total, all_pos = picked.agg(F.count(F.lit(1)), F.coalesce(F.count_if(F.col("toxic") > 0), F.lit(0))).first()
     if not total:
+        scratch.close()
         return FactorizationMachine(np.zeros(0, np.int64))
-    counts = materialize(picked.mapInArrow(count, "term long, n long, pos long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos")).where(F.col("n") >= LEAST_DOCS), "toxic-terms")
+    counts = scratch.write(picked.mapInArrow(count, "term long, n long, pos long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos")).where(F.col("n") >= LEAST_DOCS), "terms")
     ad, bc = F.col("pos") * (total - all_pos - F.col("n") + F.col("pos")), (F.col("n") - F.col("pos")) * (all_pos - F.col("pos"))
     below = F.col("n").cast("double") * (total - F.col("n")) * F.lit(float(all_pos)) * F.lit(float(total - all_pos))
     clear = counts.withColumn("chi", F.lit(float(total)) * F.pow((ad - bc).cast("double"), F.lit(2.0)) / F.greatest(below, F.lit(1e-9)))
@@ -152,6 +166,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", key: st
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array([x.astype("<u2").tobytes() for x in np.split(at[there], cuts)], pa.binary())], ["doc_id", "toxic", "terms"])
 
     found = sorted(picked.mapInArrow(rows, "doc_id long, toxic long, terms binary").collect(), key=lambda x: x["doc_id"])
+    scratch.close()
     y = np.array([float(x["toxic"] > 0) for x in found])
     doc = np.repeat(np.arange(len(found), dtype=np.int64), [len(x["terms"]) // 2 for x in found])
     term = np.frombuffer(b"".join(x["terms"] for x in found), "<u2").astype(np.int64)
