@@ -123,3 +123,18 @@ def test_search_rules(spark):
     assert [g[0] for g in got[:2]] == ["P.MONTT_____220", "NVA_P.MONTT___220"] and got[0][2] and got[0][1] == got[1][1]
     assert search.search(df, "montt 66").first().barra in ("P.MONTT_____220", "LA SUR 066") and search.menu_search(df, "žabran").first().puntaje > 2
     assert search.short_forms("MAR") == ["M", "MA", "MR"] and "RIO" not in search.short_forms("RIOS") and "SUR" not in search.short_forms("SUROR")
+
+
+def test_the_letter_bound_loses_no_name(spark):
+    """Names whose ratio reaches the threshold pass the bound; most others do not."""
+    import random
+    from difflib import SequenceMatcher
+
+    r = random.Random(4)
+    parts = ["QUILLOTA", "PENABLANCA", "NAVIA", "ELVIRA", "MONTT", "ALTO", "JAHUEL", "CRUCERO", "220", "110", "066", "013"]
+    names = sorted({" ".join(r.sample(parts, r.randint(1, 3))) for _ in range(300)} | {"", "A", "Q" * 40})
+    df = spark.createDataFrame([(n,) for n in names], "barra string")
+    for asked in ("QUILOTA 22", "JAHUEL", "ELVIRRA 013", "ZZZ"):
+        passed = {x.barra for x in df.where(search.can_be_alike(asked, F.col("barra"))).collect()}
+        reached = {n for n in names if SequenceMatcher(None, asked, n).ratio() >= search.LEAST_RATIO}
+        assert reached <= passed and len(passed) < 0.7 * len(names)

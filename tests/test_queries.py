@@ -9,7 +9,7 @@ from quarterlake.plans.queries import QUERIES, SQL
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 #: On the smallest tables these find nothing; on those of sf0.01 they do.
-SPARSE = {"riesgo_por_dias"}
+SPARSE = {"riesgo_por_dias", "hora_fantasma"}
 
 
 @pytest.fixture(scope="module")
