@@ -102,6 +102,20 @@ def day_slug(day: Column) -> Column:
     return F.concat_ws("-", F.dayofmonth(day).cast("string"), F.element_at(months, F.month(day)), F.year(day).cast("string"))
 
 
+def page_addresses(day: Column, suffixes: dict[int, str], root: str) -> Column:
+    """The addresses (anio, mes, dia) of the pages of a day's year, month and day. A year's part ends as the source says (``suffixes``); a year
+    without one is an error, as an address made up would look like a day without a publication."""
+    year, name = F.year(day), F.element_at(F.array(*(F.lit(m) for m in MONTHS)), F.month(day))
+    ends = F.create_map(*(F.lit(x) for pair in sorted(suffixes.items()) for x in pair)) if suffixes else F.lit(None).cast("map<int,string>")
+    end = F.coalesce(F.try_element_at(ends, year), F.raise_error(F.concat(F.lit("no address is known for the year "), year.cast("string"))))
+    part = F.concat(year.cast("string"), F.when(day.isNotNull(), end))
+    month = F.concat_ws("-", name, part)
+    of_year = F.concat(F.lit(root), F.lit("/"), part, F.lit("/"))
+    of_month = F.concat(of_year, month, F.lit("/"))
+    of_day = F.concat(of_month, F.date_format(day, "dd"), F.lit("-"), month, F.lit("/"))
+    return F.struct(of_year.alias("anio"), of_month.alias("mes"), of_day.alias("dia"))
+
+
 def masked(detail: Column) -> Column:
     """File names and dates masked, so that findings which differ in them alone are one group."""
     return F.regexp_replace(F.regexp_replace(detail, r"[\w.-]+\.(?i:zip|csv)", "<archivo>"), r"\d{4}-\d{2}-\d{2}", "<fecha>")

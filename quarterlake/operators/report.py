@@ -180,12 +180,26 @@ def unique_name(path: str) -> str:
     return out
 
 
-def write_findings(grouped: DataFrame, folder: str) -> str:
-    """Grouped findings (a bounded number) as JSON and Markdown; returns the Markdown."""
+#: Severities in the order of a report, and what each asks for.
+SEVERITIES = {"critico": "do not ingest the files concerned", "advertencia": "ingest, and look at it", "info": "known, or taken on already"}
+
+
+def write_findings(grouped: DataFrame, folder: str, title: str = "Hallazgos") -> str | None:
+    """Grouped findings (a bounded number) as JSON and Markdown, a section a severity with its number of findings; returns the Markdown. Without
+    findings nothing is written."""
     rows = [r.asDict() for r in grouped.collect()]
+    if not rows:
+        return None
+    by = {s: sorted((r for r in rows if r["severidad"] == s), key=lambda r: (r["tipo"], r["detalle"] or "")) for s in (*SEVERITIES, *sorted({r["severidad"] for r in rows} - set(SEVERITIES)))}
+    many = {s: sum(r["veces"] for r in held) for s, held in by.items()}
+    lines = [f"# {title}", "", ", ".join(f"{n} {s}" for s, n in many.items()), ""]
+    for severity, held in by.items():
+        if held:
+            lines += [f"## {severity} ({many[severity]})", "", *([SEVERITIES[severity], ""] if severity in SEVERITIES else [])]
+            lines += [f"- {r['tipo']}: {r['detalle']} ({r['veces']})" + (f" -> {r['accion']}" if r.get("accion") else "") for r in held] + [""]
+    text = "\n".join(lines)
     os.makedirs(folder, exist_ok=True)
-    text = "\n".join(["# Hallazgos", "", *(f"- **{r['severidad']}** {r['tipo']}: {r['detalle']} ({r['veces']})" for r in rows), ""])
-    for name, body in (("hallazgos.json", json.dumps(rows, ensure_ascii=False, indent=1)), ("hallazgos.md", text)):
+    for name, body in (("hallazgos.json", json.dumps(rows, ensure_ascii=False, indent=1, default=str)), ("hallazgos.md", text)):
         with open(f"{folder}/{name}.tmp", "w", encoding="utf-8") as f:
             f.write(body)
         os.replace(f"{folder}/{name}.tmp", f"{folder}/{name}")

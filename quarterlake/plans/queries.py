@@ -704,6 +704,17 @@ def direcciones_de_dia(spark: SparkSession, sf_dir: str) -> DataFrame:
     return days.select("fecha", names.day_slug(F.col("fecha")).alias("slug"), names.day_of_url(url).alias("dia_de_url"))
 
 
+@query("""WITH d AS (SELECT DISTINCT o_orderdate::DATE AS f FROM orders), s AS (SELECT f, year(f) || '-costo-' || CASE WHEN year(f) < 1998 THEN 'a' ELSE 'b' END AS y,
+list_value('enero', 'febrero', 'marzo', 'abril', 'mayo', 'junio', 'julio', 'agosto', 'septiembre', 'octubre', 'noviembre', 'diciembre')[month(f)] AS m FROM d)
+SELECT f::VARCHAR AS fecha, 'https://x/' || y || '/' AS anio, 'https://x/' || y || '/' || m || '-' || y || '/' AS mes,
+'https://x/' || y || '/' || m || '-' || y || '/' || strftime(f, '%d') || '-' || m || '-' || y || '/' AS dia FROM s""")
+def direcciones_de_paginas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages of each day with an order, of its month and its year; years' addresses end in one of two ways."""
+    days = table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("fecha")).distinct()
+    ends = {y: "-costo-a" if y < 1998 else "-costo-b" for y in range(1990, 2010)}
+    return days.select("fecha", names.page_addresses(F.col("fecha"), ends, "https://x").alias("p")).select("fecha", "p.*")
+
+
 @query("SELECT o_orderkey AS id, CASE WHEN o_custkey % 4 < 3 THEN o_orderdate::DATE::VARCHAR END AS leida FROM orders")
 def fechas_escritas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dates written in three ways, and one way that is not read."""

@@ -67,6 +67,16 @@ FORMATS = ("excel", "csv", "parquet")
 ALIASES = {"1": "excel", "xlsx": "excel", "2": "csv", "3": "parquet"} | {f: f for f in FORMATS}
 #: Cells of a wide sheet beyond which a workbook is no use; text has no such limit.
 WORKBOOK_CELLS = 2_000_000
+# What an info sheet says of a series, and how it is counted.
+FACTS = {
+    "Dias con datos": "count(DISTINCT fecha)",
+    "Cuartos de hora": "count(1)",
+    "CMg promedio [USD/MWh]": "round(avg(cmg_usd_mwh), 2)",
+    "CMg minimo [USD/MWh]": "round(min(cmg_usd_mwh), 2)",
+    "CMg maximo [USD/MWh]": "round(max(cmg_usd_mwh), 2)",
+    "Cuartos en cero": "count_if(cmg_usd_mwh = 0)",
+}
+# What an info sheet says of the blocks.
 BLOCKS = {"Bloques": "A: 23:00 a 07:59 | B: 08:00 a 17:59 | C: 18:00 a 22:59", "Solar": "promedio del bloque B", "NoSolar": "promedio de los cuartos de A y C juntos"}
 
 Book = dict[str, DataFrame]
@@ -98,20 +108,22 @@ def readable(df: DataFrame) -> DataFrame:
     return out.withColumnsRenamed({c: HEADERS[c] for c in df.columns if c in HEADERS})
 
 
+#: How a kind of value is written in an info sheet; the first kind that fits counts (a time is a day, too).
+WRITTEN = ((datetime, "{:%d-%m-%Y %H:%M}"), (date, "{:%d-%m-%Y}"), (object, "{}"))
+
+
 def info_sheet(spark: SparkSession, facts: dict[str, object]) -> DataFrame:
     """Two columns that explain the file."""
-    text = lambda v: f"{v:%d-%m-%Y %H:%M}" if isinstance(v, datetime) else f"{v:%d-%m-%Y}" if isinstance(v, date) else str(v)
-    return spark.createDataFrame([(k, text(v)) for k, v in facts.items()], "Concepto string, Valor string")
+    rows = [(name, next(how for kind, how in WRITTEN if isinstance(value, kind)).format(value)) for name, value in facts.items()]
+    return spark.createDataFrame(rows, "Concepto string, Valor string")
 
 
 def _facts(series: DataFrame) -> dict[str, object]:
     """What an info sheet says of a series; an empty one is an error."""
-    price = F.col("cmg_usd_mwh")
-    r = series.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("fecha").alias("d"), F.avg(price).alias("m"), F.min(price).alias("a"), F.max(price).alias("z"), F.count_if(price == 0).alias("c")).first()
-    if not r["n"]:
+    found = series.selectExpr(*(f"{how} AS `{name}`" for name, how in FACTS.items())).first().asDict()
+    if not found["Cuartos de hora"]:
         raise ValueError("no rows in that range")
-    two = lambda x: None if x is None else round(x, 2)
-    return {"Dias con datos": r["d"], "Cuartos de hora": r["n"], "CMg promedio [USD/MWh]": two(r["m"]), "CMg minimo [USD/MWh]": two(r["a"]), "CMg maximo [USD/MWh]": two(r["z"]), "Cuartos en cero": r["c"]}
+    return found
 
 
 def _between(series: DataFrame, first: date, last: date) -> DataFrame:

@@ -53,6 +53,7 @@ def test_months():
     assert domain.month_tranches(date(2024, 1, 30), date(2024, 3, 2)) == [(date(2024, 1, 30), date(2024, 1, 31)), (date(2024, 2, 1), date(2024, 2, 29)), (date(2024, 3, 1), date(2024, 3, 2))]
     with pytest.raises(ValueError):
         domain.months_between((2024, 2), (2024, 1))
+    assert domain.solar_shortcut(7.5) == 7.5
     assert domain.no_solar_shortcut(100, 200) == pytest.approx((9 * 100 + 5 * 200) / 14)
 
 
@@ -138,3 +139,22 @@ def test_the_letter_bound_loses_no_name(spark):
         passed = {x.barra for x in df.where(search.can_be_alike(asked, F.col("barra"))).collect()}
         reached = {n for n in names if SequenceMatcher(None, asked, n).ratio() >= search.LEAST_RATIO}
         assert reached <= passed and len(passed) < 0.7 * len(names)
+
+
+def test_addresses_of_pages(spark):
+    df = spark.createDataFrame([(date(2026, 1, 5),), (None,)], "d date")
+    got = df.select(names.page_addresses(F.col("d"), {2026: "-costo"}, "r").alias("p")).select("p.*").collect()
+    assert tuple(got[0]) == ("r/2026-costo/", "r/2026-costo/enero-2026-costo/", "r/2026-costo/enero-2026-costo/05-enero-2026-costo/") and got[1].dia is None
+    with pytest.raises(Exception, match="no address is known for the year 2026"):
+        df.select(names.page_addresses(F.col("d"), {2025: "-x"}, "r")).collect()
+
+
+def test_findings_by_severity(spark, tmp_path):
+    from quarterlake.operators import report
+
+    rows = [("info", "b", "x", 1, ""), ("critico", "a", "y", 2, "wait"), ("advertencia", "c", "z", 3, "")]
+    df = spark.createDataFrame(rows, "severidad string, tipo string, detalle string, veces int, accion string")
+    text = report.write_findings(df, str(tmp_path))
+    assert [x for x in text.split("\n") if x.startswith("##")] == ["## critico (2)", "## advertencia (3)", "## info (1)"]
+    assert "- a: y (2) -> wait" in text and (tmp_path / "hallazgos.md").read_text() == text and report.write_findings(df.where("false"), str(tmp_path / "no")) is None
+    assert not (tmp_path / "no").exists()
