@@ -6,11 +6,13 @@ import codecs
 import io
 import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from html.parser import HTMLParser
+from itertools import pairwise
 from typing import NamedTuple
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +37,8 @@ REVISED = ("CMG_REAL_PRE v2[USD/MWh]", "CMG_REAL_DEF v2[USD/MWh]", "CMG_REAL_PRE
 AVERAGES = ("BARRA", "BARRA INFO ID", "BARRA INFO NOMBRE", "FECHA", "HORA", "MINUTO")
 AVERAGES_NOW, AVERAGES_2024 = ("CMg[CLP/KWh]", "CMg[USD/MWh]"), ("CMg[$/KWh]", "CMg[mills/kWh]")
 ROWS = 50_000
+#: Characters of pages' blocks that leave Python at a time, and what a link counts beside its address.
+PIECE, LINK = 1 << 20, 64
 
 
 def zip_files(spark: SparkSession, path: str) -> DataFrame:
@@ -210,62 +214,102 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MANIFEST).option("mode", "DROPMALFORMED").json(path)
 
 
+class _Block:
+    """A div: where its texts start and end among those of the page, its title in parts, and the links that it is the nearest div of."""
+
+    def __init__(self, start: int) -> None:
+        self.start, self.end = start, start
+        self.title: list[str] = []
+        self.links: list[tuple[int, str]] = []
+
+
 class _Page(HTMLParser):
-    """Links of a page with the text and the title of the nearest enclosing div."""
+    """Links of a page with the nearest enclosing div. The page's texts are kept once, in order: a div has those between its tags, and
+    one that is left open those up to the next open one."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.divs: list[dict] = [{"text": [], "title": "", "links": []}]
-        self.found: list[tuple[str, dict]] = []
-        self.title_of: dict | None = None
+        self.texts: list[str] = []
+        self.divs = [_Block(0)]
+        self.blocks: list[_Block] = []
+        self.seen: set[str] = set()
+        self.title_of: _Block | None = None
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        a = dict(attrs)
+        a, block = dict(attrs), self.divs[-1]
         if tag == "div":
-            self.divs.append({"text": [], "title": "", "links": []})
-        elif tag == "a" and a.get("href"):
-            self.found.append((a["href"], self.divs[-1]))
+            self.divs.append(_Block(len(self.texts)))
+        elif tag == "a" and a.get("href") and a["href"] not in self.seen:
+            if not block.links:
+                self.blocks.append(block)
+            block.links.append((len(self.seen), a["href"]))
+            self.seen.add(a["href"])
         elif tag == "span" and "informes-estudio-Titulo" in (a.get("class") or "").split():
-            self.title_of = self.divs[-1] if not self.divs[-1]["title"] else None
+            self.title_of = block if not block.title else None
             if a.get("title"):
-                self.divs[-1]["title"], self.title_of = a["title"], None
+                block.title, self.title_of = [a["title"]], None
 
     def handle_endtag(self, tag: str) -> None:
         if tag == "div" and len(self.divs) > 1:
-            inner = self.divs.pop()
-            self.divs[-1]["text"] += inner["text"]
+            self.divs.pop().end = len(self.texts)
         elif tag == "span":
             self.title_of = None
 
     def handle_data(self, data: str) -> None:
-        self.divs[-1]["text"].append(data)
-        if self.title_of is not None:
-            self.title_of["title"] += data.strip()
+        self.texts.append(data)
+        if self.title_of is not None and (part := data.strip()):
+            self.title_of.title.append(part)
 
+    def close(self) -> None:
+        super().close()
+        for block, inner in pairwise(self.divs):
+            block.end = inner.start
+        self.divs[-1].end = len(self.texts)
 
-def page_links(html: str) -> list[tuple[str, str, str]]:
-    """(href, title, block text) of every distinct link, in order."""
+
+def page_blocks(html: str | None) -> Iterator[tuple[str, str, list[tuple[int, str]]]]:
+    """(title, text, [(n, href)]) of every block with links, one at a time; a link that comes again is left out."""
     p = _Page()
     p.feed(html or "")
     p.close()
-    out, seen = [], set()
-    for href, div in p.found:
-        if href not in seen:
-            seen.add(href)
-            out.append((href, div["title"], " ".join(" ".join(div["text"]).split())))
-    return out
+    for block in p.blocks:
+        yield "".join(block.title), " ".join(" ".join(p.texts[block.start : block.end]).split()), block.links
 
 
-def links(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
-    """(key, n, href, titulo, texto) of every page's links."""
-    kind = pages.schema[key].dataType.simpleString()
+def page_links(html: str | None) -> list[tuple[str, str, str]]:
+    """(href, title, block text) of every distinct link, in order."""
+    found = sorted((n, href, title, text) for title, text, held in page_blocks(html) for n, href in held)
+    return [(href, title, text) for _, href, title, text in found]
 
-    def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in pdfs:
-            rows = [(k, i, *link) for k, h in zip(pdf["k"], pdf["h"], strict=True) for i, link in enumerate(page_links(h))]
-            yield pd.DataFrame(rows, columns=[key, "n", "href", "titulo", "texto"])
 
-    return pages.select(F.col(key).alias("k"), F.col(html).alias("h")).mapInPandas(run, f"{key} {kind}, n int, href string, titulo string, texto string")
+def block_pieces(batches: Iterable[pa.RecordBatch], key: str, most: int = PIECE) -> Iterator[pa.RecordBatch]:
+    """Blocks of the pages (k, h) in pieces of about ``most`` characters, whatever the number of pages in a batch; a longer block is one piece."""
+    pairs = pa.list_(pa.struct([("n", pa.int32()), ("href", pa.string())]))
+
+    def piece(batch: pa.RecordBatch, held: list[tuple]) -> pa.RecordBatch:
+        at, title, text, links = zip(*held, strict=True)
+        each = [[{"n": n, "href": href} for n, href in x] for x in links]
+        return pa.RecordBatch.from_arrays([batch.column("k").take(pa.array(at)), pa.array(title, pa.string()), pa.array(text, pa.string()), pa.array(each, pairs)], [key, "titulo", "texto", "enlaces"])
+
+    for batch in batches:
+        held, size = [], 0
+        for at, html in enumerate(batch.column("h")):
+            for title, text, links in page_blocks(html.as_py()):
+                held.append((at, title, text, links))
+                size += len(title) + len(text) + sum(len(href) + LINK for _, href in links)
+                if size >= most:
+                    yield piece(batch, held)
+                    held, size = [], 0
+        if held:
+            yield piece(batch, held)
+
+
+def links(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
+    """(key, n, href, titulo, texto) of every page's links. A block's text leaves Python once, however many links the block has."""
+    kind = pages.schema[key].dataType.simpleString()
+    held = pages.select(F.col(key).alias("k"), F.col(html).alias("h"))
+    blocks = held.mapInArrow(lambda batches: block_pieces(batches, key), f"{key} {kind}, titulo string, texto string, enlaces array<struct<n:int,href:string>>")
+    return blocks.select(key, "titulo", "texto", F.inline("enlaces")).select(key, "n", "href", "titulo", "texto")
 
 
 def documents_of_pages(pages: DataFrame, base_url: str = "") -> DataFrame:

@@ -1,7 +1,9 @@
 import io
+import tracemalloc
 import zipfile
 from datetime import date, datetime
 
+import pyarrow as pa
 import pytest
 from helpers import month
 from pyspark.sql import functions as F
@@ -108,6 +110,39 @@ def test_members_are_streamed_by_their_encoding(encoding):
         assert lines.header == ["BARRA", "FECHA"] and list(lines) == [(2, ["CAÑETE", "1"]), (5, ["", "2"])] and lines.empty == 2
 
 
+def _peak(run):
+    tracemalloc.start()
+    try:
+        return run(), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_blocks_text_is_held_once_however_many_links_it_has():
+    html = "<div>" + "palabra " * 25_000 + "".join(f"<a href='/{i}'>z</a>" for i in range(500)) + "</div>"
+    found, peak = _peak(lambda: bronze.page_links(html))
+    assert [href for href, _, _ in found] == [f"/{i}" for i in range(500)]
+    assert {len(text) for _, _, text in found} == {8 * 25_000 + 2 * 500 - 1}
+    assert peak < 20_000_000
+
+
+def test_pages_leave_python_in_pieces_of_bounded_size(spark):
+    html = "<div>fuera<div>" + "palabra " * 5_000 + "<a href='/a'>z</a><a href='/b'>z</a></div><a href='/c'>z</a><a href='/a'>z</a></div>"
+    batch = pa.RecordBatch.from_pydict({"k": list(range(300)), "h": [html] * 300})
+    sizes, peak = _peak(lambda: [(p.num_rows, p.nbytes) for p in bronze.block_pieces([batch], "page_id")])
+    assert sum(n for n, _ in sizes) == 600 and max(b for _, b in sizes) < 2_000_000
+    assert peak < 10_000_000
+    pages = spark.createDataFrame([(1, html), (2, None), (3, "<p>nada</p>")], "page_id long, html string")
+    got = bronze.links(pages, "page_id").orderBy("n").collect()
+    assert [(r.page_id, r.n, r.href, r.titulo, r.texto) for r in got] == [(1, i, *link) for i, link in enumerate(bronze.page_links(html))]
+    assert [(r.href, len(r.texto)) for r in got] == [("/a", 40_003), ("/b", 40_003), ("/c", 40_013)]
+
+
+def test_open_divs_end_where_the_next_open_one_starts():
+    html = "<a href=r>r</a><div>a<a href=1>1</a><div>b</div>c<div>d<a href=2>2</a><div>e<a href=3>3</a></div>f"
+    assert bronze.page_links(html) == [("r", "", "r"), ("1", "", "a 1 b c"), ("2", "", "d 2 e 3 f"), ("3", "", "e 3")]
+
+
 def test_pages_and_sitemaps(spark):
     block = lambda title, name, day: f'<div style="x"><span class="informes-estudio-Titulo" title="{title}">t</span><span class="documentos-Publicar-Fecha"></span>Fecha de publicación: {day}<a href="/wp-content/uploads/{name}">ZIP</a></div>'
     html = "<div>" + block("Costo Marginal Real Definitivo v2", "Antecedentes_CMG_Real_def_250302_v2.zip", "05/04/2025") + block("Real Preliminar", "Antecedentes_CMG_Real_pre_250302.zip", "06/03/2025") + '<a href="/wp-content/uploads/otro.zip">o</a></div>'
