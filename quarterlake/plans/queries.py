@@ -925,13 +925,13 @@ def miles(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {DATED_SQL}, v AS (SELECT fecha, min(origen) AS o, max(usd_clp) AS t FROM s GROUP BY 1), a AS (SELECT * FROM s WHERE barra = 'R.F'), b AS (SELECT * FROM s WHERE barra = 'A.F')
 SELECT a.fecha::VARCHAR AS fecha, a.hora, a.minuto, a.cmg_usd_mwh AS cmg_referencia, b.cmg_usd_mwh AS cmg_comparada, round(b.cmg_usd_mwh - a.cmg_usd_mwh, 6) AS riesgo_usd_mwh,
 CASE o WHEN 'pagina_cen_def' THEN 'Definitivo' WHEN 'pagina_cen_pre' THEN 'Preliminar' ELSE 'Maestro (historico)' END AS version, t AS usd_clp
-FROM a JOIN b USING (fecha, hora, minuto) JOIN v USING (fecha) WHERE a.fecha BETWEEN DATE '1995-11-20' AND DATE '1996-02-03'""")
+FROM a JOIN b USING (fecha, hora, minuto) JOIN v USING (fecha)""")
 def riesgo_por_dias(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Risk by quarter over a range of days that crosses a year, with each day's version and rate."""
+    """Risk by quarter over all days that the table has, with each day's version and rate."""
     s = dated_series(spark, sf_dir)
     documents = spark.createDataFrame([], "fecha_operacion date, tipo string, version int, reemision int")
     by_day = publish.versions_by_day(publish.day_inventory(s), documents)
-    out = reports.range_risk_series(s, "R.F", "A.F", date(1995, 11, 20), date(1996, 2, 3), by_day)
+    out = reports.range_risk_series(s, "R.F", "A.F", versions=by_day)
     return out.select("fecha", "hora", "minuto", "cmg_referencia", "cmg_comparada", "riesgo_usd_mwh", "version", "usd_clp")
 
 

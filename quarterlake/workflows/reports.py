@@ -173,9 +173,10 @@ def write_all_buses(series: DataFrame, first: date, last: date, path: str, have:
     return columns, gold.range_blocks_many(held, None, first, last)
 
 
-def range_risk_series(series: DataFrame, reference: str, compared: str, first: date, last: date, versions: DataFrame | None = None) -> DataFrame:
-    """Risk by quarter over a range of days, with the version and the rate of each day."""
-    out = gold.risk_series(_between(series, first, last), reference, compared)
+def range_risk_series(series: DataFrame, reference: str, compared: str, first: date | None = None, last: date | None = None, versions: DataFrame | None = None) -> DataFrame:
+    """Risk by quarter over a range of days, or without one over all days, with the version and the rate of each day. Unknown quarters meet nothing."""
+    held = series if first is None and last is None else _between(series, first, last)
+    out = gold.risk_series(held.dropna(subset=gold.ORDER), reference, compared)
     return out if versions is None else out.drop("version", "usd_clp").join(F.broadcast(versions), "fecha", "left").orderBy("fecha", "hora", "minuto")
 
 

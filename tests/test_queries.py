@@ -1,6 +1,7 @@
 """Every registered query of the engine against its SQL, on the smallest tables."""
 
 import math
+from datetime import date, datetime
 
 import duckdb
 import pytest
@@ -51,6 +52,24 @@ def test_sparse_queries_find_rows_in_larger_tables(spark, name):
     assert rows and _rows(got.columns, rows) == _rows(columns, want.fetchall())
 
 
+def test_risk_by_days_has_every_day_of_the_table(spark, tmp_path):
+    """Days of two earlier fixed ranges, and others; a line without a day or an hour is in no quarter. A range that is asked for still holds."""
+    from quarterlake.plans import queries
+    from quarterlake.workflows import reports
+
+    days = [datetime(1993, 12, 20), datetime(1994, 2, 4), datetime(1995, 11, 20), datetime(1996, 2, 3), datetime(1998, 7, 4)]
+    lines = [(part, 1, flag, "F", day, 0.05) for part, day in [*((7, d) for d in days), (7, None), (None, days[0])] for flag in "RA"]
+    spark.createDataFrame(lines, "l_partkey long, l_linenumber int, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz, l_discount double").write.parquet(f"file://{tmp_path}/lineitem.parquet")
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet/*.parquet'")
+    got, want = QUERIES["riesgo_por_dias"](spark, f"file://{tmp_path}"), c.execute(SQL["riesgo_por_dias"])
+    columns, rows = [x[0] for x in want.description], got.collect()
+    assert [r["fecha"] for r in rows] == [str(d.date()) for d in days]
+    assert _rows(got.columns, rows) == _rows(columns, want.fetchall())
+    held = reports.range_risk_series(queries.dated_series(spark, f"file://{tmp_path}"), "R.F", "A.F", date(1995, 11, 20), date(1996, 2, 3))
+    assert [r["fecha"] for r in held.collect()] == [date(1995, 11, 20), date(1996, 2, 3)]
+
+
 def test_month_filters_prune_the_stored_layout(spark, sf_dir):
     """Months are partitions, and the bus and the columns reach the Parquet scan."""
     from quarterlake.operators import gold
